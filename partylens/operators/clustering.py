@@ -25,7 +25,7 @@ def fit_kmeans_each(
     vectors: DataFrame, ks: list[int], seed: int = SEED, features: str = "features", parallel: int = 4
 ) -> dict[int, KMeansModel]:
     """A model per ``k``, several fits at a time. Give a written or cached table."""
-    with ThreadPool(min(parallel, len(ks))) as pool:
+    with ThreadPool(max(1, min(parallel, len(ks)))) as pool:
         models = pool.map(lambda k: fit_kmeans(vectors, k, seed, features), ks)
     return dict(zip(ks, models))
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partylens.functions.numbers import scaled
-from partylens.operators.aggregates import column_norms, histogram, pair_counts, vocabulary
+from partylens.operators.aggregates import (
+    VOCABULARY_SIZE,
+    column_norms,
+    histogram,
+    pair_counts,
+    vocabulary,
+)
 from partylens.session import stable
 
 # Most values that `one_hot` may turn into columns; beyond it use `one_hot_vector`.
@@ -74,13 +80,25 @@ def one_hot(df: DataFrame, column: str, values: list, prefix: str = "", weight:
     return df.select("*", *[flag.alias(name) for name, flag in flags.items()])
 
 
-def one_hot_vector(df: DataFrame, column: str, out: str, order: str = "frequencyDesc") -> DataFrame:
-    """Sparse 0/1 vector over all values of a column, the last one included."""
+def one_hot_vector(df: DataFrame, column: str, out: str, order: str = "frequency") -> DataFrame:
+    """Sparse 0/1 vector over all values of a column, the last one included; null gives zeros.
+
+    ``order``: ``frequency`` or ``alphabet``. The values are part of the fitted encoder, so their
+    number is limited; ``frequency_codes`` and ``alphabetic_codes`` number any amount.
+    """
+    if order == "frequency":
+        counts = histogram(df, column).orderBy(F.desc("n"), F.asc(column)).limit(VOCABULARY_SIZE + 1)
+        labels = [str(row[0]) for row in counts.collect()]
+    else:
+        labels = [str(v) for v in listed_values(df, column, VOCABULARY_SIZE)]
+    if len(labels) > VOCABULARY_SIZE:
+        raise ValueError(f"{column} has more than {VOCABULARY_SIZE} values")
     index = f"{out}_index"
-    indexer = StringIndexer(inputCol=column, outputCol=index, stringOrderType=order, handleInvalid="keep")
-    indexed = indexer.fit(df).transform(df)
-    encoder = OneHotEncoder(inputCols=[index], outputCols=[out], dropLast=False)
-    return encoder.fit(indexed).transform(indexed)
+    indexer = StringIndexerModel.from_labels(labels, column, index, handleInvalid="keep")
+    indexed = indexer.transform(df)
+    # The indexer puts unknown values last, and the encoder leaves that position out.
+    encoder = OneHotEncoder(inputCols=[index], outputCols=[out], dropLast=True)
+    return encoder.fit(indexed).transform(indexed).drop(index)
 
 
 def count_entries(counts: DataFrame, key: str, value: str, terms: DataFrame, out: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,11 +103,8 @@ def profile_vectors(rows: DataFrame, weight: float = 1.0) -> DataFrame:
     """Rows with ``features``: the activity and, if there is a region, its 0/1 vector times ``weight``."""
     if "region" not in rows.columns:
         return assembled(rows, ACTIVITY)
-    flagged = one_hot_vector(rows, "region", "_place", order="alphabetAsc")
+    flagged = one_hot_vector(rows, "region", "_place", order="alphabet")
     if weight != 1.0:
-        from pyspark.ml.feature import ElementwiseProduct
-        from pyspark.ml.linalg import Vectors
-
         size = flagged.schema["_place"].metadata["ml_attr"]["num_attrs"]
         scale = ElementwiseProduct(
             scalingVec=Vectors.dense([weight] * size), inputCol="_place", outputCol="_weighted"

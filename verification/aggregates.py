@@ -257,7 +257,7 @@ def _(b: Business) -> DataFrame:
 
 @query("e01_one_hot_vector", """SELECT party_id, '(' || size || ',[' || code || '],[1.0])' AS vector FROM (
 SELECT party_id, dense_rank() OVER (ORDER BY n DESC, package) - 1 AS code,
-       (SELECT count(DISTINCT package) + 1 FROM static_raw) AS size
+       (SELECT count(DISTINCT package) FROM static_raw) AS size
 FROM static_raw JOIN (SELECT package, count(*) AS n FROM static_raw GROUP BY package) USING (package))""")
 def _(b: Business) -> DataFrame:
     rows = encoders.one_hot_vector(b.static.dropna(subset=["package"]), "package", "v")
@@ -303,8 +303,8 @@ def _(b: Business) -> DataFrame:
     return rows.select(PARTY, vector_text(F.col("features")).alias("features"))
 
 
-@query("e06_assemble_and_skip", """SELECT count(*) AS all_rows, count_if(region IS NOT NULL AND lob_code IS NOT NULL) AS kept,
-count_if(region IS NULL OR lob_code IS NULL) AS skipped FROM static_raw""")
+@query("e06_assemble_and_skip", """SELECT count(*) AS all_rows, CAST(count_if(region IS NOT NULL AND lob_code IS NOT NULL) AS BIGINT) AS kept,
+CAST(count_if(region IS NULL OR lob_code IS NULL) AS BIGINT) AS skipped FROM static_raw""")
 def _(b: Business) -> DataFrame:
     columns = ["region", "lob_code"]
     kept = encoders.assembled(b.static, columns, invalid="skip").agg(F.count("features")).scalar()
