@@ -82,14 +82,17 @@ def entries_text(entries: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["value"], F.lit(":"), e["n"])), " ")
 
 
-def vocabulary(df: DataFrame, value: str, size: int = VOCABULARY_SIZE) -> DataFrame:
+def vocabulary(df: DataFrame, value: str, size: int = VOCABULARY_SIZE, rows: str | None = None) -> DataFrame:
     """Terms with their position ``pos``, the most frequent first, equals in alphabetic order.
 
-    At most ``size`` terms, which is also what bounds the window over the whole table.
+    ``rows`` names a column with the number of occurrences each row stands for. At most
+    ``size`` terms, which is also what bounds the window over the whole table.
     """
-    terms = histogram(df, value).orderBy(F.desc("n"), F.asc(value)).limit(size)
-    order = Window.orderBy(F.desc("n"), F.asc(value))
-    return terms.select(value, (F.row_number().over(order) - 1).alias("pos"))
+    occurrences = F.sum(rows) if rows else F.count(F.lit(1))
+    terms = df.dropna(subset=[value]).groupBy(value).agg(occurrences.alias("n"))
+    order = [F.desc("n"), F.asc(value)]
+    position = F.row_number().over(Window.orderBy(*order)) - 1
+    return terms.orderBy(*order).limit(size).select(value, position.alias("pos"))
 
 
 def flag_columns(column: str, values: list[str], prefix: str) -> list[Column]:

@@ -22,11 +22,15 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, features: str = "fe
 
 
 def fit_kmeans_each(
-    vectors: DataFrame, ks: list[int], seed: int = SEED, features: str = "features", parallel: int = 4
+    vectors: DataFrame, ks: list[int], seed: int = SEED, features: str = "features", parallel: int = 8
 ) -> dict[int, KMeansModel]:
-    """A model per ``k``, several fits at a time. Give a written or cached table."""
-    with ThreadPool(max(1, min(parallel, len(ks)))) as pool:
-        models = pool.map(lambda k: fit_kmeans(vectors, k, seed, features), ks)
+    """A model per ``k``, several fits at a time over one cached copy. Give a written table."""
+    points = vectors.select(features).persist()
+    try:
+        with ThreadPool(max(1, min(parallel, len(ks)))) as pool:
+            models = pool.map(lambda k: fit_kmeans(points, k, seed, features), ks)
+    finally:
+        points.unpersist()
     return dict(zip(ks, models))
 
 
@@ -75,8 +79,8 @@ def spread(vectors: DataFrame, features: str = "features") -> float:
 
 
 def elbow(vectors: DataFrame, ks: range | list[int] = range(1, 16), seed: int = SEED,
-          features: str = "features", parallel: int = 4) -> DataFrame:
-    """Cost per number of clusters. Give a written or cached table."""
+          features: str = "features", parallel: int = 8) -> DataFrame:
+    """Cost per number of clusters. Give a written table."""
     ks = list(ks)
     costs = {}
     if 1 in ks:
@@ -141,7 +145,7 @@ def _category_flags(assigned: DataFrame, category: str, cluster: str) -> DataFra
 
 def sweep(
     vectors: DataFrame, ks: list[int], numeric: list[str], category: str | None = None,
-    seed: int = SEED, features: str = "features", parallel: int = 4
+    seed: int = SEED, features: str = "features", parallel: int = 8
 ) -> DataFrame:
     """Cluster explanation for several ``k``: ``(k, feature, cluster, r)``. Give a written table."""
     out = None

@@ -19,15 +19,21 @@ from partylens.session import stable
 # Most values that `one_hot` may turn into columns; beyond it use `one_hot_vector`.
 MAX_FLAG_COLUMNS = 1_000
 
+# Most rows that `ranked` numbers in one task.
+MAX_RANKED_AT_ONCE = 200_000
 
-def ranked(df: DataFrame, order: list[Column], out: str = "code") -> DataFrame:
+
+def ranked(df: DataFrame, order: list[Column], out: str = "code", most: int = MAX_RANKED_AT_ONCE) -> DataFrame:
     """Rows numbered from 0 in the given order, for tables of any length.
 
-    The rows are spread by range and written with their piece number; each piece numbers
-    its rows on its own and adds the length of the pieces before it. Only the piece lengths
-    (one row per shuffle partition) pass through a single task.
+    The rows are written first and counted. Up to ``most`` rows are numbered in one task.
+    More are spread by range: each piece numbers its rows on its own and adds the length of
+    the pieces before it, so only one number per piece passes through a single task.
     """
-    pieces = stable(df.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()), "ranked")
+    rows = stable(df, "ranked")
+    if rows.count() <= most:
+        return rows.withColumn(out, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+    pieces = stable(rows.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()), "pieces")
     before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         pieces.groupBy("_piece")

@@ -35,9 +35,9 @@ def _features(
 ) -> DataFrame:
     """Statistics per party plus its currencies as list and as count vector, in one pass.
 
-    First per party and currency, which also splits parties with very many rows; then the
-    few rows left of each party are merged. The vocabulary costs one more pass over the
-    currency column alone.
+    First per party and currency, which also splits parties with very many rows. That table
+    is written, so the raw rows are read once for both the vocabulary and the features. Then
+    the few rows left of each party are merged.
     """
     known = rows.where(F.col(KEY).isNotNull())
     partial: list[Column] = [F.count(F.lit(1)).alias("_rows")]
@@ -50,22 +50,24 @@ def _features(
             "min": F.min(f"_min_{column}"), "max": F.max(f"_max_{column}"),
         }
         merged += [build[name].alias(f"{name}_{column}") for name in names]
-    per_currency = known.groupBy(KEY, CURRENCY).agg(*partial)
-    terms = vocabulary(known, CURRENCY)
+    per_currency = stable(known.groupBy(KEY, CURRENCY).agg(*partial), "per-currency")
+    terms = vocabulary(per_currency, CURRENCY, rows="_rows")
     placed = per_currency.join(F.broadcast(terms), CURRENCY, "left")
-    value = F.when(F.col(CURRENCY).isNotNull(), F.struct(F.col(CURRENCY).alias("value"), F.col("_rows").alias("n")))
-    position = F.when(F.col("pos").isNotNull(), F.struct("pos", F.col("_rows").alias("n")))
+    entry = F.struct(F.col(CURRENCY).alias("value"), "pos", F.col("_rows").alias("n"))
     features = placed.groupBy(KEY).agg(
-        F.array_sort(F.collect_list(value)).alias(lists),
-        F.array_sort(F.collect_list(position)).alias(vector),
+        F.array_sort(F.collect_list(F.when(F.col(CURRENCY).isNotNull(), entry))).alias(lists),
         *merged,
         F.sum("_rows").alias("count"),
     )
+    entries = F.col(lists)
+    listed = spelled_out(entries) if spelled else entries_text(entries)
+    in_vocabulary = F.filter(entries, lambda e: e["pos"].isNotNull())
+    by_position = F.array_sort(F.transform(in_vocabulary, lambda e: F.struct(e["pos"].alias("pos"), e["n"].alias("n"))))
     size = terms.agg(F.count(F.lit(1))).scalar()
-    return features.withColumns({
-        lists: spelled_out(F.col(lists)) if spelled else entries_text(F.col(lists)),
-        vector: sparse_text(size, F.col(vector)),
-    })
+    others = [c for c in features.columns if c not in (KEY, lists)]
+    return features.select(
+        KEY, listed.alias(lists), sparse_text(size, by_position).alias(vector), *others
+    )
 
 
 def invoice_features(invoices: DataFrame, spelled: bool = False) -> DataFrame:
@@ -104,22 +106,30 @@ def wide_invoice_features(invoices: DataFrame, currencies: list[str] = CURRENCIE
     )
 
 
-def located(static: DataFrame) -> DataFrame:
-    """Master data without copies and with county and region filled.
+def without_copies(static: DataFrame) -> DataFrame:
+    """Master data without repeated rows, written once: later steps read a few columns of it."""
+    return stable(drop_duplicate_rows(static, "index"), "static")
 
-    County from the most frequent one, region from the most frequent one of the county.
-    Written once: all later steps read a few columns of the result.
-    """
-    rows = stable(drop_duplicate_rows(static, "index"), "static")
+
+def with_places(rows: DataFrame) -> DataFrame:
+    """Missing counties from the most frequent one, missing regions from that of the county."""
     return fill_most_common_by(fill_most_common(rows, "county"), "region", "county")
 
 
+def located(static: DataFrame) -> DataFrame:
+    """Master data without copies and with county and region filled."""
+    return with_places(without_copies(static))
+
+
 def clean_static(static: DataFrame, size_mode: str = "compat") -> DataFrame:
     """Master data as integers: gaps filled, size band to a number, county and package to codes."""
-    filled = stable(fill_mean(located(static), "lob_code"), "located")
-    texts = filled.withColumn("package", as_text(F.col("package")))
-    coded = with_codes(texts, "county", alphabetic_codes(texts, "county"))
-    coded = with_codes(coded, "package", alphabetic_codes(texts, "package"))
+    rows = without_copies(static)
+    # Filling adds no new county and no package, so their codes come from the rows as they are.
+    counties = alphabetic_codes(rows, "county")
+    texts = rows.withColumn("package", as_text(F.col("package")))
+    packages = alphabetic_codes(texts, "package")
+    filled = fill_mean(with_places(texts), "lob_code")
+    coded = with_codes(with_codes(filled, "county", counties), "package", packages)
     return coded.select(
         "index",
         KEY,

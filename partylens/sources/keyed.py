@@ -57,16 +57,24 @@ def _newest(df: DataFrame, keys: tuple[str, ...], newest_first: list) -> DataFra
 
 
 def read_keyed(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
-    """Newest row per key."""
+    """Newest row per key.
+
+    Each batch has a key once, so the first (usually large) batch only loses the rows whose
+    key occurs later; while the later batches are small, that needs no shuffle of the first.
+    """
     found = _listing(spark, path)
     if not found:
         raise FileNotFoundError(f"no completed batch in {path}")
     generation = max(found)
     base = f"{path}/generation={generation}"
-    rows = spark.read.option("basePath", base).parquet(*[f"{base}/{BATCH}={n}" for n in found[generation]])
-    if len(found[generation]) == 1:
-        return rows.drop(BATCH)
-    return _newest(rows, keys, [F.desc(BATCH)]).drop(BATCH)
+    first, *later = [f"{base}/{BATCH}={n}" for n in found[generation]]
+    old = spark.read.option("basePath", base).parquet(first)
+    if not later:
+        return old.drop(BATCH)
+    new = spark.read.option("basePath", base).parquet(*later)
+    newest = _newest(new, keys, [F.desc(BATCH)])
+    kept = old.join(new.select(*keys).distinct(), list(keys), "left_anti").select(*newest.columns)
+    return kept.unionByName(newest).drop(BATCH)
 
 
 def compact(spark: SparkSession, path: str, keys: tuple[str, ...]) -> None:
@@ -77,6 +85,14 @@ def compact(spark: SparkSession, path: str, keys: tuple[str, ...]) -> None:
     read_keyed(spark, path, keys).write.mode("overwrite").parquet(target)
 
 
+def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all generations but the newest ``keep``; readers of an older one must be done."""
+    jvm = spark._jvm
+    for generation in sorted(_listing(spark, path))[:-keep]:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/generation={generation}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, root: str, table: str, batch: int | None = None) -> None:
     """Upsert into a declared table: columns and key come from its declaration."""
     upsert(conform(df, table), f"{root}/{table}", TABLES[table][1], batch)

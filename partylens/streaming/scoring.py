@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from partylens.functions.vectors import vector_text
 from partylens.operators.encoders import assembled
-from partylens.schemas import FEATURE_COLUMNS
-from partylens.sources.keyed import upsert, write_table
+from partylens.schemas import FEATURE_COLUMNS, TABLES
+from partylens.sources.keyed import compact, upsert, write_table
 from partylens.streaming.messages import parsed, reject_reason
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
@@ -33,11 +33,12 @@ def score_messages(
     checkpoint: str,
     trigger: dict | None = None,
     columns: list[str] = FEATURE_COLUMNS,
+    compact_every: int = 1_000,
 ) -> StreamingQuery:
     """Start the query: parse, score, upsert into ``predictions``; bad lines go to ``rejects``.
 
     Both tables are written per batch number, so a batch that is repeated after a
-    failure replaces itself.
+    failure replaces itself. The predictions are compacted after every ``compact_every`` batches.
     """
     rows = parsed(messages).withColumn("reason", reject_reason(columns))
 
@@ -51,6 +52,9 @@ def score_messages(
             bad.write.mode("overwrite").parquet(f"{root}/rejects/batch={number}")
         finally:
             batch.unpersist()
+        if number % compact_every == compact_every - 1:
+            _, key = TABLES["predictions"]
+            compact(batch.sparkSession, f"{root}/predictions", key)
 
     return per_batch(rows, store, checkpoint, trigger)
 
