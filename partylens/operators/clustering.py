@@ -109,7 +109,8 @@ def explain_clusters(
             *[F.stddev_pop(c).alias(f"dev_{c}") for c in numeric],
         ).alias("t")
     ).scalar()
-    n = total["n"]
+    groups = groups.withColumn("_total", total)
+    total, n = F.col("_total"), F.col("_total")["n"]
     odds = F.sqrt(F.try_divide(F.col("n"), n - F.col("n")))
     features = F.array(*[
         F.struct(
@@ -133,14 +134,15 @@ def _category_flags(assigned: DataFrame, category: str, cluster: str) -> DataFra
     )
     by_cluster = assigned.groupBy(F.col(cluster).cast("int").alias("cluster")).agg(F.count(F.lit(1)).alias("n_c"))
     by_value = cells.groupBy("feature").agg(F.sum("both").alias("n_v"))
-    n = assigned.agg(F.count(F.lit(1))).scalar().cast("double")
+    rows = assigned.agg(F.count(F.lit(1))).scalar().cast("double")
     # Clusters are few and fixed by k, so each value meets each cluster as a list entry.
     clusters = by_cluster.agg(F.collect_list(F.struct("cluster", "n_c"))).scalar()
     grid = by_value.select("feature", "n_v", F.inline(clusters))
     n_c, n_v = F.col("n_c"), F.col("n_v")
     both = F.coalesce(F.col("both"), F.lit(0))
+    n = F.col("_n")
     r = F.try_divide(n * both - n_c * n_v, F.sqrt(n_c * (n - n_c)) * F.sqrt(n_v * (n - n_v)))
-    return grid.join(cells, ["cluster", "feature"], "left").select("cluster", "feature", r.alias("r"))
+    return grid.withColumn("_n", rows).join(cells, ["cluster", "feature"], "left").select("cluster", "feature", r.alias("r"))
 
 
 def sweep(

@@ -146,4 +146,5 @@ def complete(columns: list[str]) -> Column:
 def unit_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Scale each column to Euclidean length 1."""
     norms = column_norms(df, columns).select(F.struct(*columns)).scalar()
-    return df.withColumns({c: scaled(F.col(c), norms[c]) for c in columns})
+    rows = df.withColumn("_norms", norms)
+    return rows.withColumns({c: scaled(F.col(c), F.col("_norms")[c]) for c in columns}).drop("_norms")

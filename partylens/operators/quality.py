@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from partylens.functions.numbers import rounded
 from partylens.operators.encoders import assembled, complete
+from partylens.session import stable
 
 # Above this many columns the correlation matrix is computed on vectors.
 MAX_CORRELATION_COLUMNS = 40
@@ -67,7 +68,8 @@ def exact_quantiles(
 
     ``percentile`` would hold all distinct values of a column in one task. Here an
     approximate quantile first brackets each wanted rank; the rows below the bracket are
-    only counted, and the exact rank is looked up among the few values inside it.
+    only counted, and the exact rank is looked up among the few values inside it. The table is
+    passed over several times, so give a written one.
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     firsts = data.agg(*[
@@ -157,6 +159,7 @@ def _look_up(data: DataFrame, targets: list[dict]) -> DataFrame:
 
 def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, one row per column."""
+    df = stable(df.select(*columns), "described")
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     totals = df.agg(*[
         f(F.col(c)).cast("long" if m == "count" else "double").alias(f"{m}_{c}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,11 +39,15 @@ def stage_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="partylens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="partylens-")
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ from partylens.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
+        "tests", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="2",
         spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("OFF")

@@ -160,13 +160,24 @@ def _(b: Business) -> DataFrame:
 
 # Scoring streams
 
+_TRAINED: dict = {}
+
+
+def trained(b: Business):
+    """The combined rows and the model fitted on them; the scoring queries share one fit."""
+    key = (b.spark.sparkContext.applicationId, b.folder)
+    if key not in _TRAINED:
+        rows = stable(combined(b), "combined")
+        _TRAINED[key] = rows, customers.train_clusters(rows, columns=schemas.FEATURE_COLUMNS).model
+    return _TRAINED[key]
+
+
 class Scoring:
     """A trained model, the combined rows it was trained on, and folders for one stream."""
 
     def __init__(self, b: Business):
         self.spark = b.spark
-        self.rows = stable(combined(b), "combined")
-        self.model = customers.train_clusters(self.rows, columns=schemas.FEATURE_COLUMNS).model
+        self.rows, self.model = trained(b)
         self.root = stage_path(b.spark, "scoring")
 
     def send(self, rows: DataFrame, part: str) -> None:
