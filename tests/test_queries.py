@@ -1,4 +1,8 @@
-"""Every query against its SQL on the smallest test tables."""
+"""Queries against their SQL on the smallest test tables.
+
+Whole jobs and clustering take minutes; ``TEST_SLOW=1`` runs them too.
+Their parts have tests of their own, and ``verification.check`` compares everything.
+"""
 
 import os
 
@@ -10,12 +14,16 @@ from verification.check import compare, connect
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+SLOW = ("q", "m")
+TESTED = [n for n in QUERIES if os.environ.get("TEST_SLOW") or not n.startswith(SLOW)]
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", TESTED)
 def test_query(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     if name in SQL:
@@ -24,7 +32,8 @@ def test_query(spark, con, name):
         assert df.count() > 0
 
 
-def test_entry():
+def test_entry(spark):
     import __spark_entry__ as entry
 
+    assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
