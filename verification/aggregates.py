@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from partylens.functions.dates import period_days, whole_days
 from partylens.operators import aggregates as agg
 from partylens.operators import clustering, encoders, impute, joins, quality
-from partylens.operators.columns import drop_duplicate_rows
 from partylens.plans.features import clean_static, invoice_features, located, transfer_features
 from verification.fixtures import Business
 from verification.registry import query, r, tidy
