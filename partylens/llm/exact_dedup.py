@@ -27,7 +27,8 @@ def frequent(digests: DataFrame, digest: str, tracked: int = TRACKED, winners: i
     lanes = digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("lane")).agg(
         F.expr(f"approx_top_k_accumulate({digest}, {tracked})").alias("summary")
     )
-    merged = lanes.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {winners})").alias("top"))
+    one = lanes.groupBy(F.pmod("lane", F.lit(1)))  # grouped, so that a task without rows sends no summary
+    merged = one.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {winners})").alias("top"))
     return merged.select(F.explode("top").alias("found")).select(F.col("found.item").alias(digest)).where(F.col(digest).isNotNull())
 
 
