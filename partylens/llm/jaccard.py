@@ -2,16 +2,19 @@
 
 Two documents link when shared * 7 >= 3 * (size + size), that is at a Jaccard similarity of 0.75.
 
-1. Equal sets are one node. A node's prefix, the first quarter of its shingles in hash order, must meet the
-   prefix of every node that it links with. Prefix entries are dealt by hash; the nodes of one entry form a
-   group, and groups with the same smallest node are one tile, so the many shared entries of two near
-   copies become one common tile.
-2. A group of more than ``CROWD`` nodes (a passage that many share) is not used. Its nodes are matched with
-   each other once more, with prefixes in an order that takes the rarest shingles first, for which their
-   shingles are counted. Only nodes that are almost wholly made of crowded shingles still meet in a crowd.
+1. Equal sets are one node, named by a 64-bit hash of the set. A node's prefix, the first quarter of its
+   shingles in hash order, must meet the prefix of every node that it links with. Prefix entries are dealt by
+   hash; the nodes of one entry form a group, and groups with the same smallest node are one tile, so the
+   many shared entries of two near copies become one common tile.
+2. Groups of more than ``CROWD`` nodes come from passages that many share. Their shingles are put last in
+   the order, and nodes with such a shingle in their prefix are matched with each other once more by their
+   new prefixes, for some rounds. A pair with one node outside has met in a smaller group already. What
+   still is a crowd after the rounds becomes a tile as it is.
 3. Inside a tile, nodes go by size; a pair is looked at while the sizes allow a link. Hashed bitmaps bound
-   the overlap from above, and what passes is intersected as sorted arrays. A pair that is connected
-   already is skipped. Tiles beyond ``TILE`` nodes are split, see ``_large``.
+   the overlap from above; nodes without any possible partner leave. The shingles of the others are taken
+   from their texts again, found by a bit filter of bounded size that only ever lets too many through, and
+   pairs that pass the bitmaps are intersected as sorted arrays. A pair that is connected already is
+   skipped. Tiles beyond ``TILE`` nodes are split, see ``_large``.
 
 No step drops a candidate: the caps named here only choose between exact ways.
 """
@@ -33,7 +36,10 @@ WIDTH = 5
 CROWD = 100  # nodes of a group in hash order
 TILE = 1000  # nodes of a tile that one task compares
 PIVOTS = 8  # nodes of a split tile that all its parts see
-ENTRIES = 1 << 20  # entries of a bucket, about
+ENTRIES = 1 << 21  # entries of a bucket, about
+ROUNDS = 3
+LAST = 1 << 20  # shingles that can be put last; beyond, crowds become tiles at once
+FILTER = 1 << 26  # bits of the filter for wanted nodes
 HALF = np.uint64(0xA24BAED4963EE407)
 
 
@@ -54,28 +60,105 @@ def bitmap(value: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _signed(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles by text and hash, where each text's begin and end, and the name of each set."""
+    owner, value = shingles(data, offsets, WIDTH)
+    ends = np.searchsorted(owner, np.arange(rows.num_rows + 1))
+    running = np.concatenate([[np.uint64(0)], np.cumsum(mixed(value * HALF + np.uint64(1)), dtype=np.uint64)])
+    sign = mixed(running[ends[1:]] - running[ends[:-1]] + np.diff(ends).astype(np.uint64))
+    return value, ends, sign.view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, name, bitmap and prefix of each text's set; the last two once in a task for equal sets."""
+    seen: set[int] = set()
     for rows, data, offsets in pieces(batches, "text"):
-        owner, value = shingles(data, offsets, WIDTH)
-        ends = np.searchsorted(owner, np.arange(rows.num_rows + 1))
-        signs = []
-        for salt in (np.uint64(1), HALF):
-            running = np.concatenate([[np.uint64(0)], np.cumsum(mixed(value * HALF + salt), dtype=np.uint64)])
-            signs.append(pa.array((running[ends[1:]] - running[ends[:-1]]).view(np.int64)))
-        spans = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+        value, ends, sign = _signed(rows, data, offsets)
+        spans = []
+        for a, b, name in zip(ends[:-1].tolist(), ends[1:].tolist(), sign.tolist(), strict=True):
+            spans.append((a, a if name in seen else b))
+            seen.add(name)
         yield pa.RecordBatch.from_arrays(
-            [rows.column(rows.schema.get_field_index("doc_id")), pa.array(np.diff(ends)), *signs,
+            [rows.column(rows.schema.get_field_index("doc_id")), pa.array(np.diff(ends)), pa.array(sign),
              pa.array([bitmap(value[a:b]) if b > a else b"" for a, b in spans], pa.binary()),
              pa.array([value[a:a + prefix_length(b - a)].tobytes() if b > a else b"" for a, b in spans], pa.binary())],
-            names=["doc_id", "n", "sign", "sign2", "bitmap", "prefix"],
+            names=["doc_id", "n", "node", "bitmap", "prefix"],
         )
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, offsets in pieces(batches, "text"):
-        owner, value = shingles(data, offsets, WIDTH)
-        sizes = np.bincount(owner, minlength=rows.num_rows)
-        yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("doc_id")), blobs(value, sizes)], names=["node", "content"])
+def _later_prefixes(last: list[np.ndarray]):
+    """New prefixes of the nodes that were in a crowd in every round so far; ``last`` has each round's shingles."""
+    known = [np.sort(np.concatenate(last[:i])) for i in range(1, len(last) + 1)]
+
+    def put_last(own: np.ndarray, listed: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        hit = listed[np.minimum(np.searchsorted(listed, own), len(listed) - 1)] == own
+        free = own[~hit][:most]
+        return np.concatenate([free, own[hit][:most - len(free)]]), hit
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for rows, data, offsets in pieces(batches, "text"):
+            value, ends, sign = _signed(rows, data, offsets)
+            nodes, found = [], []
+            for a, b, name in zip(ends[:-1].tolist(), ends[1:].tolist(), sign.tolist(), strict=True):
+                if name in seen or b == a:
+                    continue
+                seen.add(name)
+                own, most = value[a:b], prefix_length(b - a)
+                prefix, crowded = own[:most], True
+                for listed, new in zip(known, last, strict=True):
+                    crowded = crowded and bool(np.isin(prefix, new).any())
+                    if not crowded:
+                        break
+                    prefix, _ = put_last(own, listed, most)
+                if crowded:
+                    nodes.append(name)
+                    found.append(prefix.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "prefix"])
+
+    return prefixes
+
+
+def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The used chunks of a task's bit filter over its nodes."""
+    bits = np.zeros(FILTER, bool)
+    for batch in batches:
+        bits[(mixed(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64(FILTER - 1)).astype(np.int64)] = True
+    chunks = np.packbits(bits).reshape(-1, 1 << 16)
+    used = np.flatnonzero(chunks.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([chunks[i].tobytes() for i in used], pa.binary())], names=["chunk", "bits"])
+
+
+def _either(table: pa.Table) -> pa.Table:
+    bits = np.zeros(1 << 16, np.uint8)
+    for more in table.column("bits").to_pylist():
+        bits |= np.frombuffer(more, np.uint8)
+    return pa.table({"chunk": table.column("chunk").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+
+def _wanted_filter(nodes: DataFrame) -> np.ndarray:
+    bits = np.zeros((FILTER >> 19, 1 << 16), np.uint8)
+    for r in nodes.select("node").mapInArrow(_filter_bits, "chunk int, bits binary").groupBy("chunk").applyInArrow(_either, "chunk int, bits binary").collect():
+        bits[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)  # FILTER / 8 bytes in all
+    return bits.ravel()
+
+
+def _contents(shared):
+    """Shingles of the texts whose node the filter lets through, once in a task for equal sets."""
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = shared.value, set()
+        for rows, data, offsets in pieces(batches, "text"):
+            value, ends, sign = _signed(rows, data, offsets)
+            at = (mixed(sign.view(np.uint64)) & np.uint64(FILTER - 1)).astype(np.int64)
+            wanted = np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+            fresh = [i for i in wanted.tolist() if ends[i + 1] > ends[i] and not (int(sign[i]) in seen or seen.add(int(sign[i])))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sign[fresh], pa.int64()), pa.array([int(ends[i + 1] - ends[i]) for i in fresh], pa.int64()), pa.array([value[ends[i]:ends[i + 1]].tobytes() for i in fresh], pa.binary())],
+                names=["node", "n", "content"],
+            )
+
+    return contents
 
 
 def _entries(column: str, bits: int):
@@ -115,41 +198,16 @@ def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return value, node, begin, np.diff(np.append(begin, len(value)))
 
 
-def _tiled(crowd: int | None):
-    def tiled(table: pa.Table) -> pa.Table:
-        _, node, begin, size = _gathered(table)
-        leader, count = np.repeat(node[begin], size), np.repeat(size, size)
-        hot = count > crowd if crowd else np.zeros(len(count), bool)
-        use = (count > 1) & ~hot
-        pairs = np.unique(np.stack([leader[use], node[use]], axis=1), axis=0) if use.any() else np.zeros((0, 2), np.int64)
-        crowded = np.unique(node[hot])
-        return pa.table({"tile": pa.array([*pairs[:, 0], *[None] * len(crowded)], pa.int64()), "node": pa.array(np.concatenate([pairs[:, 1], crowded]), pa.int64())})
-
-    return tiled
-
-
-def _counted(table: pa.Table) -> pa.Table:
-    """The entries that several nodes have, with their number, by node."""
-    value, node, _, size = _gathered(table)
-    count = np.repeat(size, size)
-    use = count > 1
-    value, node, count = value[use], node[use], count[use]
-    order = np.argsort(node, kind="stable")
-    value, count = value[order], count[order]
-    names, sizes = np.unique(node, return_counts=True)
-    return pa.table({"node": pa.array(names, pa.int64()), "hashes": blobs(value, sizes), "counts": blobs(count.astype(np.int64), sizes)})
-
-
-def _rare_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The part of each node's rarest-first prefix that other nodes share."""
-    for batch in batches:
-        at = batch.schema.get_field_index
-        out = []
-        for n, hashes, counts in zip(*[batch.column(at(c)).to_pylist() for c in ("n", "hashes", "counts")], strict=True):
-            value, count = np.frombuffer(b"".join(hashes), np.uint64), np.frombuffer(b"".join(counts), np.int64)
-            most = max(0, prefix_length(n) - (n - len(value)))  # those that nobody shares come first
-            out.append(value[np.lexsort((value, count))[:most]].tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(at("node")), pa.array(out, pa.binary())], names=["node", "prefix"])
+def _tiled(table: pa.Table) -> pa.Table:
+    """(tile, node) of all groups; those of crowds once for each shingle, with the shingle."""
+    value, node, begin, size = _gathered(table)
+    leader, count = np.repeat(node[begin], size), np.repeat(size, size)
+    plain, crowd = (count > 1) & (count <= CROWD), count > CROWD
+    pairs = np.unique(np.stack([leader[plain], node[plain]], axis=1), axis=0) if plain.any() else np.zeros((0, 2), np.int64)
+    return pa.table({
+        "tile": pa.array(np.concatenate([pairs[:, 0], leader[crowd]]), pa.int64()), "node": pa.array(np.concatenate([pairs[:, 1], node[crowd]]), pa.int64()),
+        "shingle": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(value[crowd].view(np.int64), pa.int64())]),
+    })
 
 
 def _dealt(rows: DataFrame, column: str, total: int, task, schema: str) -> DataFrame:
@@ -202,10 +260,13 @@ def _joined(group: str, exact: bool):
         tile = table.column(group).to_numpy()
         n, node = table.column("n").to_numpy(), table.column("node").to_numpy()
         role = table.column("role").to_numpy() if "role" in table.column_names else np.zeros(len(n), np.int64)
-        order = np.lexsort((node, n, tile))
-        content, starts = table.column("content"), np.flatnonzero(np.concatenate([[True], np.diff(tile[order]) != 0])) if len(n) else []
+        order = np.lexsort((role, node, n, tile))
+        twice = np.zeros(len(order), bool)  # rows of a set from several tasks
+        twice[1:] = (node[order[1:]] == node[order[:-1]]) & (tile[order[1:]] == tile[order[:-1]])
+        order = order[~twice]
+        content, starts = table.column("content"), np.flatnonzero(np.concatenate([[True], np.diff(tile[order]) != 0])) if len(order) else []
         left, right = [], []
-        for begin, end in zip(starts, [*starts[1:], len(n)], strict=True):
+        for begin, end in zip(starts, [*starts[1:], len(order)], strict=True):
             own = order[begin:end]
             if len(own) < 2:
                 continue
@@ -277,47 +338,49 @@ def _large(members: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     return links.unionByName(_compared(second.withColumn("role", F.col("role").cast("bigint")), ["tile", "part", "block"], count, True))
 
 
+def _tiles(texts: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
+    """(tile, node) such that every two nodes that link are together in a tile."""
+    fields = "tile bigint, node bigint, shingle bigint"
+    met = stable(_dealt(nodes, "prefix", total, _tiled, fields), "met")
+    tiles, last = met.where(F.col("shingle").isNull()), []
+    for _ in range(ROUNDS):
+        crowds = met.where(F.col("shingle").isNotNull()).select("shingle").distinct()
+        listed = np.array([r[0] for r in crowds.limit(LAST + 1).collect()], np.int64).view(np.uint64)
+        if not len(listed) or sum(map(len, last)) + len(listed) > LAST:
+            break
+        last.append(listed)
+        prefixes = stable(texts.mapInArrow(_later_prefixes(last), "node bigint, prefix binary"), "prefixes")
+        total, = prefixes.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
+        met = stable(_dealt(prefixes, "prefix", total, _tiled, fields), "met")
+        tiles = tiles.unionByName(met.where(F.col("shingle").isNull()))
+    return stable(tiles.unionByName(met.where(F.col("shingle").isNotNull())).select("tile", "node").distinct(), "tiles")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
-    ``component_id`` is the smallest id that links lead to. Ids are whole numbers; rows that repeat an id are
-    one document with the links of each. A null id never names a component: such a row has the component
-    of its equals and near copies with ids, else null, and links nothing by itself. Null and empty texts
-    and texts without words have 0 shingles and stand alone. Other columns are not read.
+    ``component_id`` is the smallest id that links lead to. Ids are whole numbers; a row that repeats an id
+    goes by its own text. A null id never names a component: such a row has the component of its equals and
+    near copies with ids, else null. Null and empty texts and texts without words have 0 shingles and stand
+    alone. Other columns are not read.
     """
-    sets = stable(
-        docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-        .mapInArrow(_sets, "doc_id bigint, n bigint, sign bigint, sign2 bigint, bitmap binary, prefix binary"), "sets",
-    )
-    same = ["sign", "sign2", "n"]
-    classes = stable(sets.where(F.col("n") > 0).groupBy(*same).agg(F.min("doc_id").alias("node")), "classes")
-    nodes = stable(
-        sets.join(classes, [*same]).where(F.col("doc_id") == F.col("node")).dropDuplicates([*same])
-        .select("node", "n", "bitmap", "prefix"), "nodes",
-    )
-    total, = nodes.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
-    met = stable(_dealt(nodes, "prefix", total, _tiled(CROWD), "tile bigint, node bigint").distinct(), "met")
-    crowded = met.where(F.col("tile").isNull()).select("node")
-    plain = met.where(F.col("tile").isNotNull())
-    count = plain.count()
-    able = _compared(plain.join(nodes.select("node", "n", F.col("bitmap").alias("content")), "node"), ["tile"], count, False)
-    wanted = stable(able.unionByName(crowded).distinct(), "wanted")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    sets_of = stable(
-        texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").mapInArrow(_shingle_sets, "node bigint, content binary")
-        .withColumn("n", (F.length("content") / 8).cast("bigint")), "contents",
-    )
-    hot = sets_of.join(crowded, "node", "left_semi")
-    entries, = hot.agg(F.coalesce(F.sum("n"), F.lit(0))).first()
-    shared = _dealt(hot, "content", entries, _counted, "node bigint, hashes binary, counts binary")
-    told = shared.groupBy("node").agg(F.collect_list("hashes").alias("hashes"), F.collect_list("counts").alias("counts")).join(sets_of.select("node", "n").dropDuplicates(["node"]), "node")
-    rare = stable(told.mapInArrow(_rare_prefix, "node bigint, prefix binary").where(F.length("prefix") > 0), "rare")
-    entries, = rare.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
-    again = _dealt(rare, "prefix", entries, _tiled(None), "tile bigint, node bigint")
-    members = stable(plain.join(wanted, "node", "left_semi").unionByName(again).distinct(), "members")
-    sizes = stable(members.groupBy("tile").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1), "sizes")
-    small = members.join(sizes.where(F.col("size") <= TILE).select("tile"), "tile", "left_semi").join(sets_of, "node")
-    links = _compared(small, ["tile"], members.count(), True).unionByName(_large(members, sets_of, sizes))
+    sets = stable(texts.mapInArrow(_sets, "doc_id bigint, n bigint, node bigint, bitmap binary, prefix binary"), "sets")
+    nodes = sets.where(F.length("prefix") > 0)
+    total, = nodes.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
+    tiles = _tiles(texts, nodes, total)
+    sizes = stable(tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1), "sizes")
+    small = tiles.join(sizes.where(F.col("size") <= TILE).select("tile"), "tile", "left_semi")
+    large = tiles.join(sizes.where(F.col("size") > TILE).select("tile"), "tile", "left_semi")
+    maps = nodes.select("node", "n", F.col("bitmap").alias("content"))
+    able = _compared(small.join(maps, "node"), ["tile"], tiles.count(), False)
+    wanted = stable(able.unionByName(large.select("node")).distinct(), "wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(_wanted_filter(wanted))  # FILTER bits, whatever the input
+    contents = stable(texts.mapInArrow(_contents(shared), "node bigint, n bigint, content binary"), "contents")
+    members = stable(tiles.join(wanted, "node", "left_semi"), "members")
+    kept = members.join(sizes.where(F.col("size") <= TILE).select("tile"), "tile", "left_semi").join(contents, "node")
+    links = _compared(kept, ["tile"], members.count(), True).unionByName(_large(members, contents, sizes))
     found = components(links)
-    named = classes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
-    return sets.join(named, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    placed = sets.select("doc_id", "n", "node").join(found, "node", "left").withColumn("place", F.coalesce("component", "node"))
+    lowest = placed.where(F.col("n") > 0).groupBy("place").agg(F.min("doc_id").alias("low"))
+    return placed.join(lowest, "place", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
