@@ -33,7 +33,7 @@ from partylens.llm.texts import blobs, mixed, pieces, shingles
 from partylens.session import stable
 
 WIDTH = 5
-CROWD = 100  # nodes of a group in hash order
+CROWD = 1000  # nodes of a group in hash order
 TILE = 1000  # nodes of a tile that one task compares
 PIVOTS = 8  # nodes of a split tile that all its parts see
 ENTRIES = 1 << 21  # entries of a bucket, about
