@@ -26,7 +26,7 @@ def rounded(value: Column, digits: int = 2) -> Column:
 
 def whole(value: Column) -> Column:
     """Integer part (cut towards zero)."""
-    return value.try_cast("int")
+    return value.try_cast("long")
 
 
 def number(text: Column, kind: str = "double") -> Column:

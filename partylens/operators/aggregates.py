@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Vocabulary bound of Spark's own CountVectorizer.
-VOCABULARY_SIZE = 1 << 18
+from partylens.operators.ranking import ranked
 
 STATISTICS = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}
 
@@ -82,17 +81,14 @@ def entries_text(entries: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["value"], F.lit(":"), e["n"])), " ")
 
 
-def vocabulary(df: DataFrame, value: str, size: int = VOCABULARY_SIZE, rows: str | None = None) -> DataFrame:
-    """Terms with their position ``pos``, the most frequent first, equals in alphabetic order.
+def vocabulary(df: DataFrame, value: str, rows: str | None = None) -> DataFrame:
+    """All terms with their position ``pos``, the most frequent first, equals in alphabetic order.
 
-    ``rows`` names a column with the number of occurrences each row stands for. At most
-    ``size`` terms, which is also what bounds the window over the whole table.
+    ``rows`` names a column with the number of occurrences each row stands for.
     """
     occurrences = F.sum(rows) if rows else F.count(F.lit(1))
     terms = df.dropna(subset=[value]).groupBy(value).agg(occurrences.alias("n"))
-    order = [F.desc("n"), F.asc(value)]
-    position = F.row_number().over(Window.orderBy(*order)) - 1
-    return terms.orderBy(*order).limit(size).select(value, position.alias("pos"))
+    return ranked(terms, [F.desc("n"), F.asc(value)], "pos").select(value, F.col("pos").cast("int").alias("pos"))
 
 
 def flag_columns(column: str, values: list[str], prefix: str) -> list[Column]:

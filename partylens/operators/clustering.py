@@ -96,26 +96,30 @@ def explain_clusters(
     """Correlation of each cluster's 0/1 flag with each feature: ``(feature, cluster, r)``.
 
     With a 0/1 flag of share p Pearson's r is (mean inside - mean) / deviation * sqrt(p / (1 - p)),
-    so grouped means are enough. Each value of ``category`` counts as a 0/1 feature; its r
+    so grouped means are enough. Rows without a feature are left out of that feature's share and means. Each value of ``category`` counts as a 0/1 feature; its r
     follows from the counts per cluster and value, without a column per value.
     """
     groups = assigned.groupBy(F.col(cluster).cast("int").alias("cluster")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in numeric]
+        F.count(F.lit(1)).alias("_rows"), *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean")).alias(c) for c in numeric]
     )
     total = assigned.agg(
         F.struct(
-            F.count(F.lit(1)).alias("n"),
+            F.lit(0).alias("_"),
+            *[F.count(c).alias(f"n_{c}") for c in numeric],
             *[F.avg(c).alias(f"mean_{c}") for c in numeric],
             *[F.stddev_pop(c).alias(f"dev_{c}") for c in numeric],
         ).alias("t")
     ).scalar()
     groups = groups.withColumn("_total", total)
-    total, n = F.col("_total"), F.col("_total")["n"]
-    odds = F.sqrt(F.try_divide(F.col("n"), n - F.col("n")))
+    total = F.col("_total")
+
+    def odds(c: str) -> Column:
+        return F.sqrt(F.try_divide(F.col(c)["n"], total[f"n_{c}"] - F.col(c)["n"]))
+
     features = F.array(*[
         F.struct(
             F.lit(c).alias("feature"),
-            (F.try_divide(F.col(c) - total[f"mean_{c}"], total[f"dev_{c}"]) * odds).alias("r"),
+            (F.try_divide(F.col(c)["mean"] - total[f"mean_{c}"], total[f"dev_{c}"]) * odds(c)).alias("r"),
         )
         for c in numeric
     ])

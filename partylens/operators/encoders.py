@@ -2,53 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partylens.functions.numbers import scaled
 from partylens.operators.aggregates import (
-    VOCABULARY_SIZE,
     column_norms,
     histogram,
     pair_counts,
     vocabulary,
 )
-from partylens.session import stable
+from partylens.operators.ranking import ranked
 
 # Most values that `one_hot` may turn into columns; beyond it use `one_hot_vector`.
 MAX_FLAG_COLUMNS = 1_000
 
-# Most rows that `ranked` numbers in one task.
-MAX_RANKED_AT_ONCE = 200_000
-
-
-def ranked(df: DataFrame, order: list[Column], out: str = "code", most: int = MAX_RANKED_AT_ONCE) -> DataFrame:
-    """Rows numbered from 0 in the given order, for tables of any length.
-
-    The rows are written first and counted. Up to ``most`` rows are numbered in one task.
-    More are spread by range: each piece numbers its rows on its own and adds the length of
-    the pieces before it, so only one number per piece passes through a single task.
-    """
-    rows = stable(df, "ranked")
-    if rows.count() <= most:
-        return rows.withColumn(out, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
-    pieces = stable(rows.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()), "pieces")
-    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        pieces.groupBy("_piece")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    within = F.row_number().over(Window.partitionBy("_piece").orderBy(*order)) - 1
-    return (
-        pieces.withColumn("_within", within)
-        .join(F.broadcast(starts), "_piece")
-        .withColumn(out, F.col("_start") + F.col("_within"))
-        .drop("_piece", "_within", "_start")
-    )
-
-
 def alphabetic_codes(df: DataFrame, column: str, out: str = "code") -> DataFrame:
     """Each distinct known value with its position in sorted order."""
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
@@ -89,31 +58,24 @@ def one_hot(df: DataFrame, column: str, values: list, prefix: str = "", weight:
 def one_hot_vector(df: DataFrame, column: str, out: str, order: str = "frequency") -> DataFrame:
     """Sparse 0/1 vector over all values of a column, the last one included; null gives zeros.
 
-    ``order``: ``frequency`` or ``alphabet``. The values are part of the fitted encoder, so their
-    number is limited; ``frequency_codes`` and ``alphabetic_codes`` number any amount.
+    ``order``: ``frequency`` or ``alphabet``. The values are numbered in a table of their own and joined;
+    the fitted encoder only holds their number.
     """
-    if order == "frequency":
-        counts = histogram(df, column).orderBy(F.desc("n"), F.asc(column)).limit(VOCABULARY_SIZE + 1)
-        labels = [str(row[0]) for row in counts.collect()]
-    else:
-        labels = [str(v) for v in listed_values(df, column, VOCABULARY_SIZE)]
-    if len(labels) > VOCABULARY_SIZE:
-        raise ValueError(f"{column} has more than {VOCABULARY_SIZE} values")
     index = f"{out}_index"
-    indexer = StringIndexerModel.from_labels(labels, column, index, handleInvalid="keep")
-    indexed = indexer.transform(df)
-    # The indexer puts unknown values last, and the encoder leaves that position out.
-    encoder = OneHotEncoder(inputCols=[index], outputCols=[out], dropLast=True)
-    return encoder.fit(indexed).transform(indexed).drop(index)
+    codes = (frequency_codes if order == "frequency" else alphabetic_codes)(df, column, index)
+    codes = codes.select(column, F.col(index).cast("double").alias(index))
+    # What the encoder has not seen is the category it leaves out.
+    encoder = OneHotEncoder(inputCols=[index], outputCols=[out], dropLast=True, handleInvalid="keep").fit(codes)
+    indexed = df.join(codes, column, "left").withColumn(index, F.coalesce(index, F.lit(float((1 << 31) - 1))))
+    return encoder.transform(indexed).select(*df.columns, out)
 
 
 def count_entries(counts: DataFrame, key: str, value: str, terms: DataFrame, out: str) -> DataFrame:
     """Per key the sorted ``array<struct<pos,n>>`` over the positions in ``terms``.
 
-    ``counts`` has one row per key and value. ``terms`` comes from ``vocabulary``, so its
-    length is bounded and it can be sent to all tasks.
+    ``counts`` has one row per key and value. ``terms`` comes from ``vocabulary``.
     """
-    placed = counts.join(F.broadcast(terms), value, "inner")
+    placed = counts.join(terms, value, "inner")
     return placed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "n"))).alias(out))
 
 

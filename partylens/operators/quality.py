@@ -5,16 +5,14 @@ from __future__ import annotations
 from itertools import combinations_with_replacement
 from math import ceil, floor
 
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partylens.functions.numbers import rounded
-from partylens.operators.encoders import assembled, complete
 from partylens.session import stable
 
-# Above this many columns the correlation matrix is computed on vectors.
-MAX_CORRELATION_COLUMNS = 40
+# Column pairs of one aggregation; wider tables take several, by the same rule.
+PAIRS_AT_ONCE = 200
 
 
 def _one_row_per_column(totals: DataFrame, columns: list[str], measures: list[str]) -> DataFrame:
@@ -178,20 +176,20 @@ def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: list[str], digits: int | None = 2) -> DataFrame:
     """Pearson correlations of all column pairs as rows ``(a, b, r)``; a constant column gives null."""
-    if len(columns) > MAX_CORRELATION_COLUMNS:
-        return _vector_correlation(df, columns, digits)
     pairs = list(combinations_with_replacement(columns, 2))
-    totals = df.agg(*[
-        _correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    both_ways = {(a, b): i for i, (a, b) in enumerate(pairs)}
-    both_ways.update({(b, a): i for (a, b), i in list(both_ways.items())})
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _shown(F.col(f"r{i}"), digits).alias("r"))
-        for (a, b), i in both_ways.items()
-    ])
-    return totals.select(F.inline(rows))
+    parts = None
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        block = pairs[at:at + PAIRS_AT_ONCE]
+        totals = df.agg(*[
+            _correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(block)
+        ])
+        rows = F.array(*[
+            F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), _shown(F.col(f"r{i}"), digits).alias("r"))
+            for i, (a, b) in enumerate(block) for x, y in dict.fromkeys([(a, b), (b, a)])
+        ])
+        found = totals.select(F.inline(rows))
+        parts = found if parts is None else parts.unionByName(found)
+    return parts
 
 
 def _correlation(a: Column, b: Column) -> Column:
@@ -203,13 +201,3 @@ def _correlation(a: Column, b: Column) -> Column:
 
 def _shown(r: Column, digits: int | None) -> Column:
     return r if digits is None else rounded(r, digits)
-
-
-def _vector_correlation(df: DataFrame, columns: list[str], digits: int | None) -> DataFrame:
-    """Many columns: one pass over vectors; the result is columns x columns numbers."""
-    vectors = assembled(df.where(complete(columns)), columns, "_v").select("_v")
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    table = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
-    r = F.when(~F.isnan("r"), F.col("r"))
-    return table.withColumn("r", _shown(r, digits))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from partylens.operators.clustering import SEED, cluster_sizes, fit_kmeans, fit_validated, silhouette
 from partylens.operators.encoders import assembled, complete
 from partylens.plans.features import training_columns, training_rows
+from partylens.schemas import FEATURE_COLUMNS
 from partylens.session import stable
 
 
@@ -27,6 +28,11 @@ class CustomerClusters:
         return silhouette(self.assigned)
 
 
+def feature_order(columns: list[str]) -> list[str]:
+    """The one order in which training and scoring put features into a vector; further columns come after."""
+    return [c for c in FEATURE_COLUMNS if c in columns] + [c for c in columns if c not in FEATURE_COLUMNS]
+
+
 def train_clusters(
     combined: DataFrame, k: int = 4, seed: int = SEED, include_ids: bool = False,
     columns: list[str] | None = None,
@@ -36,7 +42,7 @@ def train_clusters(
     The rows are written first, so the many passes of the fit do not repeat the joins.
     """
     rows = stable(training_rows(combined, include_ids), "training")
-    columns = columns or training_columns(rows, include_ids)
+    columns = columns or feature_order(training_columns(rows, include_ids))
     skipped = rows.agg(F.count_if(~complete(columns))).first()[0]
     vectors = assembled(rows, columns, invalid="skip")
     model = fit_validated(vectors, k, seed)

@@ -52,7 +52,7 @@ def _features(
         merged += [build[name].alias(f"{name}_{column}") for name in names]
     per_currency = stable(known.groupBy(KEY, CURRENCY).agg(*partial), "per-currency")
     terms = vocabulary(per_currency, CURRENCY, rows="_rows")
-    placed = per_currency.join(F.broadcast(terms), CURRENCY, "left")
+    placed = per_currency.join(terms, CURRENCY, "left")
     entry = F.struct(F.col(CURRENCY).alias("value"), "pos", F.col("_rows").alias("n"))
     features = placed.groupBy(KEY).agg(
         F.array_sort(F.collect_list(F.when(F.col(CURRENCY).isNotNull(), entry))).alias(lists),

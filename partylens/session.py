@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,20 +30,10 @@ def build_session(app: str = "partylens", master: str | None = None, **conf: str
 def stage_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster such a
-    folder would be invisible to the other machines, so that is an error.
+    Where that is unset they go below the warehouse, which all executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
-    return root.rstrip("/")
-
-
-@cache
-def _local_root() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="partylens-")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/partylens-stages").rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -118,3 +118,12 @@ def test_cluster_profile_and_sweep(profile):
     assert found.assigned.count() == 30 and found.elbow.count() == 3
     assert found.explanation.count() == 3 * (4 + 3) and found.correlations.count() == 16
     assert profiles.sweep_profile(profile, [4, 3]).count() == (4 + 3) * 4
+
+
+def test_explanation_leaves_out_missing_values(spark):
+    rows = [(i % 2, float(i) if i % 5 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "prediction int, x double")
+    got = {r.cluster: r.r for r in clustering.explain_clusters(df, ["x"]).collect()}
+    for c in (0, 1):
+        want = df.where("x is not null").select(F.corr(F.when(F.col("prediction") == c, 1.0).otherwise(0.0), "x")).first()[0]
+        assert got[c] == pytest.approx(round(want, 2), abs=0.011)

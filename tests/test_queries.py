@@ -1,8 +1,4 @@
-"""Queries against their SQL on the smallest test tables.
-
-Whole jobs and clustering take minutes; ``TEST_SLOW=1`` runs them too.
-Their parts have tests of their own, and ``verification.check`` compares everything.
-"""
+"""All queries against their SQL on the smallest test tables."""
 
 import os
 
@@ -14,16 +10,12 @@ from verification.check import compare, connect
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-SLOW = ("q", "m")
-TESTED = [n for n in QUERIES if os.environ.get("TEST_SLOW") or not n.startswith(SLOW)]
-
-
 @pytest.fixture(scope="module")
 def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", TESTED)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     if name in SQL:

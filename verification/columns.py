@@ -216,7 +216,7 @@ def _(b: Business) -> DataFrame:
     return b.transfers.groupBy("party_id").agg(numbers.rounded(F.avg("amount")).alias("mean"))
 
 
-@query("f08_cut_to_integer", "SELECT index_ AS row_id, CAST(trunc(amount) AS INT) AS amount FROM transfer_history")
+@query("f08_cut_to_integer", "SELECT index_ AS row_id, CAST(trunc(amount) AS BIGINT) AS amount FROM transfer_history")
 def _(b: Business) -> DataFrame:
     return b.transfers.select(F.col("index").alias("row_id"), numbers.whole(F.col("amount")).alias("amount"))
 
