@@ -78,9 +78,11 @@ def trained(sample: pd.DataFrame) -> pd.DataFrame:
             error[label] -= 1
             rate = RATE * (1 - done / steps)
             back = out @ error
-            out -= rate * np.outer(hidden, error)
+            # no step moves a text's logits by more than its error, however few features it has
+            inner = min(rate * DIMENSION, 1 / (float(share @ share) * float((out * out).sum()) + 1e-9))
+            out -= min(rate, 1 / (float(hidden @ hidden) + 1e-9)) * np.outer(hidden, error)
             bias -= 0.05 * rate * error
-            table[bucket] -= (rate * DIMENSION) * share[:, None] * back
+            table[bucket] -= inner * share[:, None] * back
             done += 1
     folded = table @ (out[:, 1] - out[:, 0])
     return pd.DataFrame({"table": [folded.astype(np.float32).tobytes()], "bias": [float(bias[1] - bias[0])]})
