@@ -24,11 +24,15 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, features: str = "fe
 def fit_kmeans_each(
     vectors: DataFrame, ks: list[int], seed: int = SEED, features: str = "features", parallel: int = 8
 ) -> dict[int, KMeansModel]:
-    """A model per ``k``, several fits at a time over one cached copy. Give a written table."""
+    """A model per ``k``, several fits at a time over one cached copy. Give a written table.
+
+    There are no more clusters than different points (but 2 at least, the fewest that the fit takes).
+    """
     points = vectors.select(features).persist()
     try:
+        most = max(2, points.distinct().limit(max(ks, default=2)).count())
         with ThreadPool(max(1, min(parallel, len(ks)))) as pool:
-            models = pool.map(lambda k: fit_kmeans(points, k, seed, features), ks)
+            models = pool.map(lambda k: fit_kmeans(points, min(k, most), seed, features), ks)
     finally:
         points.unpersist()
     return dict(zip(ks, models))
@@ -96,10 +100,11 @@ def explain_clusters(
     """Correlation of each cluster's 0/1 flag with each feature: ``(feature, cluster, r)``.
 
     With a 0/1 flag of share p Pearson's r is (mean inside - mean) / deviation * sqrt(p / (1 - p)),
-    so grouped means are enough. Rows without a feature are left out of that feature's share and means. Each value of ``category`` counts as a 0/1 feature; its r
-    follows from the counts per cluster and value, without a column per value.
+    so grouped means are enough. Rows without a feature are left out of that feature's share and means. Each
+    value of ``category`` counts as a 0/1 feature; its r follows from the counts per cluster and value, without a
+    column per value. ``cluster`` may be a column of texts; a row without cluster has no flag set.
     """
-    groups = assigned.groupBy(F.col(cluster).cast("int").alias("cluster")).agg(
+    groups = assigned.groupBy(_label(assigned, cluster)).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean")).alias(c) for c in numeric]
     )
     total = assigned.agg(
@@ -127,16 +132,21 @@ def explain_clusters(
     if category:
         flags = _category_flags(assigned, category, cluster)
         parts = parts.unionByName(flags) if parts is not None else flags
-    return parts.select("feature", "cluster", rounded(F.col("r")).alias("r"))
+    return parts.where(F.col("cluster").isNotNull()).select("feature", "cluster", rounded(F.col("r")).alias("r"))
+
+
+def _label(assigned: DataFrame, cluster: str) -> Column:
+    named = dict(assigned.dtypes)[cluster] == "string"
+    return (F.col(cluster) if named else F.col(cluster).cast("int")).alias("cluster")
 
 
 def _category_flags(assigned: DataFrame, category: str, cluster: str) -> DataFrame:
     cells = (
         assigned.where(F.col(category).isNotNull())
-        .groupBy(F.col(cluster).cast("int").alias("cluster"), F.col(category).alias("feature"))
+        .groupBy(_label(assigned, cluster), F.col(category).alias("feature"))
         .agg(F.count(F.lit(1)).alias("both"))
     )
-    by_cluster = assigned.groupBy(F.col(cluster).cast("int").alias("cluster")).agg(F.count(F.lit(1)).alias("n_c"))
+    by_cluster = assigned.groupBy(_label(assigned, cluster)).agg(F.count(F.lit(1)).alias("n_c"))
     by_value = cells.groupBy("feature").agg(F.sum("both").alias("n_v"))
     rows = assigned.agg(F.count(F.lit(1))).scalar().cast("double")
     # Clusters are few and fixed by k, so each value meets each cluster as a list entry.

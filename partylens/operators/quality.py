@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from itertools import combinations_with_replacement
-from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partylens.functions.numbers import rounded
+from partylens.operators.ranking import running_sums
 from partylens.session import stable
 
 # Column pairs of one aggregation; wider tables take several, by the same rule.
@@ -56,103 +56,34 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: tuple[float, ...] = (0.25, 0.5, 0.75),
-    most_rows: int = 1_000_000,
-    accuracy: int = 10_000,
+    df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
     """Exact interpolated quantiles as rows ``(column_name, probability, quantile)``.
 
-    ``percentile`` would hold all distinct values of a column in one task. Here an
-    approximate quantile first brackets each wanted rank; the rows below the bracket are
-    only counted, and the exact rank is looked up among the few values inside it. The table is
-    passed over several times, so give a written one.
+    ``percentile`` would hold all distinct values of a column in one task. Here each value is counted once,
+    the values of all columns are spread by range, and a value's last rank is its place in its piece plus what
+    lies in the pieces before; only one number per piece and column passes through a single task. Columns
+    without values give no rows.
     """
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    firsts = data.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-        for c in columns
-    ]).first()
-    targets = []
-    for c in columns:
-        n = firsts[c]["n"]
-        for p in probabilities:
-            if n:
-                spot = (n - 1) * p
-                targets.append({"column": c, "p": p, "n": n, "spot": spot, "below": 0, "inside": n,
-                                "lo": firsts[c]["lo"], "hi": firsts[c]["hi"]})
-    for _ in range(4):
-        wide = [t for t in targets if t["inside"] > most_rows and t["lo"] < t["hi"]]
-        if not wide or not _narrow(data, wide, accuracy):
-            break
-    return _look_up(data, targets)
-
-
-def _inside(target: dict) -> Column:
-    return F.col(target["column"]).between(F.lit(target["lo"]), F.lit(target["hi"]))
-
-
-def _narrow(data: DataFrame, targets: list[dict], accuracy: int) -> bool:
-    """Tighten the brackets in two passes; False when none got smaller."""
-    slack = 2.0 / accuracy
-    bounds = data.agg(*[
-        F.percentile_approx(
-            F.when(_inside(t), F.col(t["column"])),
-            [max(0.0, (floor(t["spot"]) - t["below"]) / t["inside"] - slack),
-             min(1.0, (ceil(t["spot"]) - t["below"] + 1) / t["inside"] + slack)],
-            accuracy,
-        ).alias(f"t{i}")
-        for i, t in enumerate(targets)
-    ]).first()
-    tighter = [{**t, "lo": bounds[i][0], "hi": bounds[i][1]} for i, t in enumerate(targets)]
-    counts = data.agg(*[
-        F.struct(F.count_if(F.col(t["column"]) < F.lit(t["lo"])).alias("below"),
-                 F.count_if(_inside(t)).alias("inside")).alias(f"t{i}")
-        for i, t in enumerate(tighter)
-    ]).first()
-    progress = False
-    for i, (old, new) in enumerate(zip(targets, tighter)):
-        below, inside = counts[i]["below"], counts[i]["inside"]
-        holds_ranks = below <= floor(old["spot"]) and ceil(old["spot"]) < below + inside
-        if holds_ranks and inside < old["inside"]:
-            old.update(lo=new["lo"], hi=new["hi"], below=below, inside=inside)
-            progress = True
-    return progress
-
-
-def _look_up(data: DataFrame, targets: list[dict]) -> DataFrame:
-    spark = data.sparkSession
-    schema = "column_name string, probability double, quantile double"
-    if not targets:
-        return spark.createDataFrame([], schema)
-    hits = F.array(*[
-        F.when(_inside(t), F.struct(F.lit(i).alias("target"), F.col(t["column"]).alias("value")))
-        for i, t in enumerate(targets)
-    ])
-    counts = (
-        data.select(F.inline(F.filter(hits, lambda h: h.isNotNull())))
-        .groupBy("target", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    up_to = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = spark.createDataFrame(
-        [(i, t["column"], t["p"], t["below"], t["spot"]) for i, t in enumerate(targets)],
-        "target int, column_name string, probability double, below long, spot double",
-    )
-    placed = counts.withColumn("last", F.sum("n").over(up_to)).join(F.broadcast(wanted), "target")
-    last = F.col("below") + F.col("last") - 1
+    listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = df.select(F.inline(listed)).where(F.col("value").isNotNull()).groupBy("column_name", "value")
+    counts = counts.agg(F.count(F.lit(1)).alias("_rows"))
+    placed = running_sums(counts, "_rows", ["column_name"], [F.col("value")], "_upto")
+    totals = placed.groupBy("column_name").agg(F.max("_upto").alias("_all"))
+    # One row per column on this side.
+    targets = totals.select("column_name", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"),
+                            F.col("_all").alias("_all"))
+    spot = (F.col("_all") - 1) * F.col("probability")
+    last = F.col("_upto") - 1
+    first = F.col("_upto") - F.col("_rows")
 
     def at(rank: Column) -> Column:
-        return F.min(F.when(last >= rank, F.col("value")))
-
-    low, high = at(F.floor("spot")), at(F.ceil("spot"))
-    share = F.first("spot") - F.floor(F.first("spot"))
-    return (
-        placed.groupBy("target", "column_name", "probability")
-        .agg((low + (high - low) * share).alias("quantile"))
-        .drop("target")
-    )
+        return F.max(F.when((first <= rank) & (rank <= last), F.col("value")))
+
+    hits = placed.join(F.broadcast(targets), "column_name").where((first <= F.ceil(spot)) & (F.floor(spot) <= last))
+    low, high = at(F.floor(spot)), at(F.ceil(spot))
+    return hits.groupBy("column_name", "probability").agg(
+        (low + (high - low) * F.max(spot - F.floor(spot))).alias("quantile"))
 
 
 def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from partylens.functions.dates import whole_days
 from partylens.functions.numbers import monthly_rate
 from partylens.functions.text import words
-from partylens.operators.clustering import elbow, explain_clusters, fit_kmeans, sweep
+from partylens.operators.clustering import elbow, explain_clusters, fit_kmeans_each, sweep
 from partylens.operators.columns import drop_duplicate_rows, top_rows
 from partylens.operators.encoders import complete, one_hot_vector, assembled, unit_columns
 from partylens.operators.joins import keys, left_with_defaults
@@ -84,9 +84,10 @@ def common_regions(profile: DataFrame, count: int = 2) -> list[str]:
 
 
 def profile_rows(profile: DataFrame, variant: str = "all", regions: list[str] | None = None) -> DataFrame:
-    """Rows for clustering, scaled over all parties.
+    """Rows for clustering, scaled over all parties; parties with a gap in their activity have no place in it.
 
-    ``all`` keeps the place, ``pair`` only the parties of the given regions, ``none`` drops the place.
+    ``all`` keeps the place, ``pair`` only the parties of the given regions, ``none`` drops the place. A party
+    without a place stays, with no place flag set.
     ``none`` after ``pair`` works on the same parties when ``regions`` is given.
     """
     rows = unit_columns(profile.where(complete(ACTIVITY)), ACTIVITY)
@@ -96,7 +97,7 @@ def profile_rows(profile: DataFrame, variant: str = "all", regions: list[str] |
         return rows.drop("region")
     if variant == "pair" and regions is None:
         raise ValueError("name the regions")
-    return rows.where(F.col("region").isNotNull())
+    return rows
 
 
 def profile_vectors(rows: DataFrame, weight: float = 1.0) -> DataFrame:
@@ -115,27 +116,29 @@ def profile_vectors(rows: DataFrame, weight: float = 1.0) -> DataFrame:
 
 @dataclass
 class ProfileClusters:
-    """Result of one clustering: cost per k, rows with their cluster, what marks each cluster."""
+    """Result of one clustering: cost per k, rows with their cluster, what marks each cluster, correlations."""
 
     elbow: DataFrame
     assigned: DataFrame
     explanation: DataFrame
     correlations: DataFrame
+    places: DataFrame | None
 
 
 def cluster_profile(
     profile: DataFrame, k: int = 3, variant: str = "all", regions: list[str] | None = None,
     weight: float = 1.0, ks: range | list[int] = range(1, 16), seed: int = 1,
 ) -> ProfileClusters:
-    """Scale, encode, try ``ks`` clusters, take ``k`` and explain them."""
+    """Scale, encode, try ``ks`` clusters, take ``k`` and explain them; correlate activity with activity and places."""
     vectors = stable(profile_vectors(profile_rows(profile, variant, regions), weight), "profile")
-    assigned = fit_kmeans(vectors, k, seed).transform(vectors)
+    assigned = fit_kmeans_each(vectors, [k], seed)[k].transform(vectors)
     category = "region" if "region" in vectors.columns else None
     return ProfileClusters(
         elbow(vectors, ks, seed),
         assigned,
         explain_clusters(assigned, ACTIVITY, category),
         correlation_matrix(assigned, ACTIVITY),
+        explain_clusters(vectors, ACTIVITY, cluster=category) if category else None,
     )
 
 
@@ -145,3 +148,48 @@ def sweep_profile(
     """Cluster explanation without places for several numbers of clusters."""
     vectors = stable(profile_vectors(profile_rows(profile, "none", regions)), "profile")
     return sweep(vectors, ks, ACTIVITY, seed=seed)
+
+
+def profile_study(
+    profile: DataFrame, ks: range | list[int] = range(1, 16), sweep_ks: list[int] = [7, 6, 5, 4, 3],
+    weight: float = 0.05, seed: int = 1,
+) -> DataFrame:
+    """The whole study as rows ``(variant, measure, k, feature, item, value)``. Give a written table.
+
+    ``all``: all places, 3 clusters. ``pair``: the two commonest regions with a weight, 5 clusters. ``none``: the same
+    parties without place, swept. Measures: ``cost`` per k, ``cluster`` (r of cluster ``item`` and feature), ``correlation``
+    of two activities, ``place`` (r of place ``item`` and feature), and ``parties`` with ``clustered`` and ``left out``.
+    """
+    regions = common_regions(profile)
+    found = {
+        "all": cluster_profile(profile, 3, "all", None, 1.0, ks, seed),
+        "pair": cluster_profile(profile, 5, "pair", regions, weight, ks, seed),
+    }
+    bare = stable(profile_vectors(profile_rows(profile, "none", regions)), "profile")
+
+    def rows(df: DataFrame, variant: str, measure: str, **fields: str) -> DataFrame:
+        kinds = {"k": "int", "feature": "string", "item": "string", "value": "double"}
+        return df.select(F.lit(variant).alias("variant"), F.lit(measure).alias("measure"), *[
+            F.expr(fields.get(name, "null")).cast(kind).alias(name) for name, kind in kinds.items()])
+
+    parts = []
+    for (variant, one), k in zip(found.items(), ("3", "5")):
+        parts.append(rows(one.elbow, variant, "cost", k="k", value="cost"))
+        parts.append(rows(one.explanation, variant, "cluster", k=k, feature="feature", item="cluster", value="r"))
+        parts.append(rows(one.correlations, variant, "correlation", feature="a", item="b", value="r"))
+        parts.append(rows(one.places, variant, "place", feature="feature", item="cluster", value="r"))
+    parts.append(rows(elbow(bare, ks, seed), "none", "cost", k="k", value="cost"))
+    swept = sweep(bare, sweep_ks, ACTIVITY, seed=seed)
+    parts.append(rows(swept, "none", "cluster", k="k", feature="feature", item="cluster", value="r"))
+    parts.append(rows(correlation_matrix(bare, ACTIVITY), "none", "correlation", feature="a", item="b", value="r"))
+    chosen = {"all": F.lit(True), "pair": F.col("region").isin(regions), "none": F.col("region").isin(regions)}
+    for variant, inside in chosen.items():
+        inside = complete(ACTIVITY) & F.coalesce(inside, F.lit(False))
+        counts = profile.agg(F.count_if(inside).alias("clustered"), F.count_if(~inside).alias("left"))
+        pair = F.array(F.struct(F.lit("clustered").alias("what"), F.col("clustered").alias("n")),
+                       F.struct(F.lit("left out").alias("what"), F.col("left").alias("n")))
+        parts.append(rows(counts.select(F.inline(pair)), variant, "parties", item="what", value="n"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partylens.operators.aggregates import histogram
 from partylens.operators.joins import reconcile_last_login
-from partylens.operators.quality import null_counts
 
 
 def login_reconciliation(logins: DataFrame, static: DataFrame) -> DataFrame:
@@ -16,28 +14,26 @@ def login_reconciliation(logins: DataFrame, static: DataFrame) -> DataFrame:
 
 
 def static_quality(static: DataFrame) -> DataFrame:
-    """Gaps, value counts and date range of the master data as ``(measure, item, n)``.
+    """Gaps, value counts and date range of the master data as ``(measure, item, n)``, in one pass.
 
-    Dates are given as days since 1970-01-01.
+    Dates are given as days since 1970-01-01. An empty table gives no rows.
     """
-    gaps = null_counts(static, ["size", "package", "lob_code"]).select(
-        F.lit("missing").alias("measure"), F.col("column_name").alias("item"), F.col("nulls").alias("n")
+    day = F.unix_date(F.col("created_on").cast("date")).cast("long")
+
+    def entry(measure: str, item: Column, n: Column = F.lit(1), day: Column = F.lit(None)) -> Column:
+        return F.struct(F.lit(measure).alias("measure"), item.alias("item"),
+                        n.cast("long").alias("n"), day.cast("long").alias("day"))
+
+    entries = F.array(
+        *[entry("missing", F.lit(c), F.col(c).isNull().cast("int")) for c in ("size", "package", "lob_code")],
+        *[entry(f"{c} values", F.col(c).cast("string")) for c in ("county", "package", "size")],
+        entry("regions of county", F.concat(F.col("county"), F.lit(" "), F.col("region").cast("string"))),
+        *[entry("created_on", F.lit(which), day=day) for which in ("first", "last")],
     )
-    counts = [
-        histogram(static, c).select(F.lit(f"{c} values").alias("measure"), F.col(c).alias("item"), "n")
-        for c in ("county", "package", "size")
-    ]
-    pairs = histogram(static, "county", "region").select(
-        F.lit("regions of county").alias("measure"), F.concat_ws(" ", "county", "region").alias("item"), "n"
+    found = static.select(F.inline(entries)).where(F.col("item").isNotNull()).groupBy("measure", "item")
+    n = (
+        F.when(F.col("measure") != "created_on", F.sum("n"))
+        .when(F.col("item") == "first", F.min("day"))
+        .otherwise(F.max("day"))
     )
-    dates = static.agg(
-        F.unix_date(F.max("created_on").cast("date")).cast("long").alias("last"),
-        F.unix_date(F.min("created_on").cast("date")).cast("long").alias("first"),
-    ).select(F.inline(F.array(*[
-        F.struct(F.lit("created_on").alias("measure"), F.lit(which).alias("item"), F.col(which).alias("n"))
-        for which in ("first", "last")
-    ])))
-    out = gaps
-    for part in [*counts, pairs, dates]:
-        out = out.unionByName(part)
-    return out
+    return found.agg(n.alias("n"))

@@ -85,10 +85,10 @@ ID_COLUMNS = ["party_id", "index"]
 FEATURE_COLUMNS = [f.name for f in MESSAGE if f.name not in TEXT_COLUMNS + ID_COLUMNS]
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of ``df`` in the order and types of a declared table; an error names missing ones."""
+def conform(df: DataFrame, table: str, keep: list[str] = []) -> DataFrame:
+    """Columns of ``df`` in the order and types of a declared table, then ``keep``; an error names missing ones."""
     wanted, _ = TABLES[table]
     missing = [f.name for f in wanted if f.name not in df.columns]
     if missing:
         raise ValueError(f"table {table} needs the columns {missing}")
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in wanted])
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in wanted], *keep)

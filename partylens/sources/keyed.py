@@ -1,101 +1,65 @@
 """Tables with a key on plain Parquet: append is upsert, the last write wins.
 
-A table is a folder ``generation=G/batch=N``. Each write adds one batch; writing the same
-batch number again replaces it, so a repeated micro-batch changes nothing. Reading keeps the
-newest row per key. ``compact`` writes the result as the only batch of the next generation.
-Only batches whose write was completed are read.
+A table is a folder of writes, ``writer=W/batch=N``; repeating a write replaces it and touches no other.
+Every row carries a version, and reading keeps the newest row per key. Which write came later
+plays no part, so several writers, restarts and repeats give the same table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partylens.schemas import TABLES, conform
 
-BATCH = "batch"
+VERSION = "_version"
+
 
+def newest_rows(df: DataFrame, keys: tuple[str, ...], version: str = VERSION) -> DataFrame:
+    """The row with the highest ``version`` per key; rows without a key go.
+
+    Equal versions are told apart by the other columns, the highest wins; a null version is the oldest. An
+    aggregate: the rows of a key are reduced before the shuffle, however many there are.
+    """
+    others = [c for c in df.columns if c not in (*keys, version)]
+    newest = F.max(F.struct(version, *others)).alias("_newest")
+    rows = df.dropna(subset=list(keys)).groupBy(*keys).agg(newest)
+    return rows.select(*[F.col(c) if c in keys else F.col("_newest")[c].alias(c) for c in df.columns])
 
-def _listing(spark: SparkSession, path: str) -> dict[int, list[int]]:
-    """Completed batch numbers per generation, from folder names."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/generation=*/{BATCH}=*/_SUCCESS")
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[int, list[int]] = {}
-    for status in files.globStatus(pattern) or []:
-        batch = status.getPath().getParent()
-        generation = int(batch.getParent().getName().split("=")[1])
-        found.setdefault(generation, []).append(int(batch.getName().split("=")[1]))
-    return {generation: sorted(batches) for generation, batches in found.items()}
 
+def _versioned(df: DataFrame, version: Column | str) -> DataFrame:
+    return df.withColumn(VERSION, F.col(version) if isinstance(version, str) else version)
 
-def upsert(df: DataFrame, path: str, keys: tuple[str, ...], batch: int | None = None,
-           version: str | None = None) -> None:
-    """Add the rows of ``df``; rows with a known key replace the stored ones.
 
-    Costs one write of ``df`` alone. Several rows of one key inside ``df`` collapse to the one
-    with the highest ``version``, or to the highest row. ``batch`` defaults to the next number.
+def upsert(df: DataFrame, path: str, keys: tuple[str, ...], version: Column | str,
+           writer: str | None = None, batch: int = 0) -> None:
+    """Add the rows of ``df``; a row replaces the stored one of its key if its ``version`` is higher.
+
+    ``version`` must have one type in all writes of a table. ``writer`` and ``batch`` name the write:
+    the same pair again replaces it. Without a writer, each call is a write of its own.
     """
-    spark = df.sparkSession
-    found = _listing(spark, path)
-    generation = max(found, default=0)
-    if batch is None:
-        batch = max(found.get(generation, []), default=-1) + 1
-    elif generation and batch <= min(found[generation]):
-        return  # already part of the compacted base
-    newest_first = ([F.desc(version)] if version else []) + [F.desc(c) for c in df.columns if c not in keys]
-    known = df.dropna(subset=list(keys))
-    _newest(known, keys, newest_first).write.mode("overwrite").parquet(
-        f"{path}/generation={generation}/{BATCH}={batch}"
-    )
-
-
-def _newest(df: DataFrame, keys: tuple[str, ...], newest_first: list) -> DataFrame:
-    order = newest_first or [F.lit(0)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    rows = newest_rows(_versioned(df, version), keys)
+    rows.write.mode("overwrite").parquet(f"{path}/writer={writer or uuid.uuid4().hex}/batch={batch}")
 
 
 def read_keyed(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
-    """Newest row per key.
+    """Newest row per key over all writes."""
+    rows = spark.read.option("basePath", path).parquet(path).drop("writer", "batch")
+    return newest_rows(rows, keys).drop(VERSION)
+
+
+def write_table(df: DataFrame, root: str, table: str, version: Column | str,
+                writer: str | None = None, batch: int = 0) -> None:
+    """Upsert into a declared table: columns and key come from its declaration.
 
-    Each batch has a key once, so the first (usually large) batch only loses the rows whose
-    key occurs later; while the later batches are small, that needs no shuffle of the first.
+    ``version`` may use columns of ``df`` that the table lacks. A job that replaces whole rows can take
+    its start time.
     """
-    found = _listing(spark, path)
-    if not found:
-        raise FileNotFoundError(f"no completed batch in {path}")
-    generation = max(found)
-    base = f"{path}/generation={generation}"
-    first, *later = [f"{base}/{BATCH}={n}" for n in found[generation]]
-    old = spark.read.option("basePath", base).parquet(first)
-    if not later:
-        return old.drop(BATCH)
-    new = spark.read.option("basePath", base).parquet(*later)
-    newest = _newest(new, keys, [F.desc(BATCH)])
-    kept = old.join(new.select(*keys).distinct(), list(keys), "left_anti").select(*newest.columns)
-    return kept.unionByName(newest).drop(BATCH)
-
-
-def compact(spark: SparkSession, path: str, keys: tuple[str, ...]) -> None:
-    """Write the newest rows as the base of the next generation; call it between writes."""
-    found = _listing(spark, path)
-    generation = max(found)
-    target = f"{path}/generation={generation + 1}/{BATCH}={max(found[generation])}"
-    read_keyed(spark, path, keys).write.mode("overwrite").parquet(target)
-
-
-def expire(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete all generations but the newest ``keep``; readers of an older one must be done."""
-    jvm = spark._jvm
-    for generation in sorted(_listing(spark, path))[:-keep]:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/generation={generation}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def write_table(df: DataFrame, root: str, table: str, batch: int | None = None) -> None:
-    """Upsert into a declared table: columns and key come from its declaration."""
-    upsert(conform(df, table), f"{root}/{table}", TABLES[table][1], batch)
+    _, keys = TABLES[table]
+    rows = conform(_versioned(df, version), table, keep=[VERSION])
+    upsert(rows, f"{root}/{table}", keys, VERSION, writer, batch)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

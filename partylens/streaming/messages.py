@@ -12,9 +12,12 @@ from partylens.schemas import FEATURE_COLUMNS, MESSAGE
 
 CORRUPT = "_corrupt_record"
 
+# Where and when a message arrived; compared in this order, the later message is the newer one.
+ARRIVAL = ["_sent", "_source", "_place"]
+
 
 def message_stream(spark: SparkSession, fmt: str = "text", **options: str) -> DataFrame:
-    """Stream of messages with a ``value`` column: a folder of text files, or any connector.
+    """Stream of messages with ``value`` and ``ARRIVAL``: a folder of text files, or any connector.
 
     For Kafka: ``message_stream(spark, "kafka", subscribe=topic, startingOffsets="earliest",
     **{"kafka.bootstrap.servers": servers})``. Dots in option names may be given as ``__``.
@@ -22,12 +25,39 @@ def message_stream(spark: SparkSession, fmt: str = "text", **options: str) -> Da
     options = {k.replace("__", "."): str(v) for k, v in options.items()}
     if fmt == "kafka":
         options.setdefault("startingOffsets", "earliest")
-    return decoded(spark.readStream.format(fmt).options(**options).load())
+    return decoded(spark.readStream.format(fmt).options(**options).load(), files=fmt == "text")
+
+
+def decoded(messages: DataFrame, files: bool = False) -> DataFrame:
+    """Message bytes as text, with ``ARRIVAL`` where the source tells it.
+
+    A log gives time, partition and offset. Text files (``files``) give their time and name; the lines of a
+    file are numbered in the batch, see ``placed``.
+    """
+    value = F.col("value").cast("string").alias("value")
+    if {"timestamp", "partition", "offset"} <= set(messages.columns):
+        source = F.concat_ws("-", "topic", "partition") if "topic" in messages.columns else F.col("partition").cast("string")
+        arrival = [F.col("timestamp"), source, F.col("offset").cast("long")]
+    elif files:
+        file = F.col("_metadata")
+        name = F.concat(file["file_path"], F.format_string("#%020d", file["file_block_start"]))
+        arrival = [file["file_modification_time"], name, F.lit(None).cast("long")]
+    else:
+        return messages.select(value)
+    return messages.select(value, *[c.alias(name) for c, name in zip(arrival, ARRIVAL)])
+
+
+def placed(batch: DataFrame) -> DataFrame:
+    """A batch whose lines of text files are numbered; the numbers grow along a file. Call it before any shuffle."""
+    *_, place = ARRIVAL
+    if place not in batch.columns:
+        return batch
+    return batch.withColumn(place, F.coalesce(place, F.monotonically_increasing_id()))
 
 
-def decoded(messages: DataFrame) -> DataFrame:
-    """Message bytes as text."""
-    return messages.select(F.col("value").cast("string").alias("value"))
+def arrival() -> Column:
+    """The version of a message for keyed tables: a later arrival is higher."""
+    return F.struct(*ARRIVAL)
 
 
 def field(line: Column, position: int) -> Column:
@@ -36,13 +66,14 @@ def field(line: Column, position: int) -> Column:
 
 
 def parsed(messages: DataFrame, schema: T.StructType = MESSAGE) -> DataFrame:
-    """Typed columns next to the raw ``value``, by position and aware of quotes.
+    """Typed columns next to the raw ``value`` and its arrival, by position and aware of quotes.
 
     A line that does not fit keeps its text in ``_corrupt_record``.
     """
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in [*schema, T.StructField(CORRUPT, T.StringType())])
     row = F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.withColumn("_row", row).select("value", "_row.*")
+    kept = [c for c in ARRIVAL if c in messages.columns]
+    return messages.withColumn("_row", row).select("value", *kept, "_row.*")
 
 
 def reject_reason(columns: list[str] = FEATURE_COLUMNS) -> Column:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from partylens.functions.vectors import vector_text
 from partylens.operators.encoders import assembled
-from partylens.schemas import FEATURE_COLUMNS, TABLES
-from partylens.sources.keyed import compact, upsert, write_table
-from partylens.streaming.messages import parsed, reject_reason
+from partylens.schemas import FEATURE_COLUMNS
+from partylens.sources.keyed import upsert, write_table
+from partylens.streaming.messages import arrival, parsed, placed, reject_reason
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 EVERY_SECOND_CONTINUOUS = {"continuous": "1 second"}
@@ -33,32 +33,35 @@ def score_messages(
     checkpoint: str,
     trigger: dict | None = None,
     columns: list[str] = FEATURE_COLUMNS,
-    compact_every: int = 1_000,
 ) -> StreamingQuery:
     """Start the query: parse, score, upsert into ``predictions``; bad lines go to ``rejects``.
 
-    Both tables are written per batch number, so a batch that is repeated after a
-    failure replaces itself. The predictions are compacted after every ``compact_every`` batches.
+    Both tables are written per query and batch number: a batch that is repeated after a failure replaces
+    itself, and a query with a checkpoint of its own adds to what others wrote. Of several messages of a party
+    the last to arrive counts.
     """
     rows = parsed(messages).withColumn("reason", reject_reason(columns))
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        writer = query_id(batch)
+        batch = placed(batch).persist()
         try:
             good = batch.where(F.col("reason").isNull())
-            scores = scored(good, model, columns)
-            write_table(scores.withColumn("features", vector_text(F.col("features"))), root, "predictions", number)
+            scores = scored(good, model, columns).withColumn("features", vector_text(F.col("features")))
+            write_table(scores, root, "predictions", arrival(), writer, number)
             bad = batch.where(F.col("reason").isNotNull()).select("value", "reason")
-            bad.write.mode("overwrite").parquet(f"{root}/rejects/batch={number}")
+            bad.write.mode("overwrite").parquet(f"{root}/rejects/writer={writer}/batch={number}")
         finally:
             batch.unpersist()
-        if number % compact_every == compact_every - 1:
-            _, key = TABLES["predictions"]
-            compact(batch.sparkSession, f"{root}/predictions", key)
 
     return per_batch(rows, store, checkpoint, trigger)
 
 
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query that runs this batch; it lives as long as the query's checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def per_batch(
     stream: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -71,10 +74,14 @@ def per_batch(
     )
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: tuple[str, ...], checkpoint: str,
+def upsert_stream(stream: DataFrame, path: str, keys: tuple[str, ...], version: Column, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
-    """Keep a keyed table in step with a stream."""
-    return per_batch(stream, lambda batch, number: upsert(batch, path, keys, number), checkpoint, trigger)
+    """Keep a keyed table in step with a stream; ``version`` tells which row of a key is newer."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        upsert(placed(batch), path, keys, version, query_id(batch), number)
+
+    return per_batch(stream, store, checkpoint, trigger)
 
 
 def echo(messages: DataFrame, checkpoint: str, trigger: dict | None = None, path: str | None = None) -> StreamingQuery:
@@ -82,7 +89,7 @@ def echo(messages: DataFrame, checkpoint: str, trigger: dict | None = None, path
 
     The continuous trigger needs a source that supports it (Kafka, rate); files do not.
     """
-    writer = messages.writeStream.option("checkpointLocation", checkpoint)
+    writer = messages.select("value").writeStream.option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or EVERY_SECOND_CONTINUOUS))
     if path is None:
         return writer.format("console").start()

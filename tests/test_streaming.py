@@ -52,9 +52,11 @@ def test_upsert_stream_restarts(spark, rows):
         for _ in range(2):
             stream = messages.parsed(messages.message_stream(spark, path=f"{root}/in/*"), LINE)
             scoring.upsert_stream(
-                stream.drop("value", messages.CORRUPT), f"{root}/out", ("party_id",), f"{root}/cp", scoring.ALL_AVAILABLE
+                stream.drop("value", messages.CORRUPT), f"{root}/out", ("party_id",), messages.arrival(), f"{root}/cp",
+                scoring.ALL_AVAILABLE,
             ).awaitTermination()
-    assert rows(keyed.read_keyed(spark, f"{root}/out", ("party_id",))) == [
+    stored = keyed.read_keyed(spark, f"{root}/out", ("party_id",)).drop(*messages.ARRIVAL)
+    assert rows(stored) == [
         (0, "a", 0.0, 0), (1, "b", 1.0, 1), (2, "b", 1.0, 1), (3, "b", 1.0, 1)]
 
 
@@ -67,7 +69,7 @@ def feature_rows(spark, n):
     return spark.createDataFrame(data, schemas.MESSAGE)
 
 
-def test_scoring_rejects_bad_lines_and_compacts(spark):
+def test_scoring_rejects_bad_lines(spark):
     root = stage_path(spark, "score")
     rows = feature_rows(spark, 12)
     model = fit_kmeans(assembled(rows, schemas.FEATURE_COLUMNS), 2)
@@ -75,8 +77,7 @@ def test_scoring_rejects_bad_lines_and_compacts(spark):
     bad = ["", "1,2,3", "header," * 27 + "x"]
     spark.createDataFrame([(v,) for v in bad], "value string").coalesce(1).write.text(f"{root}/in/bad")
     stream = messages.message_stream(spark, path=f"{root}/in/*", maxFilesPerTrigger=1)
-    scoring.score_messages(
-        stream, model, root, f"{root}/cp", scoring.ALL_AVAILABLE, compact_every=2).awaitTermination()
+    scoring.score_messages(stream, model, root, f"{root}/cp", scoring.ALL_AVAILABLE).awaitTermination()
     found = {r.party_id: r.prediction for r in keyed.read_table(spark, root, "predictions").collect()}
     assert len(found) == 12 and len({found[i] for i in range(0, 12, 2)}) == 1 and found[0] != found[1]
     assert spark.read.parquet(f"{root}/rejects").count() == 3
@@ -93,3 +94,34 @@ def test_echo_to_files(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.message_stream(spark, "kafka", subscribe="t", kafka__bootstrap__servers="localhost:1")
+
+
+def test_the_last_line_of_a_party_counts(spark, rows):
+    """Also where its text is the lower one, and within one file."""
+    root = stage_path(spark, "lines")
+    lines = [(f"1,{note},{x},{i}",) for i, (note, x) in enumerate([("z", 9.0), ("m", 5.0), ("a", 1.0)])]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{root}/in")
+    stream = messages.parsed(messages.message_stream(spark, path=f"{root}/in"), LINE).drop("value", messages.CORRUPT)
+    scoring.upsert_stream(stream, f"{root}/out", ("party_id",), messages.arrival(), f"{root}/cp",
+                          scoring.ALL_AVAILABLE).awaitTermination()
+    assert rows(keyed.read_keyed(spark, f"{root}/out", ("party_id",)).drop(*messages.ARRIVAL)) == [(1, "a", 1.0, 2)]
+
+
+def test_log_messages_keep_their_offset(spark):
+    log = spark.createDataFrame([(b"x", "t", 3, 7)], "value binary, topic string, partition int, offset long")
+    found = messages.decoded(log.withColumn("timestamp", F.timestamp_seconds(F.lit(5)))).first()
+    assert (found.value, found._source, found._place) == ("x", "t-3", 7)
+    assert messages.decoded(log.select("value")).columns == ["value"]
+
+
+def test_five_second_trigger(spark):
+    root = stage_path(spark, "trigger")
+    rows = feature_rows(spark, 8)
+    model = fit_kmeans(assembled(rows, schemas.FEATURE_COLUMNS), 2)
+    messages.publish(rows, f"{root}/in", files=1)
+    query = scoring.score_messages(messages.message_stream(spark, path=f"{root}/in"), model, root, f"{root}/cp")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert keyed.read_table(spark, root, "predictions").count() == 8

@@ -1,4 +1,6 @@
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partylens import schemas
@@ -17,49 +19,35 @@ def frame(spark, *data):
     return spark.createDataFrame(list(data), "party_id long, version long, x double")
 
 
+AT = "version"
+
+
 def test_last_write_wins_and_repeat_changes_nothing(spark, path, rows):
-    keyed.upsert(frame(spark, (1, 1, 1.0), (1, 2, 2.0), (2, 1, 3.0), (None, 1, 9.0)), path, KEY, 0, "version")
-    keyed.upsert(frame(spark, (2, 2, 4.0), (3, 1, 5.0)), path, KEY, 1)
-    want = [(1, 2, 2.0), (2, 2, 4.0), (3, 1, 5.0)]
+    keyed.upsert(frame(spark, (1, 1, 1.0), (1, 2, 0.5), (2, 1, 3.0), (None, 1, 9.0)), path, KEY, AT, "w", 0)
+    keyed.upsert(frame(spark, (2, 2, -4.0), (3, 1, 5.0)), path, KEY, AT, "w", 1)
+    want = [(1, 2, 0.5), (2, 2, -4.0), (3, 1, 5.0)]
     assert rows(keyed.read_keyed(spark, path, KEY)) == want
-    keyed.upsert(frame(spark, (2, 2, 4.0), (3, 1, 5.0)), path, KEY, 1)
+    keyed.upsert(frame(spark, (2, 2, -4.0), (3, 1, 5.0)), path, KEY, AT, "w", 1)
     assert rows(keyed.read_keyed(spark, path, KEY)) == want
 
 
-def test_a_later_batch_may_bring_a_null(spark, path, rows):
-    keyed.upsert(frame(spark, (1, 1, 1.0)), path, KEY)
-    keyed.upsert(frame(spark, (1, 2, None)), path, KEY)
-    assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 2, None)]
+def test_writers_keep_to_their_own_rows(spark, path, rows):
+    keyed.upsert(frame(spark, (1, 1, 1.0), (2, 1, 1.0)), path, KEY, AT, "one", 0)
+    keyed.upsert(frame(spark, (4, 1, 1.0)), path, KEY, AT, "two", 0)
+    keyed.upsert(frame(spark, (5, 1, 1.0)), path, KEY, AT)
+    keyed.upsert(frame(spark, (5, 0, 7.0)), path, KEY, AT)
+    assert [r[0] for r in rows(keyed.read_keyed(spark, path, KEY))] == [1, 2, 4, 5]
+    assert (5, 1, 1.0) in rows(keyed.read_keyed(spark, path, KEY))
 
 
-def test_compaction_keeps_rows_and_ignores_old_batches(spark, path, rows):
-    for n in range(3):
-        keyed.upsert(frame(spark, (n, n, 1.0), (9, n, float(n))), path, KEY, n)
-    before = rows(keyed.read_keyed(spark, path, KEY))
-    keyed.compact(spark, path, KEY)
-    assert rows(keyed.read_keyed(spark, path, KEY)) == before
-    keyed.upsert(frame(spark, (9, 0, -1.0)), path, KEY, 1)
-    assert rows(keyed.read_keyed(spark, path, KEY)) == before
-    keyed.upsert(frame(spark, (9, 3, 3.0)), path, KEY, 3)
-    assert (9, 3, 3.0) in rows(keyed.read_keyed(spark, path, KEY))
-    keyed.compact(spark, path, KEY)
-    keyed.expire(spark, path, keep=1)
-    assert (9, 3, 3.0) in rows(keyed.read_keyed(spark, path, KEY))
-
-
-def test_unfinished_batch_is_not_read(spark, path, rows):
-    keyed.upsert(frame(spark, (1, 1, 1.0)), path, KEY, 0)
-    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        frame(spark, (1, 2, 2.0)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-            f"{path}/generation=0/batch=1")
-    finally:
-        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-    assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 1, 1.0)]
+def test_a_later_write_may_bring_a_null(spark, path, rows):
+    keyed.upsert(frame(spark, (1, 1, 1.0)), path, KEY, AT)
+    keyed.upsert(frame(spark, (1, 2, None)), path, KEY, AT)
+    assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 2, None)]
 
 
 def test_missing_table(spark, path):
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         keyed.read_keyed(spark, path, KEY)
 
 
@@ -93,11 +81,30 @@ def test_connector_and_catalog_tables(spark, path, rows):
 def test_numbered_csv(spark, path, infer):
     df = spark.createDataFrame([(0, 5, 5, "a,b"), (1, 6, 6, None)], ["Unnamed: 0", "PARTY_ID", "PARTY_ID.1", "COUNTY"])
     files.write_csv(df, path)
-    found = files.read_numbered_csv(spark, path, infer=infer)
+    found = files.read_csv(spark, path, infer=infer)
     assert found.columns == ["index", "party_id", "county"]
     assert sorted(str(r.county) for r in found.collect()) == ["None", "a,b"]
 
 
+def test_csv_columns_go_by_name(spark, path):
+    text = spark.createDataFrame([("AMOUNT,,PARTY_ID,PARTY_ID,TRANSFER_ID",), ("99.0,0,7,7,12.5",)], "value string")
+    text.coalesce(1).write.text(path)
+    wanted = schemas.layout(party_id="long", transfer_id="text", amount="double")
+    assert [tuple(r) for r in files.read_csv(spark, path, wanted).collect()] == [(7, "12.5", 99.0)]
+    assert files.read_csv(spark, path).columns == ["amount", "_c1", "party_id", "transfer_id"]
+    with pytest.raises(ValueError, match="currency"):
+        files.read_csv(spark, path, schemas.RAW_TRANSFERS)
+
+
+@pytest.mark.parametrize("name", ["RAW_INVOICES", "RAW_TRANSFERS", "RAW_LOGINS", "RAW_STATIC", "CLEAN_STATIC"])
+def test_declared_files_in_another_order(spark, path, name):
+    wanted = getattr(schemas, name)
+    names = [f.name for f in wanted][::-1]
+    spark.range(1).select(*[F.lit(i).alias(n.upper()) for i, n in enumerate(names)]).write.option("header", True).csv(path)
+    row = files.read_csv(spark, path, wanted).first()
+    assert [int(float(row[n])) for n in names] == list(range(len(names)))
+
+
 def test_csv_with_schema_turns_bad_numbers_to_null(spark, path):
     spark.createDataFrame([("1", "x"), ("2", "3.5")], ["a", "b"]).write.option("header", True).csv(path)
     found = files.read_csv(spark, path, schemas.layout(a="long", b="double"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partylens import schemas
@@ -12,7 +12,7 @@ from partylens.session import stable, stage_path
 from partylens.sources import files, keyed
 from partylens.streaming import messages, scoring
 from verification.fixtures import Business
-from verification.plans import combined
+from verification.plans import FAR_GROUPS, combined, spread_out
 from verification.registry import query, tidy
 from verification.sql_views import CLEAN, COMBINED, INVOICES, TRANSFERS
 
@@ -33,7 +33,7 @@ def published(b: Business) -> str:
 
 def as_rows(texts: DataFrame) -> DataFrame:
     rows = messages.parsed(texts, LINE).where(F.col(messages.CORRUPT).isNull())
-    return rows.drop("value", messages.CORRUPT).withColumnRenamed("index", "row_id")
+    return rows.drop("value", messages.CORRUPT, *messages.ARRIVAL).withColumnRenamed("index", "row_id")
 
 
 # Files
@@ -43,7 +43,8 @@ strftime(duedate, '%Y-%m-%d') AS duedate, round(taxinclusiveamount, 6) AS taxinc
 def _(b: Business) -> DataFrame:
     path = stage_path(b.spark, "invoices-csv")
     texts = {c: F.date_format(c, "yyyy-MM-dd") for c in ("issuedate", "duedate")}
-    names = [PARTY, "currency", "issuedate", "duedate", "taxinclusiveamount"]
+    # In another order than declared below.
+    names = ["taxinclusiveamount", "duedate", "currency", PARTY, "issuedate"]
     files.write_csv(b.invoices.withColumns(texts).select(*names), path)
     kinds = schemas.layout(
         party_id="long", currency="text", issuedate="text", duedate="text", taxinclusiveamount="double")
@@ -53,22 +54,18 @@ def _(b: Business) -> DataFrame:
 @query("sc02_numbered_csv_scan", """SELECT index_ AS "index", party_id, county, region, size FROM static_raw""")
 def _(b: Business) -> DataFrame:
     path = stage_path(b.spark, "static-csv")
-    copy = b.static.select(
-        F.col("index").alias("Unnamed: 0"), F.col(PARTY).alias("PARTY_ID"), F.col(PARTY).alias("PARTY_ID.1"),
-        F.col("county").alias("COUNTY"), F.col("region").alias("REGION"), F.col("size").alias("SIZE"))
-    files.write_csv(copy, path)
-    rows = files.read_numbered_csv(b.spark, path, infer=True)
-    return rows.withColumns({c: F.col(c).cast("long") for c in ("index", PARTY)})
+    texts = {c: F.col(c).cast("string") for c in ("created_on", "last_login")}
+    order = ["index", PARTY, "size", "county", "region", PARTY, "package", "lob_code", "last_login", "created_on"]
+    header = ["Unnamed: 0", "PARTY_ID", "SIZE", "COUNTY", "REGION", "PARTY_ID", "PACKAGE", "LOB_CODE", "LAST_LOGIN", "CREATED_ON"]
+    files.write_csv(b.static.withColumns(texts).select(*order).toDF(*header), path)
+    return files.read_csv(b.spark, path, schemas.RAW_STATIC).select("index", PARTY, "county", "region", "size")
 
 
 @query("sk02_csv_export", "SELECT party_id, curr, round(sum_taxinclusiveamount, 6) AS amount, \"count\" FROM invoices", INVOICES)
 def _(b: Business) -> DataFrame:
     path = stage_path(b.spark, "features-csv")
     files.write_csv(features.invoice_features(b.invoices), path)
-    rows = files.read_csv(b.spark, path, schemas.layout(**{
-        f.name: {"bigint": "long", "string": "text", "double": "double"}[f.dataType.simpleString()]
-        for f in features.invoice_features(b.invoices).schema
-    }))
+    rows = files.read_csv(b.spark, path, schemas.INVOICES)
     return tidy(rows.select(PARTY, "curr", F.col("sum_taxinclusiveamount").alias("amount"), "count"))
 
 
@@ -77,7 +74,7 @@ def _(b: Business) -> DataFrame:
 @query("sc03_keyed_table_scan", "SELECT * FROM transfers", TRANSFERS)
 def _(b: Business) -> DataFrame:
     root = stage_path(b.spark, "tables")
-    keyed.write_table(features.transfer_features(b.transfers), root, "transfer_history")
+    keyed.write_table(features.transfer_features(b.transfers), root, "transfer_history", F.current_timestamp())
     return tidy(keyed.read_table(b.spark, root, "transfer_history"))
 
 
@@ -87,21 +84,33 @@ def _(b: Business) -> DataFrame:
     path, key = stage_path(b.spark, "upsert"), (PARTY,)
     first = b.static.select(PARTY, F.lit(1).alias("version"), "lob_code")
     second = first.where(F.col(PARTY) % 2 == 0).withColumns({"version": F.lit(2), "lob_code": F.col("lob_code") + 1})
-    keyed.upsert(first, path, key)
-    keyed.upsert(first.where(F.col(PARTY) % 2 == 0).unionByName(second), path, key, version="version")
+    keyed.upsert(first, path, key, F.col("version"))
+    keyed.upsert(first.where(F.col(PARTY) % 2 == 0).unionByName(second), path, key, F.col("version"))
     return keyed.read_keyed(b.spark, path, key)
 
 
+@query("sk01_last_write_wins", "SELECT party_id, 'a' AS note FROM static_raw")
+def _(b: Business) -> DataFrame:
+    """The later row has the lower text, and a late repeat of the older row must not come back."""
+    path, key = stage_path(b.spark, "last"), (PARTY,)
+    old = b.static.select(PARTY, F.lit("z").alias("note"), F.lit(1).alias("at"))
+    new = b.static.select(PARTY, F.lit("a").alias("note"), F.lit(2).alias("at"))
+    keyed.upsert(old.unionByName(new), path, key, F.col("at"), "one", 0)
+    keyed.upsert(old, path, key, F.col("at"), "two", 0)
+    return keyed.read_keyed(b.spark, path, key).drop("at")
+
+
 @query("sk01_upsert_after_compaction", """SELECT party_id, CASE WHEN party_id % 3 = 0 THEN 'new' ELSE county END AS county
 FROM static_raw""")
 def _(b: Business) -> DataFrame:
+    """A table read and written as one new table goes on taking rows."""
     path, key = stage_path(b.spark, "compacted"), (PARTY,)
     rows = b.static.select(PARTY, "county")
-    keyed.upsert(rows.where(F.col(PARTY) % 2 == 0), path, key)
-    keyed.upsert(rows, path, key)
-    keyed.compact(b.spark, path, key)
-    keyed.upsert(rows.where(F.col(PARTY) % 3 == 0).withColumn("county", F.lit("new")), path, key)
-    return keyed.read_keyed(b.spark, path, key)
+    keyed.upsert(rows.where(F.col(PARTY) % 2 == 0), f"{path}/old", key, F.lit(0))
+    keyed.upsert(rows, f"{path}/old", key, F.lit(1))
+    keyed.upsert(keyed.read_keyed(b.spark, f"{path}/old", key), f"{path}/new", key, F.lit(1))
+    keyed.upsert(rows.where(F.col(PARTY) % 3 == 0).withColumn("county", F.lit("new")), f"{path}/new", key, F.lit(2))
+    return keyed.read_keyed(b.spark, f"{path}/new", key)
 
 
 @query("sk05_repeated_batch", "SELECT party_id, county FROM static_raw")
@@ -109,11 +118,35 @@ def _(b: Business) -> DataFrame:
     path, key = stage_path(b.spark, "repeated"), (PARTY,)
     rows = b.static.select(PARTY, "county")
     for _ in range(2):
-        keyed.upsert(rows.where(F.col(PARTY) % 2 == 0), path, key, batch=0)
-    keyed.upsert(rows.where(F.col(PARTY) % 2 == 1), path, key, batch=1)
+        keyed.upsert(rows.where(F.col(PARTY) % 2 == 0), path, key, F.lit(0), "one", 0)
+    keyed.upsert(rows.where(F.col(PARTY) % 2 == 1), path, key, F.lit(0), "one", 1)
     return keyed.read_keyed(b.spark, path, key)
 
 
+@query("sk07_declared_tables", """SELECT 'invoices' AS name, count(*) AS n, count(DISTINCT party_id) AS keys FROM invoices
+UNION ALL SELECT 'transfer_history', count(*), count(DISTINCT party_id) FROM transfers
+UNION ALL SELECT 'static_data', count(*), count(DISTINCT party_id) FROM clean
+UNION ALL SELECT 'customer_login', count(*), count(DISTINCT index_) FROM customer_login""", f"{COMBINED}")
+def _(b: Business) -> DataFrame:
+    """The feature jobs written to their tables, each twice, and read back."""
+    root = stage_path(b.spark, "tables")
+    written = {
+        "invoices": features.invoice_features(b.invoices),
+        "transfer_history": features.transfer_features(b.transfers),
+        "static_data": features.static_features(features.clean_static(b.static)),
+        "customer_login": b.logins.withColumnRenamed("index", "id"),
+    }
+    out = None
+    for name, rows in written.items():
+        _, (key,) = schemas.TABLES[name]
+        for version in range(2):
+            keyed.write_table(rows, root, name, F.lit(version))
+        counts = keyed.read_table(b.spark, root, name).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("keys"))
+        counts = counts.select(F.lit(name).alias("name"), "n", "keys")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 # Messages
 
 @query("sc04_stream_source", LINE_SQL)
@@ -154,39 +187,31 @@ def _(b: Business) -> DataFrame:
     source, target = published(b), stage_path(b.spark, "sink")
     stream = messages.parsed(messages.message_stream(b.spark, path=source, maxFilesPerTrigger=1), LINE)
     rows = stream.drop("value", messages.CORRUPT)
-    scoring.upsert_stream(rows, target, ("index",), f"{target}-checkpoint", scoring.ALL_AVAILABLE).awaitTermination()
-    return keyed.read_keyed(b.spark, target, ("index",)).withColumnRenamed("index", "row_id")
+    query = scoring.upsert_stream(
+        rows, target, ("index",), messages.arrival(), f"{target}-checkpoint", scoring.ALL_AVAILABLE)
+    query.awaitTermination()
+    stored = keyed.read_keyed(b.spark, target, ("index",)).drop(*messages.ARRIVAL)
+    return stored.withColumnRenamed("index", "row_id")
 
 
 # Scoring streams
 
-_TRAINED: dict = {}
-
-
-def trained(b: Business):
-    """The combined rows and the model fitted on them; the scoring queries share one fit."""
-    key = (b.spark.sparkContext.applicationId, b.folder)
-    if key not in _TRAINED:
-        rows = stable(combined(b), "combined")
-        _TRAINED[key] = rows, customers.train_clusters(rows, columns=schemas.FEATURE_COLUMNS).model
-    return _TRAINED[key]
-
-
 class Scoring:
     """A trained model, the combined rows it was trained on, and folders for one stream."""
 
-    def __init__(self, b: Business):
+    def __init__(self, b: Business, rows: DataFrame | None = None):
         self.spark = b.spark
-        self.rows, self.model = trained(b)
+        self.rows = stable(rows if rows is not None else combined(b), "combined")
+        self.model = customers.train_clusters(self.rows).model
         self.root = stage_path(b.spark, "scoring")
 
     def send(self, rows: DataFrame, part: str) -> None:
         messages.publish(rows, f"{self.root}/messages/{part}", files=2)
 
-    def run(self) -> None:
-        stream = messages.message_stream(self.spark, path=f"{self.root}/messages/*", maxFilesPerTrigger=1)
+    def run(self, part: str = "*", checkpoint: str = "checkpoint") -> None:
+        stream = messages.message_stream(self.spark, path=f"{self.root}/messages/{part}", maxFilesPerTrigger=1)
         scoring.score_messages(
-            stream, self.model, self.root, f"{self.root}/checkpoint", scoring.ALL_AVAILABLE
+            stream, self.model, self.root, f"{self.root}/{checkpoint}", scoring.ALL_AVAILABLE
         ).awaitTermination()
 
     def predictions(self) -> DataFrame:
@@ -214,6 +239,20 @@ def _(b: Business) -> DataFrame:
     return run.predictions().groupBy(PARTY).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("s04_second_checkpoint", "SELECT 'prediction' AS kind, party_id FROM combined UNION ALL "
+       "SELECT 'reject', 0 UNION ALL SELECT 'reject', 1", COMBINED)
+def _(b: Business) -> DataFrame:
+    """Two queries with checkpoints of their own fill the same tables."""
+    run = Scoring(b)
+    for digit in range(2):
+        part = f"part{digit}"
+        run.send(run.rows.where(F.col(PARTY) % 2 == digit), part)
+        b.spark.range(digit, digit + 1).select(F.col("id").cast("string")).write.mode("append").text(f"{run.root}/messages/{part}")
+        run.run(part, f"checkpoint{digit}")
+    rejects = b.spark.read.parquet(f"{run.root}/rejects").select(F.lit("reject").alias("kind"), F.col("value").cast("long").alias(PARTY))
+    return run.predictions().select(F.lit("prediction").alias("kind"), PARTY).unionByName(rejects)
+
+
 @query("s05_rejected_messages", """SELECT 'unreadable' AS reason, count(*) AS n FROM combined WHERE party_id % 10 IN (0, 1)
 UNION ALL SELECT 'missing value', count(*) FROM combined WHERE party_id % 10 = 2
 UNION ALL SELECT 'scored', count(*) FROM combined WHERE party_id % 10 > 2""", COMBINED)
@@ -248,12 +287,13 @@ def _(b: Business) -> DataFrame:
         F.count(F.lit(1)).alias("scored"), F.bool_and(F.col("prediction") == F.col("expected")).alias("nearest"))
 
 
-@query("q11_score_feature_stream", "SELECT count(*) AS predictions FROM combined", COMBINED)
+@query("q11_score_feature_stream", FAR_GROUPS, COMBINED)
 def _(b: Business) -> DataFrame:
-    run = Scoring(b)
+    run = Scoring(b, spread_out(combined(b)))
     run.send(run.rows, "all")
     run.run()
-    return run.predictions().agg(F.count("prediction").alias("predictions"))
+    first = F.min(PARTY).over(Window.partitionBy("prediction"))
+    return run.predictions().select(PARTY, first.alias("first_party"))
 
 
 @query("q12_replay_combined", """SELECT * EXCLUDE (index_) FROM combined""", COMBINED)
@@ -263,13 +303,17 @@ def _(b: Business) -> DataFrame:
     return tidy(messages.parsed(b.spark.read.text(path)).drop("value", messages.CORRUPT))
 
 
-@query("predictions_by_features", "SELECT count(*) AS parties, true AS no_more_rows_than_parties FROM clean", CLEAN)
+_THIRDS = [[3.0, 0.0], [12.0, 2.0], [20.0, 4.0]]
+_THIRDS_SQL = ", ".join(f"(region - {x}) * (region - {x}) + (county - {y}) * (county - {y})" for x, y in _THIRDS)
+
+
+@query("predictions_by_features", f"""SELECT CAST(list_position([{_THIRDS_SQL}], list_min([{_THIRDS_SQL}])) - 1 AS INT) AS prediction,
+count(DISTINCT (region, county)) AS features FROM clean GROUP BY ALL""", CLEAN)
 def _(b: Business) -> DataFrame:
     from partylens.functions.vectors import vector_text
-    from partylens.operators.clustering import fit_kmeans
+    from partylens.operators.clustering import nearest_center
 
-    rows = stable(assembled(features.clean_static(b.static), ["region", "county"]))
-    scores = fit_kmeans(rows, 2).transform(rows).select(PARTY, vector_text(F.col("features")).alias("features"), "prediction")
-    n = keyed.predictions_by_features(scores).agg(F.count(F.lit(1))).scalar()
-    return scores.agg(F.count(F.lit(1)).alias("parties")).withColumn(
-        "no_more_rows_than_parties", n <= F.col("parties"))
+    rows = assembled(features.clean_static(b.static), ["region", "county"])
+    scores = rows.select(PARTY, vector_text(F.col("features")).alias("features"),
+                         nearest_center(["region", "county"], _THIRDS).alias("prediction"))
+    return keyed.predictions_by_features(scores).groupBy("prediction").agg(F.count("features").alias("features"))

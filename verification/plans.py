@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partylens.operators import clustering
@@ -126,15 +126,29 @@ def _nearest_sql(columns: list[str], centers: list[list[float]]) -> str:
     return f"CAST(list_position({listed}, list_min({listed})) - 1 AS INT)"
 
 
-@query("m01_kmeans_fit", """SELECT count(*) AS points, CAST(4 AS BIGINT) AS clusters, true AS tighter_than_one_cluster
-FROM clean""", CLEAN)
+# Places a million apart: with as many clusters as places, k-means must find the places. Its numbers are
+# free, so a cluster is named by its lowest party.
+
+def _named(assigned: DataFrame, *more: str) -> DataFrame:
+    first = F.min(PARTY).over(Window.partitionBy("prediction")).alias("first_party")
+    return assigned.select(PARTY, first, *more)
+
+
+def far_places(b: Business) -> tuple[DataFrame, int]:
+    rows = features.clean_static(b.static).withColumn("spot", F.col("county") * F.lit(1e6))
+    vectors = stable(assembled(rows.select(PARTY, "spot"), ["spot"]))
+    return vectors, vectors.select("spot").distinct().count()
+
+
+_FAR = "SELECT party_id, min(party_id) OVER (PARTITION BY county) AS first_party"
+
+
+@query("m01_kmeans_fit", f"{_FAR}, 0.0::DOUBLE AS cost FROM clean", CLEAN)
 def _(b: Business) -> DataFrame:
-    vectors = stable(assembled(features.clean_static(b.static), ["region", "county"]))
-    model = clustering.fit_kmeans(vectors, 4)
-    tighter = model.summary.trainingCost < clustering.spread(vectors)
-    return model.transform(vectors).agg(
-        F.count(F.lit(1)).alias("points"), F.count_distinct("prediction").alias("clusters")
-    ).withColumn("tighter_than_one_cluster", F.lit(tighter))
+    vectors, places = far_places(b)
+    model = clustering.fit_kmeans(vectors, places)
+    cost = r(F.lit(float(model.summary.trainingCost))).alias("cost")
+    return _named(model.transform(vectors).withColumn("cost", cost), "cost")
 
 
 @query("m02_nearest_center", f"SELECT party_id, {_nearest_sql(_AMOUNTS, _CENTERS)} AS prediction FROM invoices", INVOICES)
@@ -143,12 +157,11 @@ def _(b: Business) -> DataFrame:
     return rows.select(PARTY, clustering.nearest_center(_AMOUNTS, _CENTERS).alias("prediction"))
 
 
-@query("m03_validated_fit", "SELECT count(*) AS points, true AS rated FROM clean", CLEAN)
+@query("m03_validated_fit", f"{_FAR}, 1.0::DOUBLE AS silhouette FROM clean", CLEAN)
 def _(b: Business) -> DataFrame:
-    vectors = stable(assembled(features.clean_static(b.static), ["region", "county"]))
-    model = clustering.fit_validated(vectors, 4)
-    rated = -1.0 <= model.validationMetrics[0] <= 1.0
-    return model.transform(vectors).agg(F.count("prediction").alias("points")).withColumn("rated", F.lit(rated))
+    vectors, places = far_places(b)
+    model = clustering.fit_validated(vectors, places)
+    return _named(model.transform(vectors).withColumn("silhouette", r(F.lit(model.validationMetrics[0]))), "silhouette")
 
 
 _PLACES = [[3.0, 0.0], [12.0, 2.0], [20.0, 4.0]]
@@ -181,9 +194,16 @@ def _(b: Business) -> DataFrame:
     return clustering.elbow(stable(rows))
 
 
+@query("m05_elbow_at_the_places", """SELECT CAST(count(DISTINCT county) AS INT) AS k, 0.0::DOUBLE AS cost FROM clean""", CLEAN)
+def _(b: Business) -> DataFrame:
+    vectors, places = far_places(b)
+    return tidy(clustering.elbow(vectors, range(1, places + 1)).where(F.col("k") == places))
+
+
 @query("m06_sweep")
 def _(b: Business) -> DataFrame:
-    return profiles.sweep_profile(login_profile(b))
+    profile = stable(login_profile(b))
+    return profiles.sweep_profile(profile, regions=profiles.common_regions(profile))
 
 
 _STEPS = [[500.0], [1500.0], [2200.0]]
@@ -216,7 +236,7 @@ top AS (SELECT region, row_number() OVER (ORDER BY region) AS place FROM (
 
 
 @query("m08_variant_all", "SELECT party_id, region, " + ", ".join(
-    f"round({c}, 9) AS {c}" for c in profiles.ACTIVITY) + " FROM unit WHERE region IS NOT NULL", UNIT)
+    f"round({c}, 9) AS {c}" for c in profiles.ACTIVITY) + " FROM unit", UNIT)
 def _(b: Business) -> DataFrame:
     return tidy(profiles.profile_rows(login_profile(b), "all"), 9)
 
@@ -242,22 +262,46 @@ def _(b: Business) -> DataFrame:
     return tidy(profiles.profile_rows(profile, "none", regions), 9)
 
 
+@query("m07_explain_places", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, place AS cluster, "
+    f"{_r_sql('CAST(coalesce(region = place, false) AS DOUBLE)', f'CAST({c} AS DOUBLE)')} AS r "
+    "FROM profile CROSS JOIN places WHERE transfer_amount IS NOT NULL GROUP BY place" for c in profiles.ACTIVITY), PROFILE + """,
+places AS (SELECT DISTINCT region AS place FROM profile WHERE transfer_amount IS NOT NULL AND region IS NOT NULL)""")
+def _(b: Business) -> DataFrame:
+    rows = stable(login_profile(b).dropna(subset=["transfer_amount"]))
+    return clustering.explain_clusters(rows, profiles.ACTIVITY, cluster="region")
+
+
 @query("q09_profile_clusters")
 def _(b: Business) -> DataFrame:
-    return profiles.cluster_profile(login_profile(b), k=3, ks=[1, 2, 3, 4]).explanation
+    return profiles.profile_study(stable(login_profile(b), "profile"))
+
+
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Combined rows in four groups far apart: a million times the party's remainder, the amounts made tiny."""
+    tiny = {n: F.col(n) * 1e-9 for n, t in rows.dtypes if t == "double"}
+    return rows.withColumns({**tiny, "lob_code": F.col(PARTY) % 4 * 1_000_000})
+
+
+FAR_GROUPS = "SELECT party_id, min(party_id) OVER (PARTITION BY party_id % 4) AS first_party FROM combined"
+
+
+@query("q10_train_clusters", FAR_GROUPS, COMBINED)
+def _(b: Business) -> DataFrame:
+    return _named(customers.train_clusters(spread_out(combined(b))).assigned)
 
 
-@query("q10_train_clusters", "SELECT count(*) AS points, CAST(0 AS BIGINT) AS skipped FROM combined", COMBINED)
+@query("q10_skipped_rows", "SELECT count(*) AS points, CAST(0 AS BIGINT) AS skipped FROM combined", COMBINED)
 def _(b: Business) -> DataFrame:
     found = customers.train_clusters(combined(b))
     return found.assigned.agg(F.count("prediction").alias("points")).withColumn(
         "skipped", F.lit(found.skipped).cast("long"))
 
 
-@query("q15_size_report", "SELECT count(*) AS parties, CAST(2 AS BIGINT) AS clusters FROM invoices", INVOICES)
+@query("q15_size_report", "SELECT count(*) AS n FROM clean GROUP BY county ORDER BY n", CLEAN)
 def _(b: Business) -> DataFrame:
-    report = customers.size_report(features.invoice_features(b.invoices), _AMOUNTS)
-    return report.agg(F.sum("n").alias("parties"), F.count(F.lit(1)).alias("clusters"))
+    vectors, places = far_places(b)
+    return customers.size_report(vectors.drop("features"), ["spot"], places).select("n")
 
 
 @query("q15_place_size_report")
