@@ -11,10 +11,11 @@ Two documents link when shared * 7 >= 3 * (size + size), that is at a Jaccard si
    new prefixes, for some rounds. A pair with one node outside has met in a smaller group already. What
    still is a crowd after the rounds becomes a tile as it is.
 3. Inside a tile, nodes go by size; a pair is looked at while the sizes allow a link. Hashed bitmaps bound
-   the overlap from above; nodes without any possible partner leave. The shingles of the others are taken
-   from their texts again, found by a bit filter of bounded size that only ever lets too many through, and
-   pairs that pass the bitmaps are intersected as sorted arrays. A pair that is connected already is
-   skipped. Tiles beyond ``TILE`` nodes are split, see ``_large``.
+   the overlap from above. Pairs that pass cut a tile into smaller ones, named by their smallest node: what
+   only shares a passage leaves, and the many tiles of one family of near copies become one or few.
+4. The shingles of what is left are taken from their texts again, found by a bit filter of bounded size that
+   only ever lets too many through, and pairs that pass the bitmaps are intersected as sorted arrays. A
+   pair that is connected already is skipped. Larger tiles are split, see ``_large``.
 
 No step drops a candidate: the caps named here only choose between exact ways.
 """
@@ -34,7 +35,9 @@ from partylens.session import stable
 
 WIDTH = 5
 CROWD = 1000  # nodes of a group in hash order
-TILE = 1000  # nodes of a tile that one task compares
+MAPS = 4000  # nodes of a tile that one task compares by bitmaps
+TILE = 1000  # nodes of a tile that one task compares by shingles
+LOT = 1 << 21  # shingles that a task of many tiles holds, about
 PIVOTS = 8  # nodes of a split tile that all its parts see
 ENTRIES = 1 << 21  # entries of a bucket, about
 ROUNDS = 3
@@ -198,16 +201,20 @@ def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return value, node, begin, np.diff(np.append(begin, len(value)))
 
 
-def _tiled(table: pa.Table) -> pa.Table:
-    """(tile, node) of all groups; those of crowds once for each shingle, with the shingle."""
-    value, node, begin, size = _gathered(table)
-    leader, count = np.repeat(node[begin], size), np.repeat(size, size)
-    plain, crowd = (count > 1) & (count <= CROWD), count > CROWD
-    pairs = np.unique(np.stack([leader[plain], node[plain]], axis=1), axis=0) if plain.any() else np.zeros((0, 2), np.int64)
-    return pa.table({
-        "tile": pa.array(np.concatenate([pairs[:, 0], leader[crowd]]), pa.int64()), "node": pa.array(np.concatenate([pairs[:, 1], node[crowd]]), pa.int64()),
-        "shingle": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(value[crowd].view(np.int64), pa.int64())]),
-    })
+def _tiled(crowd: int):
+    """Task from the entries of a bucket to (tile, node) of all groups; those of crowds once for each shingle, with the shingle."""
+
+    def tiled(table: pa.Table) -> pa.Table:
+        value, node, begin, size = _gathered(table)
+        leader, count = np.repeat(node[begin], size), np.repeat(size, size)
+        plain, many = (count > 1) & (count <= crowd), count > crowd
+        pairs = np.unique(np.stack([leader[plain], node[plain]], axis=1), axis=0) if plain.any() else np.zeros((0, 2), np.int64)
+        return pa.table({
+            "tile": pa.array(np.concatenate([pairs[:, 0], leader[many]]), pa.int64()), "node": pa.array(np.concatenate([pairs[:, 1], node[many]]), pa.int64()),
+            "shingle": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(value[many].view(np.int64), pa.int64())]),
+        })
+
+    return tiled
 
 
 def _dealt(rows: DataFrame, column: str, total: int, task, schema: str) -> DataFrame:
@@ -249,23 +256,20 @@ class _Tile:
         return np.concatenate(found) if found else later[:0]
 
 
-def _joined(group: str, exact: bool):
-    """Task over many tiles: links as a spanning forest, or the nodes that the bitmaps cannot rule out.
+def _joined(exact: bool):
+    """Task over many tiles: links as a spanning forest, or the parts into which the bitmaps cut each tile.
 
-    Columns: ``group``, node, n, content, and ``role`` where a tile is split: 0 for plain members, 1 for
-    nodes to be compared with all, 2 for members that are only compared with those.
+    Columns: key (the tile), node, n, content, and ``role`` where a tile is split: 0 for plain members, 1 for
+    nodes to be compared with all, 2 for members that are only compared with those. A part is named by its
+    smallest node; nodes without a possible partner are in no part.
     """
 
     def joined(table: pa.Table) -> pa.Table:
-        tile = table.column(group).to_numpy()
-        n, node = table.column("n").to_numpy(), table.column("node").to_numpy()
-        role = table.column("role").to_numpy() if "role" in table.column_names else np.zeros(len(n), np.int64)
+        tile = table.column("key").to_numpy()
+        n, node, role = table.column("n").to_numpy(), table.column("node").to_numpy(), table.column("role").to_numpy()
         order = np.lexsort((role, node, n, tile))
-        twice = np.zeros(len(order), bool)  # rows of a set from several tasks
-        twice[1:] = (node[order[1:]] == node[order[:-1]]) & (tile[order[1:]] == tile[order[:-1]])
-        order = order[~twice]
         content, starts = table.column("content"), np.flatnonzero(np.concatenate([[True], np.diff(tile[order]) != 0])) if len(order) else []
-        left, right = [], []
+        left, right, parts = [], [], []
         for begin, end in zip(starts, [*starts[1:], len(order)], strict=True):
             own = order[begin:end]
             if len(own) < 2:
@@ -278,13 +282,12 @@ def _joined(group: str, exact: bool):
                 later = np.arange(i + 1, len(own))
                 if role[own[i]] == 2:
                     later = later[role[own[later]] == 1]
-                if exact:
-                    later = later[root[later] != root[i]]
-                for j in band.partners(i, later).tolist():
-                    if not exact:
-                        left.append(node[own[i]])
-                        right.append(node[own[j]])
-                        continue
+                found = band.partners(i, later[root[later] != root[i]])
+                if not exact:
+                    if len(found):
+                        root[np.isin(root, root[found])] = root[i]
+                    continue
+                for j in found.tolist():
                     if root[i] == root[j]:
                         continue
                     shared = len(np.intersect1d(arrays[i], arrays[j], assume_unique=True))
@@ -292,39 +295,57 @@ def _joined(group: str, exact: bool):
                         left.append(node[own[i]])
                         right.append(node[own[j]])
                         root[root == root[j]] = root[i]
+            if not exact:
+                low = np.full(len(own), np.iinfo(np.int64).max)
+                np.minimum.at(low, root, node[own])
+                inside = np.bincount(root, minlength=len(own))[root] > 1
+                parts.append((own[inside], low[root[inside]]))
         if not exact:
-            both = np.unique(np.array(left + right, np.int64))
-            return pa.table({"node": pa.array(both, pa.int64())})
+            rows = np.concatenate([x for x, _ in parts]) if parts else np.zeros(0, np.int64)
+            names = np.concatenate([x for _, x in parts]) if parts else np.zeros(0, np.int64)
+            return pa.table({"key": pa.array(tile[rows], pa.int64()), "part": pa.array(names, pa.int64()), "node": pa.array(node[rows], pa.int64()), "role": pa.array(role[rows], pa.int64())})
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return joined
 
 
-def _compared(rows: DataFrame, group: list[str], count: int, exact: bool) -> DataFrame:
+def _compared(rows: DataFrame, group: list[str], shingles_held: int, exact: bool) -> DataFrame:
     """``_joined`` over rows dealt by tile, many tiles to a task."""
-    lots = rows.withColumn("key", F.xxhash64(*group)).withColumn("lot", F.pmod("key", F.lit(max(1, count // 4000))))
-    keep = ["key", "node", "n", "content", *(["role"] if "role" in rows.columns else [])]
-    return lots.select("lot", *keep).groupBy("lot").applyInArrow(_joined("key", exact), "a bigint, b bigint" if exact else "node bigint")
+    held = rows if "role" in rows.columns else rows.withColumn("role", F.lit(0).cast("bigint"))
+    lots = held.withColumn("key", F.xxhash64(*group)).withColumn("lot", F.pmod("key", F.lit(1 + shingles_held // LOT)))
+    schema = "a bigint, b bigint" if exact else "key bigint, part bigint, node bigint, role bigint"
+    return lots.select("lot", "key", "node", "n", "content", "role").groupBy("lot").applyInArrow(_joined(exact), schema)
+
 
+def _weight(members: DataFrame, maps: DataFrame) -> int:
+    """Shingles of all members together."""
+    return members.join(maps.select("node", "n"), "node").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).first()[0]
 
-def _large(members: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+
+def _linked(members: DataFrame, group: list[str], maps: DataFrame, contents: DataFrame) -> DataFrame:
+    """Links inside groups: the bitmaps say which members a group needs, the shingles of those decide."""
+    able = stable(_compared(members.join(maps, "node"), group, _weight(members, maps) // 8, False).select("key", "node", "role"), "able")
+    return _compared(able.join(contents, "node"), ["key"], _weight(able, maps), True)
+
+
+def _large(members: DataFrame, maps: DataFrame, contents: DataFrame, sizes: DataFrame) -> DataFrame:
     """Links in tiles beyond ``TILE``: part by part with common pivots, then the rest against all.
 
     Every part is compared inside and with the tile's pivots, which connects a cluster of near copies
     across its parts with work in proportion to its size. Nodes that are not in the tile's largest
-    component by then are compared with all nodes of the tile, in blocks. The work is in proportion to
-    the tile's size times the number of such nodes.
+    component by then are compared with all nodes of the tile, in blocks: by bitmaps first, which move
+    about a byte for two shingles, so that only possible partners bring their shingles. The work is in
+    proportion to the tile's size times the number of such nodes.
     """
     parts = sizes.where(F.col("size") > TILE).withColumn("parts", F.ceil(F.col("size") / TILE))
     order = Window.partitionBy("tile").orderBy("hash", "node")
     big = stable(members.join(parts, "tile").withColumn("hash", F.xxhash64("node")).withColumn("part", F.pmod("hash", F.col("parts"))), "crowds")
-    count = big.count()
-    if not count:
+    if not big.count():
         return members.sparkSession.createDataFrame([], "a bigint, b bigint")
     pivots = big.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).select("tile", "parts", "node")
     spread = pivots.select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node")
-    first = big.select("tile", "part", "node").unionByName(spread).distinct().join(sets, "node")
-    links = stable(_compared(first, ["tile", "part"], count, True), "links")
+    first = big.select("tile", "part", "node").unionByName(spread).distinct()
+    links = stable(_linked(first, ["tile", "part"], maps, contents), "links")
     placed = big.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     shares = placed.groupBy("tile", "component").count()
     main = shares.groupBy("tile").agg(F.max(F.struct("count", "component"))["component"].alias("main"))
@@ -334,14 +355,14 @@ def _large(members: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
         return links
     against = big.join(left, "tile").select("tile", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", F.lit(2).alias("role"))
     asked = rest.join(left, "tile").select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod("hash", F.col("blocks")).alias("block"), "node", F.lit(1).alias("role"))
-    second = against.unionByName(asked).groupBy("tile", "part", "block", "node").agg(F.min("role").alias("role")).join(sets, "node")
-    return links.unionByName(_compared(second.withColumn("role", F.col("role").cast("bigint")), ["tile", "part", "block"], count, True))
+    second = against.unionByName(asked).groupBy("tile", "part", "block", "node").agg(F.min("role").cast("bigint").alias("role"))
+    return links.unionByName(_linked(second, ["tile", "part", "block"], maps, contents))
 
 
 def _tiles(texts: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
     """(tile, node) such that every two nodes that link are together in a tile."""
     fields = "tile bigint, node bigint, shingle bigint"
-    met = stable(_dealt(nodes, "prefix", total, _tiled, fields), "met")
+    met = stable(_dealt(nodes, "prefix", total, _tiled(CROWD), fields), "met")
     tiles, last = met.where(F.col("shingle").isNull()), []
     for _ in range(ROUNDS):
         crowds = met.where(F.col("shingle").isNotNull()).select("shingle").distinct()
@@ -351,11 +372,21 @@ def _tiles(texts: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
         last.append(listed)
         prefixes = stable(texts.mapInArrow(_later_prefixes(last), "node bigint, prefix binary"), "prefixes")
         total, = prefixes.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
-        met = stable(_dealt(prefixes, "prefix", total, _tiled, fields), "met")
+        met = stable(_dealt(prefixes, "prefix", total, _tiled(CROWD), fields), "met")
         tiles = tiles.unionByName(met.where(F.col("shingle").isNull()))
     return stable(tiles.unionByName(met.where(F.col("shingle").isNotNull())).select("tile", "node").distinct(), "tiles")
 
 
+def _sizes(tiles: DataFrame) -> DataFrame:
+    return tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+
+
+def _by_size(tiles: DataFrame, sizes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Tiles of two up to ``most`` nodes, and larger ones."""
+    fits = F.col("size") <= most
+    return tuple(tiles.join(sizes.where(which).select("tile"), "tile", "left_semi") for which in (fits, ~fits))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -369,17 +400,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = sets.where(F.length("prefix") > 0)
     total, = nodes.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
     tiles = _tiles(texts, nodes, total)
-    sizes = stable(tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1), "sizes")
-    small = tiles.join(sizes.where(F.col("size") <= TILE).select("tile"), "tile", "left_semi")
-    large = tiles.join(sizes.where(F.col("size") > TILE).select("tile"), "tile", "left_semi")
-    maps = nodes.select("node", "n", F.col("bitmap").alias("content"))
-    able = _compared(small.join(maps, "node"), ["tile"], tiles.count(), False)
-    wanted = stable(able.unionByName(large.select("node")).distinct(), "wanted")
+    maps = stable(nodes.groupBy("node").agg(F.min("n").alias("n"), F.first("bitmap").alias("content")), "maps")
+    sizes = stable(_sizes(tiles), "sizes")
+    small, large = _by_size(tiles, sizes, MAPS)
+    parts = _compared(small.join(maps, "node"), ["tile"], _weight(small, maps) // 8, False).select(F.col("part").alias("tile"), "node")
+    groups = stable(parts.unionByName(large).distinct(), "groups")
+    wanted = groups.select("node").distinct()
     shared = docs.sparkSession.sparkContext.broadcast(_wanted_filter(wanted))  # FILTER bits, whatever the input
-    contents = stable(texts.mapInArrow(_contents(shared), "node bigint, n bigint, content binary"), "contents")
-    members = stable(tiles.join(wanted, "node", "left_semi"), "members")
-    kept = members.join(sizes.where(F.col("size") <= TILE).select("tile"), "tile", "left_semi").join(contents, "node")
-    links = _compared(kept, ["tile"], members.count(), True).unionByName(_large(members, contents, sizes))
+    found = texts.mapInArrow(_contents(shared), "node bigint, n bigint, content binary")
+    contents = stable(found.groupBy("node").agg(F.min("n").alias("n"), F.first("content").alias("content")), "contents")
+    sizes = stable(_sizes(groups), "sizes")
+    small, _ = _by_size(groups, sizes, TILE)
+    links = _compared(small.join(contents, "node"), ["tile"], _weight(small, maps), True).unionByName(_large(groups, maps, contents, sizes))
     found = components(links)
     placed = sets.select("doc_id", "n", "node").join(found, "node", "left").withColumn("place", F.coalesce("component", "node"))
     lowest = placed.where(F.col("n") > 0).groupBy("place").agg(F.min("doc_id").alias("low"))

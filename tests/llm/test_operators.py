@@ -54,8 +54,9 @@ def sets():
     return out
 
 
-@pytest.mark.parametrize(("crowd", "tile", "pivots"), [(1000, 1000, 8), (3, 10, 2), (5, 1000, 8)])
-def test_near_duplicates(docs, monkeypatch, crowd, tile, pivots):
+@pytest.mark.parametrize(("crowd", "maps", "tile", "pivots"), [(1000, 4000, 1000, 8), (3, 12, 10, 2), (5, 4000, 1000, 8), (1000, 30, 10, 2)])
+def test_near_duplicates(docs, monkeypatch, crowd, maps, tile, pivots):
+    monkeypatch.setattr(jaccard, "MAPS", maps)
     monkeypatch.setattr(jaccard, "CROWD", crowd)
     monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "PIVOTS", pivots)
