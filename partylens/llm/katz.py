@@ -1,21 +1,24 @@
 """Language-model scoring with Katz backoff over words.
 
-Tokens are words and one end per text. The history of a token is the word before it: the most frequent
-words are histories of their own, all other words share one, the start of a text is one. Two levels of
-counts are kept in tables in the shared folder, partitioned by word: every word's count, and for each word
-of the core (the most frequent ``CORE``) its count after each history. Both are discounted by Good and
-Turing; what a level gives up goes to the level below with weights that make each history's probabilities
-sum to 1, one unknown word included.
-
-Words of the core are scored where the text lies, from one table of ``CORE`` x ``HISTORIES`` numbers; every
-other word backs off to its own count, which comes from the table of all words by a shuffle. So no
-vocabulary is held by one process, and every word of every text counts.
+Tokens are words and one end per text. The history of a token is the word before it, or the start of the
+text. Three levels of counts are kept in tables in the shared folder: every (word before, word) pair of all
+texts; for each word of the core (the most frequent ``CORE``) its count after each class of histories (the
+most frequent words are classes of their own, all other words share one, the start of a text is one); and
+every word's own count. All are discounted by Good and Turing; what a level gives up goes to the level below
+with weights that make each history's probabilities sum to 1, one unknown word included.
+
+The two lower levels together are the distribution that a pair not seen backs off to. Words of the core get
+theirs where the text lies, from one table of ``CORE`` x ``HISTORIES`` numbers; every other word backs off to
+its own count, which comes from the table of all words by a shuffle. What the pairs change comes from the
+table of all pairs by another shuffle; pairs of a core word before are dealt by the pair, all others by the
+word before, and the most frequent pairs are known to every task, so that no bucket gets one hot key. The
+tables of words and pairs grow with the input and are held by no process.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partylens.llm.jaccard import ENTRIES, _entries
-from partylens.llm.texts import LOWER, blobs, pieces, prefix_sums, span_hashes, words
+from partylens.llm.texts import LOWER, blobs, mixed, pieces, prefix_sums, span_hashes, words
 from partylens.session import stable
 
 CORE = 1 << 16  # words with counts after each history
@@ -31,7 +34,10 @@ HISTORIES = 64  # start, other, and the most frequent words
 START, OTHER = 0, 1
 TRUSTED = 5  # counts above are not discounted
 END = np.uint64(0x9B1A_6F0E_57D3_C821)  # stands for the end of a text
+BEGIN = np.uint64(0x5D8E_31C4_A96B_2F17)  # stands for the start of a text
 MERGE = 4 << 20  # words that a task gathers before it merges them
+PAIRS = 2 << 20  # pairs that a task gathers before it merges them
+USUAL = 1 << 16  # most frequent pairs that every task knows; the others are looked up, with the same result
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +86,12 @@ class Model:
     bits: int
     words: DataFrame  # bucket, words, counts
     pairs: DataFrame  # part, keys, counts
+    grams: DataFrame  # all pairs: bucket, befores, words, counts, owns (counts of the words outside the core)
+    pair_factor: np.ndarray  # discounts of the pairs' counts
+    core_back: np.ndarray  # log10 of what a pair not seen gets for each core word before, and last for the start
+    usual: np.ndarray  # keys of the most frequent pairs, sorted
+    usual_gain: np.ndarray
+    hot_sums: np.ndarray  # for each core word before and the start: tokens after it, and their discounted sum
 
 
 def _counted_words(bits: int):
@@ -185,8 +197,173 @@ def _summed_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"part": pa.array([part], pa.int32()), "keys": pa.array([key.astype(np.uint16).tobytes()], pa.binary()), "counts": pa.array([cells[key].tobytes()], pa.binary())})
 
 
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def token_pairs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, word before, word) of every token."""
+    owner, word = tokens(data, offsets)
+    before = np.full(len(word), BEGIN)
+    same = owner[1:] == owner[:-1]
+    before[1:][same] = word[:-1][same]
+    return owner, before, word
+
+
+def _buckets(bits: int, whole: np.ndarray, one: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Bucket by the hash ``one``, or by the pair's key where ``whole``."""
+    return (np.where(whole, key, one) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int32)
+
+
+def _lots(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    used, sizes = np.unique(bucket, return_counts=True)
+    return [pa.array(used.astype(np.int32)), *[blobs(c, sizes) for c in columns]]
+
+
+def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+
+
+def _counted_grams(shared, bits: int):
+    """All pairs of a task with their counts, dealt by the word, or by the pair for words of the core."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        core, _ = shared.value
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            before, word, count = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, at = np.unique(pair_keys(before, word), return_index=True, return_inverse=True)
+            return before[first], word[first], np.bincount(at, count, len(first)).astype(np.int64)
+
+        def out() -> pa.RecordBatch:
+            before, word, count = held[0]
+            bucket = _buckets(bits, _placed(core, word) >= 0, word, pair_keys(before, word))
+            order = np.lexsort((before, bucket))
+            return pa.RecordBatch.from_arrays(_lots(bucket[order], before[order], word[order], count[order]), names=["bucket", "befores", "words", "counts"])
+
+        for _, data, offsets in pieces(batches, "text"):
+            _, before, word = token_pairs(data, offsets)
+            held.append((before, word, np.ones(len(word), np.int64)))
+            if sum(len(h[0]) for h in held) > PAIRS:
+                held[:] = [merged()]
+                if len(held[0][0]) > PAIRS // 2:
+                    yield out()
+                    held.clear()
+        if held:
+            held[:] = [merged()]
+            yield out()
+
+    return counted
+
+
+def _summed_grams(shared, bits: int):
+    """Pairs of a bucket summed, with their words' own counts where those are outside the core, dealt anew."""
+
+    def summed(grams: pa.Table, table: pa.Table) -> pa.Table:
+        core, _ = shared.value
+        before, word, count = _joined(grams, "befores", np.uint64), _joined(grams, "words", np.uint64), _joined(grams, "counts", np.int64)
+        _, first, at = np.unique(pair_keys(before, word), return_index=True, return_inverse=True)
+        before, word, count = before[first], word[first], np.bincount(at, count, len(first)).astype(np.int64)
+        known, counts = _joined(table, "words", np.uint64), _joined(table, "counts", np.int64)
+        order = np.argsort(known)
+        place = _placed(known[order], word)
+        own = np.where((place >= 0) & (_placed(core, word) < 0), counts[order][np.maximum(place, 0)] if len(counts) else 0, 0)
+        bucket = _buckets(bits, (_placed(core, before) >= 0) | (before == BEGIN), before, pair_keys(before, word))
+        order = np.lexsort((before, bucket))
+        return pa.table(_lots(bucket[order], before[order], word[order], count[order], own[order]), names=["bucket", "befores", "words", "counts", "owns"])
+
+    return summed
+
+
+def lower(m: Model, before: np.ndarray, word: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """log10 of the probabilities that pairs back off to; ``own`` has the counts of words outside the core."""
+    at, place = _placed(m.core, before), _placed(m.core, word)
+    of = np.where(before == BEGIN, START, np.where(at >= 0, m.history[np.maximum(at, 0)] if len(m.core) else OTHER, OTHER))
+    single = np.where(own > 0, discounted(own, m.factor) / max(1, m.total), m.unseen)
+    return np.where(place >= 0, m.conditional[np.maximum(place, 0), of] if len(m.core) else 0.0, m.back[of] + np.log10(single))
+
+
+def pair_mass(count: np.ndarray, factor: np.ndarray, after: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of each pair from its count, the tokens after its history and their discounted sum, and what is left."""
+    left = 1 - kept / after
+    bare = left <= 1e-9  # nothing was discounted: one count is left for the rest
+    return discounted(count, factor) / np.where(bare, after + 1, after), np.where(bare, 1 / (after + 1), left)
+
+
+def _hot_sums(m: Model):
+    """For each core word before and the start: tokens after it, their discounted sum, and the lower level's mass of its pairs."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = m.value
+        sums = np.zeros((3, len(model.core) + 1))
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            before, word, count, own = _joined(table, "befores", np.uint64), _joined(table, "words", np.uint64), _joined(table, "counts", np.int64), _joined(table, "owns", np.int64)
+            place = np.where(before == BEGIN, len(model.core), _placed(model.core, before))
+            hot = place >= 0
+            for i, x in enumerate((count, discounted(count, model.pair_factor), 10.0 ** lower(model, before, word, own))):
+                sums[i] += np.bincount(place[hot], x[hot], sums.shape[1])
+        at = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(x[at]) for x in sums]], names=["place", "after", "kept", "below"])
+
+    return summed
+
+
+def _usual(least: int):
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            count = _joined(table, "counts", np.int64)
+            often = count >= least
+            columns = (_joined(table, "befores", np.int64), _joined(table, "words", np.int64), count, _joined(table, "owns", np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c[often]) for c in columns], names=["before", "word", "seen", "own"])
+
+    return found
+
+
+def _most(sizes: DataFrame, field: str, bound: int) -> int:
+    """Least count of the most frequent, ``bound`` at most, ties together."""
+    taken, least = 0, 1 << 62
+    for r in sizes.orderBy(F.desc("seen")).limit(bound + 1).collect():
+        if taken + r[field] > bound:
+            break
+        taken, least = taken + r[field], r["seen"]
+    return least
+
+
+def _with_grams(texts: DataFrame, model: Model, shared) -> Model:
+    """Count all pairs, and get the weights of the histories that one bucket does not hold as a whole."""
+    spark = texts.sparkSession
+    fields = "bucket int, befores binary, words binary, counts binary"
+    counted = texts.mapInArrow(_counted_grams(shared, model.bits), fields)
+    grams = stable(counted.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(_summed_grams(shared, model.bits), f"{fields}, owns binary"), "grams")
+    sizes = stable(grams.select("counts").mapInArrow(_count_sizes, "seen bigint, words bigint").groupBy("seen").agg(F.sum("words").alias("words")), "counts")
+    factor = discounts({r["seen"]: r["words"] for r in sizes.where(F.col("seen") <= TRUSTED + 1).collect()})
+    hot = len(model.core) + 1
+    model = replace(model, pair_factor=factor, core_back=np.zeros(hot))
+    plain = spark.sparkContext.broadcast(replace(model, words=None, pairs=None))
+    sums = np.zeros((3, hot))
+    for r in grams.mapInArrow(_hot_sums(plain), "place bigint, after double, kept double, below double").groupBy("place").agg(*[F.sum(c).alias(c) for c in ("after", "kept", "below")]).collect():
+        sums[:, r["place"]] = r["after"], r["kept"], r["below"]
+    seen = sums[0] > 0
+    _, left = pair_mass(np.zeros(hot, np.int64), factor, np.maximum(sums[0], 1), sums[1])
+    back = np.where(seen, np.log10(left / np.maximum(1 - sums[2], 1e-12)), 0.0)
+    rows = grams.mapInArrow(_usual(_most(sizes, "words", USUAL)), "before bigint, word bigint, seen bigint, own bigint").collect()  # at most ``USUAL``
+    before, word = (np.array([r[c] for r in rows], np.int64).view(np.uint64) for c in ("before", "word"))
+    count, own = (np.array([r[c] for r in rows], np.int64) for c in ("seen", "own"))
+    place = np.where(before == BEGIN, hot - 1, _placed(model.core, before))
+    known = place >= 0
+    before, word, count, own, place = before[known], word[known], count[known], own[known], place[known]
+    mass, _ = pair_mass(count, factor, sums[0][place], sums[1][place])
+    key = pair_keys(before, word)
+    order = np.argsort(key)
+    gain = np.log10(mass) - lower(model, before, word, own)
+    return replace(model, grams=grams, core_back=back, usual=key[order], usual_gain=gain[order], hot_sums=sums)
+
+
 def fit(docs: DataFrame, text_col: str = "text", core: int = CORE) -> Model:
-    """Count all words and core pairs of all rows of ``docs``; null texts are empty and have one end."""
+    """Count all words and pairs of all rows of ``docs``; null texts are empty and have one end."""
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
     bits = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
@@ -195,11 +372,7 @@ def fit(docs: DataFrame, text_col: str = "text", core: int = CORE) -> Model:
     sizes = stable(table.select("counts").mapInArrow(_count_sizes, "seen bigint, words bigint").groupBy("seen").agg(F.sum("words").alias("words")), "counts")
     total, distinct = sizes.agg(F.coalesce(F.sum(F.col("seen") * F.col("words")), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     of_counts = {r["seen"]: r["words"] for r in sizes.where(F.col("seen") <= TRUSTED + 1).collect()}
-    taken, least = 0, 1 << 62
-    for r in sizes.orderBy(F.desc("seen")).limit(core + 1).collect():  # counts of the most frequent words, ties together
-        if taken + r["words"] > core:
-            break
-        taken, least = taken + r["words"], r["seen"]
+    least = _most(sizes, "words", core)
     top = table.select("words", "counts").mapInArrow(_above(least), "word bigint, seen bigint").collect()  # at most ``core``
     hashes, counts = np.array([r["word"] for r in top], np.int64).view(np.uint64), np.array([r["seen"] for r in top], np.int64)
     order = np.argsort(hashes)
@@ -225,7 +398,9 @@ def fit(docs: DataFrame, text_col: str = "text", core: int = CORE) -> Model:
     single = discounted(counts, factor) / max(1, total) * scale
     unseen = lost / total if lost > 0 else 1 / (total + 1)
     conditional, back = conditionals(cells.reshape(-1, HISTORIES), after, single)
-    return Model(total, distinct, hashes, counts, history, conditional, back, factor * scale, unseen, bits, table, pairs)
+    none = np.zeros(0)
+    model = Model(total, distinct, hashes, counts, history, conditional, back, factor * scale, unseen, bits, table, pairs, None, none, none, none.astype(np.uint64), none, none)
+    return _with_grams(texts, model, shared)
 
 
 def conditionals(cells: np.ndarray, after: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +427,7 @@ def conditionals(cells: np.ndarray, after: np.ndarray, single: np.ndarray) -> tu
 
 
 def _scored_core(shared):
-    schema = pa.schema([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("others", pa.binary())])
+    schema = pa.schema([("text", pa.string()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("others", pa.binary())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -264,9 +439,12 @@ def _scored_core(shared):
             inside = place >= 0
             n = rows.num_rows
             sums = np.bincount(owner[inside], m.conditional[place[inside], before[inside]], n) + np.bincount(owner[~inside], m.back[before[~inside]], n)
+            key = pair_keys(*token_pairs(data, offsets)[1:])
+            usual = _placed(m.usual, key)
+            sums += np.bincount(owner[usual >= 0], m.usual_gain[usual[usual >= 0]], n)
             rest = np.bincount(owner[~inside], minlength=n)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(rows.schema.get_field_index("doc_id")), rows.column(rows.schema.get_field_index("held_out")), pa.array(np.bincount(owner, minlength=n)),
+                [rows.column(rows.schema.get_field_index("doc_id")), rows.column(rows.schema.get_field_index("held_out")), rows.column(rows.schema.get_field_index("text")), pa.array(np.bincount(owner, minlength=n)),
                  pa.array(np.bincount(owner[inside], minlength=n)), pa.array(np.bincount(owner[inside], base[place[inside]], n), pa.float64()), pa.array(sums, pa.float64()), blobs(word[~inside], rest)],
                 names=["doc_id", "held_out", *schema.names],
             )
@@ -291,6 +469,62 @@ def _scored_others(total: int, distinct: int, factor: np.ndarray, unseen: float)
     return scored
 
 
+def _gram_entries(shared):
+    """Pairs of each text that are not usual, as entries for their bucket; ``owners`` count through ``nodes``."""
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for rows, data, offsets in pieces(batches, "text"):
+            node = rows.column(rows.schema.get_field_index("node")).to_numpy(zero_copy_only=False)
+            owner, before, word = token_pairs(data, offsets)
+            key = pair_keys(before, word)
+            rare = _placed(m.usual, key) < 0
+            owner, before, word, key = owner[rare], before[rare], word[rare], key[rare]
+            bucket = _buckets(m.bits, (_placed(m.core, before) >= 0) | (before == BEGIN), before, key)
+            order = np.lexsort((before, bucket))
+            used, *columns = _lots(bucket[order], before[order], word[order])
+            ends = np.searchsorted(bucket[order], used.to_numpy(), "right")
+            own = [np.unique(x, return_inverse=True) for x in np.split(owner[order], ends[:-1])] if len(used) else []
+            nodes, owners = pa.array([node[x].tobytes() for x, _ in own], pa.binary()), pa.array([x.astype(np.int32).tobytes() for _, x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([used, *columns, owners, nodes], names=["bucket", "befores", "words", "owners", "nodes"])
+
+    return dealt
+
+
+def _scored_grams(shared):
+    def scored(entries: pa.Table, table: pa.Table) -> pa.Table:
+        m = shared.value
+        before, word, count, own = _joined(table, "befores", np.uint64), _joined(table, "words", np.uint64), _joined(table, "counts", np.int64), _joined(table, "owns", np.int64)
+        low = lower(m, before, word, own)
+        # histories: those of the core from their sums, the others as this bucket has all their pairs
+        history, at = np.unique(before, return_inverse=True)
+        n = len(history)
+        after, kept, below = (np.bincount(at, x, n) for x in (count, discounted(count, m.pair_factor), 10.0 ** low))
+        place = np.where(history == BEGIN, len(m.core), _placed(m.core, history))
+        hot = place >= 0
+        after[hot], kept[hot] = m.hot_sums[0][place[hot]], m.hot_sums[1][place[hot]]
+        mass, _ = pair_mass(count, m.pair_factor, after[at], kept[at])
+        _, left = pair_mass(np.zeros(n, np.int64), m.pair_factor, after, kept)
+        back = np.log10(left / np.maximum(1 - below, 1e-12))
+        key = pair_keys(before, word)
+        order = np.argsort(key)
+        key, gain = key[order], (np.log10(mass) - low)[order]
+        nodes, sums = [], []
+        for e in entries.to_batches(max_chunksize=256):
+            e = pa.Table.from_batches([e])
+            owners = [np.frombuffer(x, np.int32) for x in e.column("owners").to_pylist()]
+            nodes += [np.frombuffer(x, np.int64)[o] for x, o in zip(e.column("nodes").to_pylist(), owners, strict=True)]
+            asked_before, asked = _joined(e, "befores", np.uint64), _joined(e, "words", np.uint64)
+            found = _placed(key, pair_keys(asked_before, asked))
+            of, core = _placed(history, asked_before), np.where(asked_before == BEGIN, len(m.core), _placed(m.core, asked_before))
+            missed = np.where(core >= 0, m.core_back[np.maximum(core, 0)], np.where(of >= 0, back[np.maximum(of, 0)] if n else 0.0, 0.0))
+            sums.append(np.where(found >= 0, gain[np.maximum(found, 0)] if n else 0.0, missed))
+        names, at = np.unique(np.concatenate(nodes) if nodes else np.zeros(0, np.int64), return_inverse=True)
+        return pa.table({"node": pa.array(names, pa.int64()), "gain": pa.array(np.bincount(at, np.concatenate(sums) if sums else None, len(names)), pa.float64())})
+
+    return scored
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -302,10 +536,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     id_type = dict(docs.dtypes)[id_col]
     flag = held_out if held_out is not None else F.lit(False)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(flag, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    shared = spark.sparkContext.broadcast(
-        Model(model.total, model.distinct, model.core, model.core_count, model.history, model.conditional, model.back, model.factor, model.unseen, model.bits, None, None)
-    )
-    fields = f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, others binary"
+    shared = spark.sparkContext.broadcast(replace(model, words=None, pairs=None, grams=None))
+    fields = f"doc_id {id_type}, held_out boolean, text string, n_tokens bigint, n_known bigint, base double, score double, others binary"
     placed = stable(texts.mapInArrow(_scored_core(shared), fields).withColumn("node", F.monotonically_increasing_id()), "scored")
     total, = placed.agg(F.coalesce(F.sum(F.length("others") / 8), F.lit(0)).cast("bigint")).first()
     bits = min(model.bits, int(total // ENTRIES).bit_length())
@@ -314,8 +546,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     more = entries.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(
         _scored_others(model.total, model.distinct, model.factor, model.unseen), "node bigint, more_known bigint, more_base double, more_score double"
     ).groupBy("node").agg(F.sum("more_known").alias("more_known"), F.sum("more_base").alias("more_base"), F.sum("more_score").alias("more_score"))
+    grams = placed.select("node", "text").mapInArrow(_gram_entries(shared), "bucket int, befores binary, words binary, owners binary, nodes binary")
+    gains = grams.groupBy("bucket").cogroup(model.grams.groupBy("bucket")).applyInArrow(_scored_grams(shared), "node bigint, gain double").groupBy("node").agg(F.sum("gain").alias("gain"))
     none = F.lit(0)
-    return placed.drop("others").join(more, "node", "left").select(
+    return placed.drop("others", "text").join(more, "node", "left").join(gains, "node", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", none)).alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", none)).alias("base_score"), (F.col("score") + F.coalesce("more_score", none)).alias("score"),
+        (F.col("base") + F.coalesce("more_base", none)).alias("base_score"), (F.col("score") + F.coalesce("more_score", none) + F.coalesce("gain", none)).alias("score"),
     )

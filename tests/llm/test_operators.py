@@ -183,6 +183,59 @@ def test_katz(docs, core):
         assert seen == pytest.approx(1, abs=1e-5)
 
 
+def katz_by_hand(said, held):
+    """Scores of lists of words by plain Katz of order two with Good-Turing discounts."""
+    single, pair, after = Counter(), Counter(), Counter()
+    for i, ws in said:
+        if not held(i):
+            single.update(ws)
+            pair.update(zip([0, *ws], ws))  # noqa: B905
+            after.update([0, *ws[:-1]])
+
+    def factors(counts):
+        return katz.discounts(Counter(counts.values())).tolist()
+
+    def cut(n, factor):
+        return n * (factor[n] if n < len(factor) else 1.0)
+
+    one, two, total = factors(single), factors(pair), sum(single.values())
+    lost = sum(n - cut(n, one) for n in single.values())
+    assert lost > 0
+    p1 = defaultdict(lambda: lost / total, {w: cut(n, one) / total for w, n in single.items()})
+    kept, below = Counter(), Counter()
+    for (h, w), n in pair.items():
+        kept[h] += cut(n, two)
+        below[h] += p1[w]
+
+    def p(h, w):
+        if h not in after:
+            return p1[w]
+        bare = 1 - kept[h] / after[h] <= 1e-9
+        left = 1 / (after[h] + 1) if bare else 1 - kept[h] / after[h]
+        if (h, w) in pair:
+            return cut(pair[h, w], two) / (after[h] + bare)
+        return left / (1 - below[h]) * p1[w]
+
+    for h in after:
+        assert sum(p(h, w) for w in single) + p(h, 1) == pytest.approx(1)
+    return [(i, sum(math.log10(p(h, w)) for h, w in zip([0, *ws], ws))) for i, ws in said]  # noqa: B905
+
+
+@pytest.mark.parametrize("usual", [1 << 16, 30, 0])
+def test_katz_scores_every_pair(spark, docs, monkeypatch, usual):
+    """Without a core the lower level is single words, so the scores are plain Katz, whatever is known to every task."""
+    monkeypatch.setattr(katz, "USUAL", usual)
+    monkeypatch.setattr(katz, "PAIRS", 3000)
+    more = spark.createDataFrame([(300 + i, f"rare{i // 3} pair{i // 3} the w{i % 5}") for i in range(30)], "doc_id long, text string")
+    every = docs.select("doc_id", "text").unionByName(more)
+    held = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3)) == 2
+    said = [(i, [*re.findall(WORDS, lower(t or "")), None]) for i, t in [(r["doc_id"], r["text"]) for r in every.collect()]]
+    want = sorted((str(i), round(x, 3)) for i, x in katz_by_hand(said, lambda i: (i or 0) % 3 == 2))
+    got = katz.score(every, katz.fit(every.where(~held), core=0), held_out=held).collect()
+    assert [i for i, _ in want] == [i for i, _ in sorted((str(r["doc_id"]), r["score"]) for r in got)]
+    assert [x for _, x in sorted((str(r["doc_id"]), round(r["score"], 3)) for r in got)] == pytest.approx([x for _, x in want], abs=0.01, rel=1e-6)
+
+
 def test_rendezvous(docs):
     weights, grown = [1.0, 2.0, 0.0, 1.0], [1.0, 2.0, 0.0, 1.0, 1.5]
     got = sharding.shard_rows(docs, weights, grown=grown, carry=docs.columns).collect()
