@@ -1,30 +1,30 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: lexicons of word stems mined from labelled rows, a fixed list of insults, and
-patterns. A generative label model learns, without labels, how accurate the voters are and how they hang
-together, and gives each text of a bounded sample a posterior. A linear classifier over hashed words and
-word beginnings learns from these posteriors and scores every text.
+Many voters look at a text: lexicons of word stems mined from all labelled rows, a fixed list of insults, and
+patterns. A generative label model learns, without labels and from the votes on all texts, how accurate the
+voters are and how they hang together, and so gives each text a posterior. A linear classifier over hashed
+words and word beginnings learns from the posteriors of a bounded sample of labelled rows; which features it
+uses, and where those start that the sample hardly has, comes from the posteriors of all labelled rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partylens.llm.texts import LOWER, mixed, pieces, prefix_sums, shingles, sorted_unique, span_hashes, words
+from partylens.llm.texts import LOWER, mixed, pieces, prefix_sums, sorted_unique, span_hashes, words
 from partylens.session import stable
 
 # Common English insults.
 INSULTS = "clown disgusting dumb fool idiot jerk loser moron pathetic scum stupid trash ugly worthless".split()
 
-SAMPLE = 12_000  # labelled rows for the lexicons, and as many rows without labels for model and classifier
-TERMS = 4096  # mined terms at most
+SAMPLE = 12_000  # labelled rows for the classifier's gradient descent
 LEXICONS = 24  # mined lexicons
 STEMS = (4, 5, 6, 7)  # bytes of the word beginnings
 BUCKETS = 1 << 18
@@ -90,49 +90,77 @@ class Voters:
         return cast
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> np.ndarray:
-    """Posterior of toxic for each row of votes.
+@dataclass
+class LabelModel:
+    """Distributions of each voter's votes (-1, 0, 1) given the class, and what each voter counts for."""
+
+    prior: float
+    toxic: np.ndarray | None = None
+    clean: np.ndarray | None = None
+    weight: np.ndarray | None = None
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Probability of toxic for each row of votes; before the first round a guess."""
+        if self.toxic is None:
+            return np.clip(np.where((votes == 1).any(1), 0.9, self.prior), 1e-3, 1 - 1e-3)
+        gain = np.einsum("rvk,vk->rv", kinds(votes), np.log(self.toxic) - np.log(self.clean)) @ self.weight
+        return 1 / (1 + np.exp(-np.clip(gain + np.log(self.prior / (1 - self.prior)), -30, 30)))
+
+
+def kinds(votes: np.ndarray) -> np.ndarray:
+    return np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)  # rows x voters x votes
 
-    Expectation maximisation over a vote's distribution given the class gives the accuracies. The
-    correlations are those of the voters' residuals given the class; a voter that repeats others counts
+
+def moments(votes: np.ndarray, many: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Sums over texts that a round needs, as one array; ``many`` texts have each row of votes."""
+    x, k, toxic = votes.astype(float), kinds(votes), many * p
+    return np.concatenate([
+        np.einsum("r,rvk->vk", toxic, k).ravel(), np.einsum("r,rvk->vk", many, k).ravel(), (x.T @ (x * many[:, None])).ravel(),
+        toxic @ x, many @ x, [toxic.sum(), (toxic * p).sum(), many.sum()],
+    ])
+
+
+def label_model(sums: Callable[[LabelModel], np.ndarray], voters: int, prior: float, rounds: int = 30) -> LabelModel:
+    """Expectation maximisation; ``sums`` gives the ``moments`` of all texts under a model.
+
+    The correlations are those of the voters' residuals given the class; a voter that repeats others counts
     for 1 / (1 + the sum of its positive correlations), so a crowd of copies weighs like one voter.
     """
-    kinds = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)  # rows x voters x votes
-    posterior = np.clip(np.where((votes == 1).any(1), 0.9, 0.0) + prior * ~(votes == 1).any(1), 1e-3, 1 - 1e-3)
-    weight = np.ones(votes.shape[1])
+    model, weight = LabelModel(prior), np.ones(voters)
     for step in range(rounds):
-        given = []
-        for p in (posterior, 1 - posterior):
-            table = np.einsum("r,rvk->vk", p, kinds) + 0.1
-            given.append(table / table.sum(1, keepdims=True))
-        toxic, clean = given
+        s = sums(model)
+        cells = voters * 3
+        k_toxic, k_all = s[:cells].reshape(voters, 3), s[cells:2 * cells].reshape(voters, 3)
+        toxic, clean = ((t + 0.1) / (t + 0.1).sum(1, keepdims=True) for t in (k_toxic, k_all - k_toxic))
         if step % 5 == 4:
-            numbers = votes.astype(float)
-            mean = np.outer(posterior, toxic[:, 2] - toxic[:, 0]) + np.outer(1 - posterior, clean[:, 2] - clean[:, 0])
-            rest = numbers - mean
-            scale = rest.std(0)
-            together = (rest.T @ rest) / len(rest) / (np.outer(scale, scale) + 1e-9)
+            xx, (px, x) = s[2 * cells:2 * cells + voters**2].reshape(voters, voters), s[2 * cells + voters**2:-3].reshape(2, voters)
+            n_p, n_pp, n = s[-3:]
+            t, c, qx = toxic[:, 2] - toxic[:, 0], clean[:, 2] - clean[:, 0], x - px
+            cross = np.outer(px, t) + np.outer(qx, c)
+            square = n_pp * np.outer(t, t) + (n_p - n_pp) * (np.outer(t, c) + np.outer(c, t)) + (n - 2 * n_p + n_pp) * np.outer(c, c)
+            together = (xx - cross - cross.T + square) / n
+            mean = (x - n_p * t - (n - n_p) * c) / n
+            scale = np.sqrt(np.maximum(np.diag(together) - mean**2, 0))
+            together = together / (np.outer(scale, scale) + 1e-9)
             np.fill_diagonal(together, 0)
             weight = 1 / (1 + np.clip(together, 0, 1).sum(1))
-        gain = np.einsum("rvk,vk->rv", kinds, np.log(toxic) - np.log(clean)) @ weight
-        posterior = 1 / (1 + np.exp(-np.clip(gain + np.log(prior / (1 - prior)), -30, 30)))
-    return posterior
+        model = LabelModel(prior, toxic, clean, weight)
+    return model
 
 
-def linear(bucket: list[np.ndarray], posterior: np.ndarray) -> tuple[np.ndarray, float]:
+def linear(bucket: list[np.ndarray], posterior: np.ndarray, seen: np.ndarray, mass: np.ndarray, base: float) -> tuple[np.ndarray, float]:
     """Logistic regression on posteriors by stochastic gradient descent.
 
-    Only features whose texts differ strikingly from the mean posterior take part; the others stay 0,
-    so that thousands of words of a long text cannot add up to a verdict by chance.
+    ``seen`` and ``mass`` are the texts and the sum of the posteriors of each feature, ``base`` the mean
+    posterior, over all labelled rows. Only features whose texts differ strikingly from the mean take part;
+    the others stay 0, so that thousands of words of a long text cannot add up to a verdict by chance. One
+    that is in fewer than ``LEAST`` texts here starts from its odds in all rows, shared by the features of a word.
     """
     rng = np.random.default_rng(11)
-    weight = np.zeros(BUCKETS)
-    if not len(bucket):
-        return weight, 0.0
-    base = min(0.99, max(0.01, float(posterior.mean())))
-    every, amount = np.concatenate(bucket), np.repeat(posterior, [len(b) for b in bucket])
-    seen, mass = np.bincount(every, minlength=BUCKETS), np.bincount(every, amount, BUCKETS)
     striking = (seen >= LEAST) & (np.abs(mass - seen * base) >= STRIKING * np.sqrt(np.maximum(seen, 1) * base * (1 - base)))
+    here = np.bincount(np.concatenate(bucket), minlength=BUCKETS) if len(bucket) else np.zeros(BUCKETS, int)
+    odds = np.log((mass + 0.5) / (np.maximum(seen - mass, 0) + 0.5)) - np.log(base / (1 - base))
+    weight = np.where(striking & (here < LEAST), odds / (len(STEMS) + 1), 0.0)
     bucket = [b[striking[b]] for b in bucket]
     bias, power = float(np.log(base / (1 - base))), np.ones(BUCKETS)
     for _ in range(EPOCHS):
@@ -146,21 +174,10 @@ def linear(bucket: list[np.ndarray], posterior: np.ndarray) -> tuple[np.ndarray,
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows with ``sign``: the least hash of a text's shingles, mostly equal among near copies."""
+    """id and ``sign``, a hash of the whole text: equal for equal texts only."""
     for rows, data, offsets in pieces(batches, "text"):
-        owner, value = shingles(data, offsets)
-        first = np.searchsorted(owner, np.arange(rows.num_rows))
-        has = np.bincount(owner, minlength=rows.num_rows) > 0
-        sign = np.where(has, np.append(value, np.uint64(0))[np.minimum(first, len(value))].view(np.int64), 0)
-        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sign)], names=[*rows.schema.names, "sign"])
-
-
-def _unlike(texts: DataFrame) -> DataFrame:
-    """One of each set of copies in a bounded sample, so that copies do not pass for evidence."""
-    fields = ", ".join(f"{n} {t}" for n, t in texts.dtypes)
-    signed = texts.mapInArrow(_signed, f"{fields}, sign bigint")
-    first = Window.partitionBy("sign").orderBy("place", "text")
-    return signed.withColumn("nth", F.row_number().over(first)).where(F.col("nth") == 1).drop("nth", "sign")
+        sign = span_hashes(prefix_sums(data), offsets[:-1], offsets[1:])
+        yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("_id")), pa.array(sign.view(np.int64))], names=["_id", "sign"])
 
 
 def _mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,20 +192,31 @@ def _mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _chosen(rows: DataFrame, id_col: str, sample: int) -> DataFrame:
-    return rows.withColumn("place", F.xxhash64(F.col(id_col), F.lit(3))).orderBy("place", id_col).limit(sample).drop("place")
+def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Only the rows whose text has the sign that was kept, as an id can name several texts."""
+    for rows, data, offsets in pieces(batches, "text"):
+        sign = span_hashes(prefix_sums(data), offsets[:-1], offsets[1:]).view(np.int64)
+        yield rows.filter(pa.array(sign == rows.column(rows.schema.get_field_index("_sign")).to_numpy(zero_copy_only=False)))
+
 
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
+    """text, label and place (a hash of the id) of all labelled rows; equal texts with equal labels count once.
 
-def mine(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, sample: int = SAMPLE) -> tuple[Voters, float]:
-    """Lexicons from at most ``sample`` labelled rows, and the share of toxic ones among them."""
+    Only ids and hashes are compared, so a text moves once, to its label.
+    """
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["_id"])
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(_chosen(known, "_id", sample)), "_id")
-    texts = stable(_unlike(texts.select("text", "label", F.xxhash64("_id").alias("place"))), "labelled")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    signs = texts.mapInArrow(_signed, f"_id {dict(texts.dtypes)['_id']}, sign bigint").join(known, "_id")
+    kept = signs.groupBy("sign", "label").agg(F.min(F.struct(F.xxhash64("_id", F.lit(3)).alias("place"), "_id")).alias("first"))
+    kept = kept.select("first._id", "first.place", "label", "sign").withColumnRenamed("sign", "_sign")
+    found = texts.join(kept, "_id").select("text", "label", "place", "_sign")
+    return found.mapInArrow(_own_text, "text string, label int, place bigint, _sign bigint").dropDuplicates(["_sign", "label"]).drop("_sign")
+
+
+def mine(texts: DataFrame) -> tuple[Voters, float]:
+    """Lexicons from all labelled texts, and the share of toxic ones among them. The terms are as many as are found."""
     counts = texts.mapInArrow(_mined, "term bigint, texts bigint, toxic bigint").groupBy("term").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
-    rows = (
-        counts.where((F.col("texts") >= LEAST) & (F.col("toxic") >= PRECISION * F.col("texts")))
-        .orderBy(F.desc("toxic"), "term").limit(TERMS).select("term", "toxic").collect()
-    )  # at most TERMS rows
+    rows = counts.where((F.col("texts") >= LEAST) & (F.col("toxic") >= PRECISION * F.col("texts"))).orderBy(F.desc("toxic"), "term").select("term").collect()
     share = texts.agg(F.avg("label")).first()[0]
     found = np.array([r["term"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(found)
@@ -198,35 +226,76 @@ def mine(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_c
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Weights and bias of the classifier.
 
-    Labels serve the lexicons and the share of toxic texts; label model and classifier see at most
-    ``sample`` rows of ``docs`` (by a hash of the id) and no label. Fitting is one task over that sample.
+    All labelled rows serve the lexicons, the share of toxic texts and the choice of features; the votes on all
+    rows of ``docs`` serve the label model, which sees no label. The classifier's descent is one task over at
+    most ``sample`` labelled rows, chosen by a hash of the id after equal texts are merged.
     """
-    voters, prior = mine(docs, labels, label_col, id_col, text_col, sample)
+    spark = docs.sparkSession
+    texts = stable(labelled(docs, labels, label_col, id_col, text_col), "labelled")
+    voters, prior = mine(texts)
+    shared = spark.sparkContext.broadcast(voters)
+
+    def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offsets in pieces(batches, "text"):
+            cast, many = np.unique(shared.value.votes(data, offsets, *terms(data, offsets)), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in cast], pa.binary()), pa.array(many)], names=["votes", "many"])
+
+    votes = docs.select(F.col(text_col).alias("text")).mapInArrow(patterns, "votes binary, many bigint").groupBy("votes").agg(F.sum("many").alias("many"))
+    votes = stable(votes, "votes")
+
+    def sums(model: LabelModel) -> np.ndarray:
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    cast = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int8).reshape(batch.num_rows, -1)
+                    many = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), float)
+                    yield pa.RecordBatch.from_arrays([pa.array([moments(cast, many, model.posterior(cast)).tobytes()], pa.binary())], names=["sums"])
+
+        return np.sum([np.frombuffer(r["sums"], float) for r in votes.mapInArrow(summed, "sums binary").collect()], axis=0)
+
+    if votes.isEmpty() or texts.isEmpty():
+        return np.zeros(BUCKETS, np.float32), 0.0
+    model = label_model(sums, voters.count, prior)
 
-    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, mass = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)  # last, the texts
+        for _, data, offsets in pieces(batches, "text"):
+            owner, value, per_text = terms(data, offsets)
+            posterior = model.posterior(shared.value.votes(data, offsets, owner, value, per_text))
+            bucket, owner = sorted_unique((value % np.uint64(BUCKETS)).astype(np.int64), owner)
+            seen += np.bincount(bucket, minlength=BUCKETS + 1)
+            mass += np.bincount(bucket, posterior[owner], BUCKETS + 1)
+            seen[-1], mass[-1] = seen[-1] + len(per_text), mass[-1] + posterior.sum()
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at]), pa.array(mass[at])], names=["bucket", "seen", "mass"])
+
+    seen, mass = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    for r in texts.select("text").mapInArrow(weighed, "bucket bigint, seen double, mass double").groupBy("bucket").agg(F.sum("seen").alias("seen"), F.sum("mass").alias("mass")).collect():
+        seen[r["bucket"]], mass[r["bucket"]] = r["seen"], r["mass"]  # BUCKETS rows at most
+    base = min(0.99, max(0.01, mass[-1] / max(1, seen[-1])))
+    counted = spark.sparkContext.broadcast((seen[:-1], mass[:-1]))
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in pieces(batches, "text"):
             owner, value, per_text = terms(data, offsets)
-            cast = voters.votes(data, offsets, owner, value, per_text)
+            posterior = model.posterior(shared.value.votes(data, offsets, owner, value, per_text))
             bucket = (value % np.uint64(BUCKETS)).astype(np.int32)
             ends = np.searchsorted(owner, np.arange(rows.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(rows.schema.get_field_index("place")), pa.array([v.tobytes() for v in cast], pa.binary()),
+                [rows.column(rows.schema.get_field_index("place")), pa.array(posterior),
                  pa.array([np.unique(bucket[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
-                names=["place", "votes", "bucket"],
+                names=["place", "posterior", "bucket"],
             )
 
     def learned(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["place", "bucket"], kind="stable")
-        votes = np.stack([np.frombuffer(v, np.int8) for v in rows["votes"]])
-        weight, bias = linear([np.frombuffer(b, np.int32) for b in rows["bucket"]], label_model(votes, prior))
+        weight, bias = linear([np.frombuffer(b, np.int32) for b in rows["bucket"]], rows["posterior"].to_numpy(), *counted.value, base)
         return pd.DataFrame({"weight": [weight.astype(np.float32).tobytes()], "bias": [bias]})
 
-    ids = docs.select(F.col(id_col).alias("_id")).transform(lambda d: _chosen(d, "_id", sample)).distinct()
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "_id").select("text", F.xxhash64("_id").alias("place"))
-    found = _unlike(texts).mapInArrow(voted, "place bigint, votes binary, bucket binary").withColumn("one", F.lit(1)).groupBy("one").applyInPandas(learned, "weight binary, bias double").collect()
-    if not found:
-        return np.zeros(BUCKETS, np.float32), 0.0
-    return np.frombuffer(found[0]["weight"], np.float32), found[0]["bias"]
+    places = F.broadcast(texts.select("place").orderBy("place").limit(sample).distinct())
+    chosen = texts.select("text", "place").join(places, "place")
+    found = chosen.mapInArrow(featured, "place bigint, posterior double, bucket binary").withColumn("one", F.lit(1)).groupBy("one").applyInPandas(learned, "weight binary, bias double").first()
+    return np.frombuffer(found["weight"], np.float32), found["bias"]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], into: str = "score", text_col: str = "text") -> DataFrame:

@@ -333,6 +333,20 @@ def test_classifiers_take_any_row(spark, docs):
         assert Counter(r["text"] for r in got) == Counter(t for _, t in rows())
 
 
+def test_toxicity_learns_from_all_rows(spark):
+    """A small sample for the descent hides no expression: most toxic terms are in none of the sample's few rows."""
+    rng = np.random.default_rng(5)
+    plain = [f"common{i}" for i in range(300)]
+    data = []
+    for i in range(2400):
+        text = " ".join(rng.choice(plain, 12))
+        data.append((i, f"{text} vile{i % 60:02d}zz" if i % 8 == 0 else text, int(i % 8 == 0)))
+    every = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    weight, bias = toxicity.fit(every.select("doc_id", "text"), every.select("doc_id", "toxic"), sample=40)
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(every, (weight, bias)).collect()}
+    assert all((score[i] >= 0.5) == bool(toxic) for i, _, toxic in data)
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([], "item_id long, text string")
