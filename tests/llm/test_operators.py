@@ -347,6 +347,14 @@ def test_toxicity_learns_from_all_rows(spark):
     assert all((score[i] >= 0.5) == bool(toxic) for i, _, toxic in data)
 
 
+def test_toxicity_merges_equal_texts_only(spark):
+    """Texts with a long common passage stay, toxic and clean; a text that is repeated with one label counts once."""
+    data = [(i, f"{PASSAGE} own{i // 2}", int(i % 4 < 2)) for i in range(40)] + [(50 + i, "", i % 2) for i in range(6)]
+    every = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    found = toxicity.labelled(every.select("doc_id", "text"), every.select("doc_id", "toxic"), "toxic", "doc_id", "text").collect()
+    assert sorted((r["text"], r["label"]) for r in found) == sorted({(t, x) for _, t, x in data})
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([], "item_id long, text string")
