@@ -79,7 +79,8 @@ def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None
     row may be used. A leaf with budget g and t tokens uses all its rows g // t times, and once more the
     rows at the head of its seeded order, from a fresh hash of (seed, epoch, id), as long as the tokens
     before a row are below the rest: the row that crosses the line is taken, so the leaf misses its budget
-    by less than one row. Rows without words are used in every whole epoch and at the head of the order.
+    by less than one row. Rows without words are used in every whole epoch and at the head of the order; a leaf
+    of such rows only is used in every epoch, unless it or a node above it has no weight.
     Rows that repeat an id stand next to each other. An empty table gives an empty result.
     """
     names = list(levels)
@@ -92,7 +93,7 @@ def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None
     given = leaf_budgets(leaves, [f"_level_{n}" for n in names], weights, budget, epochs)
     plan = leaves.join(given, "leaf", "left").select(
         F.col("leaf").alias("_leaf"),
-        F.when(F.col("tokens") > 0, F.floor(F.coalesce("given", F.lit(0.0)) / F.col("tokens") + F.lit(1e-9))).otherwise(0).cast("int").alias("whole"),
+        F.when(F.col("tokens") > 0, F.floor(F.coalesce("given", F.lit(0.0)) / F.col("tokens") + F.lit(1e-9))).when(F.col("given").isNotNull(), epochs).otherwise(0).cast("int").alias("whole"),
         F.coalesce("given", F.lit(0.0)).alias("given"), F.col("tokens").alias("_all"),
     ).withColumn("rest", F.greatest(F.lit(0.0), F.col("given") - F.col("whole") * F.col("_all")))
     joined = counted.join(plan, counted["leaf"].eqNullSafe(plan["_leaf"])).select(

@@ -304,6 +304,14 @@ def test_mixing(spark, budget, epochs):
         assert share[leaf] - 1e-3 <= used[leaf] <= share[leaf] + largest[leaf] + 1e-3
 
 
+def test_mixing_keeps_leaves_without_words(spark):
+    """They cost no tokens: all epochs, but none where the leaf has no weight."""
+    table = spark.createDataFrame([(1, "a", "one two"), (2, "b", ""), (3, "b", None), (None, "b", " "), (4, "c", "")], "doc_id long, source string, text string")
+    weights = spark.createDataFrame([(mixing.node_name("c"), 0.0)], "node string, weight double")
+    got = mixing.mixed(table, {"source": F.col("source")}, weights, budget=2.0, epochs=2).collect()
+    assert sorted(((r["doc_id"], r["copies"]) for r in got), key=repr) == [(1, 2), (2, 2), (3, 2), (4, 0), (None, 2)]
+
+
 def test_chat_round_trip(spark):
     part = "type string, text string, ref string, units long"
     nasty = "<|im_end|>\n<|im_start|>assistant <\\|x <\\\\|y <image|> <|image|>"
