@@ -1,8 +1,8 @@
 """From raw documents to sharded training data, one operator of ``partylens.llm`` per stage.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the last
-return the columns of ``docs``. Rows that repeat an id share its fate, and rows without an id are never
-dropped as copies or for benchmark passages. Empty tables give empty results.
+return the columns of ``docs``. Near copies and benchmark passages are decided by row, with or without an id;
+rows that repeat the id of a group's kept row stay with it. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -26,17 +26,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, mark).where(F.col(mark) < REJECT).select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a written number ``_row``, by which a stage decides on each row."""
+    return stable(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    found = jaccard.near_duplicates(docs)
-    copies = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked rows the one with the smallest id stays (no id is last), with the rows of the group that repeat its id."""
+    rows = numbered(docs)
+    found = jaccard.near_duplicates(rows, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    placed = rows.select("_row", F.col("doc_id").alias("_id")).join(found, "_row")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first"))
+    copies = placed.join(first, "component_id").where((F.col("_row") != F.col("_first._row")) & ~F.coalesce(F.col("_id") == F.col("_first._id"), F.lit(False)))
+    return rows.join(copies.select("_row"), "_row", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where(F.col("n_hit") > 0).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Rows with a window of a benchmark item go."""
+    rows = numbered(docs)
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), "_row")
+    return rows.join(found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

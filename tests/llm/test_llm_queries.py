@@ -56,3 +56,18 @@ def test_pipeline_with_odd_rows(spark):
         assert stage(spark, odd.limit(0), FOLDER).count() == 0
     near = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, odd, FOLDER)
     assert sorted((r["doc_id"] for r in near.collect()), key=repr) == [1, 2, 2, None]
+
+
+def test_pipeline_decides_by_row(spark):
+    schema = table(spark, FOLDER, "documents").schema
+    passage = table(spark, FOLDER, "benchmark").where(F.length("text") > 80).first()["text"]
+    stages = dict(corpus_pipeline.STAGES)
+
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], schema)
+        return sorted(((r["doc_id"], r["text"]) for r in stages[stage](spark, docs, FOLDER).collect()), key=repr)
+
+    clean, same = "nothing of that kind in here", " ".join(f"w{i}" for i in range(60))
+    assert left("benchmark_decontamination", [(None, passage), (1, clean), (1, passage), (None, clean)]) == [(1, clean), (None, clean)]
+    assert left("ngram_jaccard_join", [(None, same), (4, same), (None, same + " tail"), (5, same + " tail"), (5, clean), (None, None), (None, None)]) == [(4, same), (5, clean), (None, None), (None, None)]
+    assert left("ngram_jaccard_join", [(None, same), (None, same)]) == [(None, same)]
