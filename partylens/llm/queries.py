@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partylens.llm import chat, decontaminate, exact_dedup, jaccard, katz, mixing, quality, repeats, sharding, toxicity
+from partylens.llm import (
+    chat, decontaminate, exact_dedup, jaccard, katz, licenses, mixing, periodic, quality, repeats, sharding, toxicity, vector_codes,
+)
+from partylens.llm.scan_sql import LICENSE_SCAN, PERIODIC_RUNS, VECTOR_CODES
+from partylens.session import stable
 
 SHARDS = 8
 DOMAIN_WEIGHTS = {"d0": 4.0, "d1": 3.0, "d2": 2.0, "d3": 1.0}
@@ -91,6 +95,44 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(parts))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_digest(licenses.license_spans(table(spark, folder, "documents")))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    made = vector_codes.compress(table(spark, folder, "embeddings"), keep={"label": "label"})
+    rows = vector_codes.with_group_error(stable(made.rows, "codes"), "label", "label_error")
+    return rows.select("vec_id", "code", "error", "label_error", digest(F.lit(made.spelled())).alias("codebooks_sha256"))
+
+
+def planted(doc_id: Column, text: Column) -> Column:
+    """Every tenth text repeats its words from some word on, by the checksum of its id."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    said = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    one = F.element_at(F.transform(F.array(said), repeated), 1)
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), one).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("_best", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("_best.start").alias("start"), (-F.col("_best.less")).alias("length"),
+        F.col("_best.period").alias("period"), F.floor(-1000 * F.col("_best.less") / F.col("_best.period")).cast("bigint").alias("exponent_milli"),
+        digest(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,7 +141,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_jaccard_join, op3_sharding, op4_toxicity, op5_exact_dedup, op6_repeated_spans, op7_mixing, op8_decontamination,
-    op9_katz, op10_chat, pipeline,
+    op9_katz, op10_chat, op11_license_scan, op12_vector_codes, op13_periodic_runs, pipeline,
 )}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,4 +192,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
 FROM t GROUP BY 1""",
+    "op11_license_scan": LICENSE_SCAN,
+    "op12_vector_codes": VECTOR_CODES,
+    "op13_periodic_runs": PERIODIC_RUNS,
 }
