@@ -108,7 +108,7 @@ def test_license_spans(spark):
     assert (got[4].n_base, got[4].labels, got[4].first_word) == (0, "", None)
     assert (got[6].first_word, got[6].base_labels) == (60_000, "apache-2")
     assert licenses.license_spans(docs.limit(0)).count() == 0
-    in_blocks = licenses.license_spans(docs, block=7)
+    in_blocks = licenses.license_spans(docs, block=150)
     assert sorted(map(repr, in_blocks.collect())) == sorted(map(repr, spans.collect()))
 
 
