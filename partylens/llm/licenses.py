@@ -3,13 +3,14 @@
 All rolling runs of ``GRAM`` words of all texts are joined with the runs of the templates. A match of text place i
 with template place j votes for the diagonal i - j: the place where the template would begin. Votes are gathered by
 text, template and diagonal; neighbouring diagonals are one span, since an added or missing word moves the rest of a
-notice to the next diagonal; the words of the spans are then compared with the templates.
+notice to the next diagonal. A run votes only if its words are the template's, so a span is verified by its words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partylens.llm.texts import LOWER, mixed, pieces, prefix_sums, span_hashes, words
-from partylens.session import stable
 
 GRAM = 3  # words of a voting run, and the fewest words of a template
 DRIFT = 10  # one word of drift between neighbouring diagonals for so many words of a notice
@@ -27,6 +27,8 @@ BLOCK = 1 << 18  # template runs that are broadcast at once; more are joined in
 
 SPACE = np.ones(256, bool)
 SPACE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+SPACE_OR_UPPER = SPACE.copy()  # the same before A-Z are lower-cased
+SPACE_OR_UPPER[range(0x41, 0x5B)] = False
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,6 @@ NOTICES = [
     Template("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     Template("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
-SPANS = "array<struct<template:int,label:string,phrase:boolean,first_word:bigint,n_words:bigint,score:double>>"
 
 
 def _grams(word: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
@@ -89,63 +90,38 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarra
 
 
 def _rolling(gram: int):
+    """Per text the hash of each run of words, and where each word begins and ends."""
     def rolling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, "_text"):
-            value, n = _hashed(data, offsets, gram)
-            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(value))
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("_key")), listed], names=["_key", "grams"])
+            starts, ends, n = words(data, offsets, SPACE_OR_UPPER)
+            value, runs = _hashed(data, offsets, gram)
+            bounds = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            begin = np.repeat(offsets[:-1], n)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(batch.schema.get_field_index("_key")), batch.column(batch.schema.get_field_index("_text")).cast(pa.binary()),
+                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(runs)]).astype(np.int32)), pa.array(value)),
+                pa.ListArray.from_arrays(bounds, pa.array((starts - begin).astype(np.int32))),
+                pa.ListArray.from_arrays(bounds, pa.array((ends - begin).astype(np.int32))),
+            ], names=["_key", "_text", "hashes", "starts", "ends"])
 
     return rolling
 
 
-def _score(word: Callable[[int], bytes], n: int, template: list[bytes], diagonals: list[int], gram: int) -> tuple[int, int, float] | None:
-    """First word, number of words and score of a span from the words themselves."""
-    covered, low, high = np.zeros(len(template), bool), None, 0
-    for d in diagonals:
-        at = max(0, -d)
-        to = min(len(template), n - d)
-        same = np.array([word(d + j) == template[j] for j in range(at, to)], bool)
-        run = np.flatnonzero(np.convolve(same, np.ones(gram, int), "valid") == gram) + at if len(same) >= gram else []
-        for j in run:
-            covered[j:j + gram] = True
-        if len(run):
-            low = d + int(run[0]) if low is None else min(low, d + int(run[0]))
-            high = max(high, d + int(run[-1]) + gram)
-    return None if low is None else (low, high - low, int(covered.sum()) / max(len(template), high - low))
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, data, offsets in pieces(batches, "_text"):
+        n = words(data, offsets, SPACE_OR_UPPER)[2]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(batch.schema.get_field_index("_key")), pa.array(n.astype(np.int64))], names=["_id", "_key", "n_words"])
 
 
-def _verified(templates: list[Template], gram: int, shown: float):
-    worded = [t.words() for t in templates]
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in pieces(batches, "_text"):
-            data = LOWER[data]
-            starts, ends, n = words(data, offsets, SPACE)
-            bounds = np.concatenate([[0], np.cumsum(n)])
-            rows = []
-            for i, spans in enumerate(batch.column(batch.schema.get_field_index("_spans")).to_pylist()):
-                found = []
-                for span in spans or []:
-                    one, t = templates[span["template"]], worded[span["template"]]
-                    score = _score(lambda k, b=bounds[i]: data[starts[b + k]:ends[b + k]].tobytes(), int(n[i]), t, span["diagonals"], gram)
-                    if score and score[2] >= (1.0 if one.phrase else shown):
-                        found.append((score[0], span["template"], one.label, one.phrase, score[1], score[2]))
-                rows.append([{"template": t, "label": la, "phrase": p, "first_word": f, "n_words": m, "score": s} for f, t, la, p, m, s in sorted(found)])
-            kind = pa.list_(pa.struct([("template", pa.int32()), ("label", pa.string()), ("phrase", pa.bool_()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), pa.array(rows, kind)], names=["_id", "n_words", "spans"])
-
-    return verified
-
-
-def _places(templates: list[Template], gram: int) -> list[tuple[int, int, int]]:
-    """(hash, template, place) of every run of the templates."""
+def _places(templates: list[Template], gram: int) -> list[tuple[int, str, int, int]]:
+    """(hash, words, template, place) of every run of the templates."""
     rows = []
     for number, template in enumerate(templates):
         text = b" ".join(template.words())
         if len(template.words()) < gram:
             raise ValueError(f"a template needs {gram} words: {template.text!r}")
         value, _ = _hashed(np.frombuffer(text, np.uint8), np.array([0, len(text)]), gram)
-        rows.extend((int(v), number, j) for j, v in enumerate(value))
+        rows.extend((int(v), b" ".join(template.words()[j:j + gram]).decode(), number, j) for j, v in enumerate(value))
     return rows
 
 
@@ -160,45 +136,54 @@ def license_spans(
     place where a phrase stands word by word, and the notices with a score of ``shown`` or more, by first word and template.
 
     The templates are a list, so they are small; they are broadcast ``block`` runs at a time, each block one more pass.
-    The runs of the texts are not shuffled: only matches are, gathered by text, template and diagonal before. A text's matches
-    are at most its words times the templates. Equal texts are one group whose matches are counted once. Texts are
-    joined with the written spans, which are broadcast where their files are small, else shuffled, and skewed parts split.
+    No text is shuffled: a match is compared word by word where the text lies, and only matches go on, gathered by text,
+    template and diagonal before. A text's matches are at most its words times the templates. Equal texts are
+    one group whose matches are counted once; ids and numbers of words are joined with the spans by the texts' digest.
 
     A null text has no words and no spans; a null id stays null; every row gives a row of its own, repeated ids and rows
     too; other columns are ignored, whatever their names; an empty table gives an empty one. A text is handled as a whole,
-    at some 30 bytes of memory a byte.
+    at some 50 bytes of memory a byte.
     """
     spark = docs.sparkSession
     templates = PHRASES + NOTICES if templates is None else templates
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     rows = rows.withColumn("_key", F.md5(F.col("_text").cast("binary")))
-    grams = rows.select("_key", "_text").mapInArrow(_rolling(gram), "_key string, grams array<bigint>")
-    grams = grams.select("_key", F.posexplode("grams").alias("i", "hash"))
+    grams = rows.select("_key", "_text").mapInArrow(_rolling(gram), "_key string, _text binary, hashes array<bigint>, starts array<int>, ends array<int>")
+    grams = grams.select("_key", "_text", "starts", "ends", F.posexplode("hashes").alias("i", "hash"))
+    at, to = F.get("starts", F.col("i")), F.get("ends", F.col("i") + (gram - 1))
+    said = F.translate(F.substring("_text", at + 1, to - at).cast("string"), ascii_uppercase, ascii_lowercase)
+    said = F.regexp_replace(said, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
 
     places = _places(templates, gram)
     votes = None
-    for at in range(0, max(len(places), 1), block):
-        part = spark.createDataFrame(places[at:at + block], "hash bigint, template int, j int")
-        hits = grams.join(F.broadcast(part), "hash").select("_key", "template", (F.col("i") - F.col("j")).cast("bigint").alias("diagonal"), "j")
+    for first in range(0, max(len(places), 1), block):
+        part = spark.createDataFrame(places[first:first + block], "hash bigint, words string, template int, j int")
+        # Written as a range, so that it is no join key, which would be computed for runs without a match too.
+        hits = grams.join(F.broadcast(part), "hash").where(said.between(F.col("words"), F.col("words")))
+        hits = hits.select("_key", "template", (F.col("i") - F.col("j")).cast("bigint").alias("diagonal"), "j")
         votes = hits if votes is None else votes.unionByName(hits)
     diagonals = votes.groupBy("_key", "template", "diagonal").agg(F.collect_set("j").alias("js"))
 
-    facts = spark.createDataFrame([(i, len(t.words()), t.drift(), t.phrase) for i, t in enumerate(templates)], "template int, size int, drift int, phrase boolean")
+    facts = spark.createDataFrame(
+        [(i, t.label, t.phrase, len(t.words()), t.drift()) for i, t in enumerate(templates)], "template int, label string, phrase boolean, size int, drift int")
     in_order = Window.partitionBy("_key", "template").orderBy("diagonal")
     diagonals = diagonals.join(F.broadcast(facts), "template")
     gap = F.col("diagonal") - F.lag("diagonal").over(in_order)
     diagonals = diagonals.withColumn("_new", F.when(gap <= F.col("drift"), 0).otherwise(1)).withColumn("_span", F.sum("_new").over(in_order))
-    reached = F.array_size(F.array_distinct(F.flatten(F.transform("js", lambda j: F.sequence(j, j + (gram - 1))))))
-    # What one span can cover at most, by votes; the words decide.
-    spans = diagonals.groupBy("_key", "template", "_span").agg(
-        F.array_sort(F.collect_list("diagonal")).alias("diagonals"), F.sum(reached).alias("_most"), F.first("size").alias("_size"), F.first("phrase").alias("_phrase"),
-    ).where(F.col("_most") >= F.when(F.col("_phrase"), F.col("_size")).otherwise(F.lit(shown) * F.col("_size")))
-    spans = stable(spans.groupBy(F.col("_key").alias("_of")).agg(F.collect_list(F.struct("template", "diagonals")).alias("_spans")), "spans")
-
-    found = rows.join(spans, F.col("_key") == F.col("_of"), "left").select("_id", "_text", "_spans")
-    found = found.mapInArrow(_verified(templates, gram, shown), f"_id {kind}, n_words bigint, spans {SPANS}")
-    return found.withColumnRenamed("_id", id_col)
+    begin, end = F.min(F.col("diagonal") + F.array_min("js")), F.max(F.col("diagonal") + F.array_max("js")) + gram
+    matched = F.flatten(F.collect_list(F.flatten(F.transform("js", lambda j: F.sequence(j, j + (gram - 1))))))
+    spans = diagonals.groupBy("_key", "template", "label", "phrase", "size", "_span").agg(
+        begin.alias("first_word"), (end - begin).alias("n_words"), F.array_size(F.array_distinct(matched)).alias("_covered"))
+    spans = spans.withColumn("score", F.col("_covered") / F.greatest("size", "n_words"))
+    spans = spans.where(F.when(F.col("phrase"), F.col("score") >= 1).otherwise(F.col("score") >= shown))
+    listed = F.array_sort(F.collect_list(F.struct("first_word", "template", "label", "phrase", "n_words", "score")))
+    spans = spans.groupBy(F.col("_key").alias("_of")).agg(listed.alias("spans"))
+
+    counted = rows.mapInArrow(_counted, f"_id {kind}, _key string, n_words bigint")
+    found = counted.join(spans, F.col("_key") == F.col("_of"), "left")
+    none = F.array().cast(spans.schema["spans"].dataType)
+    return found.select(F.col("_id").alias(id_col), "n_words", F.coalesce("spans", none).alias("spans"))
 
 
 def license_digest(found: DataFrame, id_col: str = "doc_id", least: float = LEAST) -> DataFrame:

@@ -113,14 +113,15 @@ def test_license_spans(spark):
 
 
 def test_license_votes_are_verified(spark, monkeypatch):
-    """With hashes that know only the length of a run every place votes, and the words decide."""
-    docs = spark.createDataFrame([(1, "released under the mit license today")], "doc_id long, text string")
-    constant = licenses._verified([licenses.Template("mit", "under the mit licence", True)], 3, 0.5)
-    import pyarrow as pa
-
-    kind = pa.list_(pa.struct([("template", pa.int32()), ("diagonals", pa.list_(pa.int64()))]))
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([docs.first().text]), pa.array([[{"template": 0, "diagonals": [1]}]], kind)], names=["_id", "_text", "_spans"])
-    assert next(constant(iter([batch]))).to_pylist() == [{"_id": 1, "n_words": 6, "spans": []}]
+    """With one hash for all runs every place would vote, but the words decide."""
+    monkeypatch.setattr(licenses, "_places", lambda templates, gram: [(places[0][0], *p[1:]) for p in places])
+    places = [(licenses._hashed(np.frombuffer(b"under the mit", np.uint8), np.array([0, 13]), 3)[0].item(), w, 0, j) for j, w in enumerate(("under the mit", "the mit licence"))]
+    docs = spark.createDataFrame([(1, "released under THE mit license today")], "doc_id long, text string")
+    wrong = licenses.license_spans(docs, [licenses.Template("mit", "under the mit licence", True)]).first()
+    assert (wrong.n_words, wrong.spans) == (6, [])
+    half = licenses.license_spans(docs, [licenses.Template("mit", "under the mit licence")]).first()
+    assert [(s.first_word, s.n_words, s.score) for s in half.spans] == [(1, 3, 0.75)]
+    monkeypatch.undo()
     with pytest.raises(ValueError):
         licenses.license_spans(docs, [licenses.Template("x", "two words")])
 
