@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partylens.functions.numbers import rounded
+from partylens.operators.lloyd import Lloyd, fit_lloyd, on_grid
+from partylens.session import stable
 
 SEED = 1
 
@@ -21,23 +21,6 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, features: str = "fe
     return KMeans(k=k, seed=seed, featuresCol=features).fit(vectors)
 
 
-def fit_kmeans_each(
-    vectors: DataFrame, ks: list[int], seed: int = SEED, features: str = "features", parallel: int = 8
-) -> dict[int, KMeansModel]:
-    """A model per ``k``, several fits at a time over one cached copy. Give a written table.
-
-    There are no more clusters than different points (but 2 at least, the fewest that the fit takes).
-    """
-    points = vectors.select(features).persist()
-    try:
-        most = max(2, points.distinct().limit(max(ks, default=2)).count())
-        with ThreadPool(max(1, min(parallel, len(ks)))) as pool:
-            models = pool.map(lambda k: fit_kmeans(points, min(k, most), seed, features), ks)
-    finally:
-        points.unpersist()
-    return dict(zip(ks, models))
-
-
 def fit_validated(
     vectors: DataFrame, k: int = 4, seed: int = SEED, features: str = "features", train_ratio: float = 0.75
 ) -> TrainValidationSplitModel:
@@ -82,91 +65,100 @@ def spread(vectors: DataFrame, features: str = "features") -> float:
     return float(sum(row.s.variance) * max(row.s["count"] - 1, 0))
 
 
-def elbow(vectors: DataFrame, ks: range | list[int] = range(1, 16), seed: int = SEED,
-          features: str = "features", parallel: int = 8) -> DataFrame:
-    """Cost per number of clusters. Give a written table."""
-    ks = list(ks)
-    costs = {}
-    if 1 in ks:
-        costs[1] = spread(vectors, features)
-    models = fit_kmeans_each(vectors, [k for k in ks if k > 1], seed, features, parallel)
-    costs.update({k: float(model.summary.trainingCost) for k, model in models.items()})
-    return vectors.sparkSession.createDataFrame(sorted(costs.items()), "k int, cost double")
+def elbow(vectors: DataFrame, ks: range | list[int] = range(1, 16), features: str = "features") -> DataFrame:
+    """Cost per number of clusters, all in the same passes. Give a written table."""
+    points, scale, width = on_grid(vectors, features)
+    found = fit_lloyd(points, [k for k in ks if k > 1], scale, width)
+    return costs(vectors, found, ks, features)
 
 
-def explain_clusters(
-    assigned: DataFrame, numeric: list[str], category: str | None = None, cluster: str = "prediction"
-) -> DataFrame:
-    """Correlation of each cluster's 0/1 flag with each feature: ``(feature, cluster, r)``.
+def costs(vectors: DataFrame, found: Lloyd, ks: range | list[int], features: str = "features") -> DataFrame:
+    """``(k, cost)`` of a fit; a single cluster needs none."""
+    rows = [(k, spread(vectors, features) if k == 1 else found.cost(k)) for k in ks]
+    return vectors.sparkSession.createDataFrame(rows, "k int, cost double")
 
-    With a 0/1 flag of share p Pearson's r is (mean inside - mean) / deviation * sqrt(p / (1 - p)),
-    so grouped means are enough. Rows without a feature are left out of that feature's share and means. Each
-    value of ``category`` counts as a 0/1 feature; its r follows from the counts per cluster and value, without a
-    column per value. ``cluster`` may be a column of texts; a row without cluster has no flag set.
+
+def explain_each(
+    rows: DataFrame, numeric: list[str], category: str | None = None, clusters: str = "predictions", ks: list[int] | None = None
+) -> DataFrame:
+    """Correlation of each cluster's 0/1 flag with each feature, for several clusterings of the same rows: ``(k, feature, cluster, r)``.
+
+    ``clusters`` is an array with the row's cluster in each clustering, ``ks`` their names. All comes from one
+    aggregate over one scan: per clustering, cluster and value of ``category`` the rows and, per number, count, mean and
+    variance. Everything else is merged from these cells: clusters, values and the whole table. With a 0/1 flag of share p
+    Pearson's r is (mean inside - mean) / deviation * sqrt(p / (1 - p)). A row without a number is left out of that number's share
+    and means; each value of ``category`` counts as a 0/1 feature; a row without cluster or value has no flag set. What does
+    not vary has no r.
     """
-    groups = assigned.groupBy(_label(assigned, cluster)).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean")).alias(c) for c in numeric]
+    cells = (
+        rows.select(F.posexplode(clusters).alias("_at", "cluster"), *[F.col(c).alias(f"_x{i}") for i, c in enumerate(numeric)],
+                    (F.col(category) if category else F.lit(None).cast("string")).alias("_value"))
+        .groupBy("_at", "cluster", "_value")
+        .agg(F.count(F.lit(1)).alias("_rows"), *[
+            F.struct(F.count(f"_x{i}").alias("n"), F.avg(f"_x{i}").cast("double").alias("mean"), F.var_pop(f"_x{i}").cast("double").alias("var")).alias(f"_x{i}")
+            for i in range(len(numeric))])
     )
-    total = assigned.agg(
-        F.struct(
-            F.lit(0).alias("_"),
-            *[F.count(c).alias(f"n_{c}") for c in numeric],
-            *[F.avg(c).alias(f"mean_{c}") for c in numeric],
-            *[F.stddev_pop(c).alias(f"dev_{c}") for c in numeric],
-        ).alias("t")
-    ).scalar()
-    groups = groups.withColumn("_total", total)
-    total = F.col("_total")
-
-    def odds(c: str) -> Column:
-        return F.sqrt(F.try_divide(F.col(c)["n"], total[f"n_{c}"] - F.col(c)["n"]))
-
-    features = F.array(*[
-        F.struct(
-            F.lit(c).alias("feature"),
-            (F.try_divide(F.col(c)["mean"] - total[f"mean_{c}"], total[f"dev_{c}"]) * odds(c)).alias("r"),
-        )
-        for c in numeric
-    ])
-    parts = groups.select("cluster", F.inline(features)) if numeric else None
+    # Written, so that there is one scan and one aggregate; cells are as many as clusters times values.
+    cells = stable(cells, "cells")
+    listed = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(f"_x{i}")[m].alias(m) for m in ("n", "mean", "var")]) for i, c in enumerate(numeric)])
+    parts = []
+    if numeric:
+        parts.append(_number_r(cells.select("_at", "cluster", F.inline(listed))))
     if category:
-        flags = _category_flags(assigned, category, cluster)
-        parts = parts.unionByName(flags) if parts is not None else flags
-    return parts.where(F.col("cluster").isNotNull()).select("feature", "cluster", rounded(F.col("r")).alias("r"))
+        parts.append(_value_r(cells))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if ks is not None:
+        out = out.withColumn("k", F.element_at(F.array(*[F.lit(k) for k in ks]), F.col("_at") + 1))
+    named = out.where(F.col("cluster").isNotNull())
+    return named.select(*(["k"] if ks is not None else []), "feature", "cluster", rounded(F.col("r")).alias("r"))
+
+
+def _number_r(cells: DataFrame) -> DataFrame:
+    """Cells merged to clusters, clusters to the whole table: what lies between the parts is added to what lies within them."""
+    n, mean, var = F.col("n"), F.coalesce("mean", F.lit(0.0)), F.coalesce("var", F.lit(0.0))
+    inside = cells.groupBy("_at", "cluster", "feature").agg(
+        F.sum("n").alias("n"), F.try_divide(F.sum(n * mean), F.sum("n")).alias("mean"), F.sum(n * var).alias("_within"),
+        F.collect_list(F.struct(n.alias("n"), mean.alias("mean"))).alias("_cells"))
+    between = F.aggregate("_cells", F.lit(0.0), lambda s, c: s + c["n"] * (c["mean"] - F.col("mean")) * (c["mean"] - F.col("mean")))
+    inside = inside.select("_at", "cluster", "feature", "n", "mean", F.try_divide(F.col("_within") + F.coalesce(between, F.lit(0.0)), n).alias("var"))
+    table = Window.partitionBy("_at", "feature")
+    every = inside.withColumn("_n", F.sum("n").over(table)).withColumn("_mean", F.try_divide(F.sum(n * mean).over(table), F.col("_n")))
+    off = mean - F.col("_mean")
+    every = every.withColumn("_dev", F.sqrt(F.try_divide(F.sum(n * (var + off * off)).over(table), F.col("_n"))))
+    odds = F.sqrt(F.try_divide(n, F.col("_n") - n))
+    varies = F.col("_dev") > F.abs("_mean") * 1e-13  # less is rounding of the means
+    r = F.when(varies, (F.col("mean") - F.col("_mean")) / F.col("_dev")) * odds
+    return every.select("_at", "cluster", "feature", r.alias("r"))
+
+
+def _value_r(cells: DataFrame) -> DataFrame:
+    """r of two flags from the counts of both, of each and of all."""
+    both = cells.where(F.col("_value").isNotNull()).select("_at", "cluster", F.col("_value").alias("feature"), F.col("_rows").alias("both"))
+    by_value = both.groupBy("_at", "feature").agg(F.sum("both").alias("n_v"))
+    by_cluster = cells.groupBy("_at", "cluster").agg(F.sum("_rows").alias("n_c"))
+    # Clusters are few and fixed by k, so each value meets each cluster as a list entry.
+    clusters = by_cluster.groupBy("_at").agg(F.collect_list(F.struct("cluster", "n_c")).alias("_clusters"), F.sum("n_c").cast("double").alias("n"))
+    grid = by_value.join(F.broadcast(clusters), "_at").select("_at", "feature", "n_v", "n", F.inline("_clusters"))
+    n, n_c, n_v, met = F.col("n"), F.col("n_c"), F.col("n_v"), F.coalesce(F.col("both"), F.lit(0))
+    r = F.try_divide(n * met - n_c * n_v, F.sqrt(n_c * (n - n_c)) * F.sqrt(n_v * (n - n_v)))
+    return grid.join(both, ["_at", "cluster", "feature"], "left").select("_at", "cluster", "feature", r.alias("r"))
 
 
-def _label(assigned: DataFrame, cluster: str) -> Column:
+def explain_clusters(
+    assigned: DataFrame, numeric: list[str], category: str | None = None, cluster: str = "prediction"
+) -> DataFrame:
+    """``explain_each`` for one clustering: ``(feature, cluster, r)``. ``cluster`` may be a column of texts."""
     named = dict(assigned.dtypes)[cluster] == "string"
-    return (F.col(cluster) if named else F.col(cluster).cast("int")).alias("cluster")
-
-
-def _category_flags(assigned: DataFrame, category: str, cluster: str) -> DataFrame:
-    cells = (
-        assigned.where(F.col(category).isNotNull())
-        .groupBy(_label(assigned, cluster), F.col(category).alias("feature"))
-        .agg(F.count(F.lit(1)).alias("both"))
-    )
-    by_cluster = assigned.groupBy(_label(assigned, cluster)).agg(F.count(F.lit(1)).alias("n_c"))
-    by_value = cells.groupBy("feature").agg(F.sum("both").alias("n_v"))
-    rows = assigned.agg(F.count(F.lit(1))).scalar().cast("double")
-    # Clusters are few and fixed by k, so each value meets each cluster as a list entry.
-    clusters = by_cluster.agg(F.collect_list(F.struct("cluster", "n_c"))).scalar()
-    grid = by_value.select("feature", "n_v", F.inline(clusters))
-    n_c, n_v = F.col("n_c"), F.col("n_v")
-    both = F.coalesce(F.col("both"), F.lit(0))
-    n = F.col("_n")
-    r = F.try_divide(n * both - n_c * n_v, F.sqrt(n_c * (n - n_c)) * F.sqrt(n_v * (n - n_v)))
-    return grid.withColumn("_n", rows).join(cells, ["cluster", "feature"], "left").select("cluster", "feature", r.alias("r"))
+    label = F.col(cluster) if named else F.col(cluster).cast("int")
+    return explain_each(assigned.withColumn("_clusters", F.array(label)), numeric, category, "_clusters")
 
 
 def sweep(
-    vectors: DataFrame, ks: list[int], numeric: list[str], category: str | None = None,
-    seed: int = SEED, features: str = "features", parallel: int = 8
+    vectors: DataFrame, ks: list[int], numeric: list[str], category: str | None = None, features: str = "features"
 ) -> DataFrame:
     """Cluster explanation for several ``k``: ``(k, feature, cluster, r)``. Give a written table."""
-    out = None
-    for k, model in fit_kmeans_each(vectors, ks, seed, features, parallel).items():
-        explained = explain_clusters(model.transform(vectors), numeric, category)
-        explained = explained.select(F.lit(k).alias("k"), *explained.columns)
-        out = explained if out is None else out.unionByName(explained)
-    return out
+    points, scale, width = on_grid(vectors, features)
+    found = fit_lloyd(points, ks, scale, width)
+    return explain_each(found.assigned(points, ks), numeric, category, ks=ks)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.linalg import Vectors
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 from partylens.functions.dates import whole_days
 from partylens.functions.numbers import monthly_rate
 from partylens.functions.text import words
-from partylens.operators.clustering import elbow, explain_clusters, fit_kmeans_each, sweep
+from partylens.operators.clustering import costs, explain_clusters, explain_each, sweep
 from partylens.operators.columns import drop_duplicate_rows, top_rows
 from partylens.operators.encoders import complete, one_hot_vector, assembled, unit_columns
 from partylens.operators.joins import keys, left_with_defaults
+from partylens.operators.lloyd import Lloyd, fit_lloyd, on_grid
 from partylens.operators.quality import correlation_matrix
 from partylens.session import stable
 
@@ -125,71 +127,88 @@ class ProfileClusters:
     places: DataFrame | None
 
 
+@dataclass
+class _Fitted:
+    """Rows of a variant on the grid, and their centres for several k."""
+
+    rows: DataFrame
+    found: Lloyd
+
+    def explained(self, ks: list[int]) -> DataFrame:
+        category = "region" if "region" in self.rows.columns else None
+        return explain_each(self.found.assigned(self.rows, ks), ACTIVITY, category, ks=ks)
+
+
+def _fitted(profile: DataFrame, variant: str, regions: list[str] | None, weight: float, ks: list[int]) -> _Fitted:
+    vectors = stable(profile_vectors(profile_rows(profile, variant, regions), weight), "profile")
+    rows, scale, width = on_grid(vectors)
+    return _Fitted(rows, fit_lloyd(rows, sorted({k for k in ks if k > 1}), scale, width))
+
+
 def cluster_profile(
     profile: DataFrame, k: int = 3, variant: str = "all", regions: list[str] | None = None,
-    weight: float = 1.0, ks: range | list[int] = range(1, 16), seed: int = 1,
+    weight: float = 1.0, ks: range | list[int] = range(1, 16),
 ) -> ProfileClusters:
     """Scale, encode, try ``ks`` clusters, take ``k`` and explain them; correlate activity with activity and places."""
-    vectors = stable(profile_vectors(profile_rows(profile, variant, regions), weight), "profile")
-    assigned = fit_kmeans_each(vectors, [k], seed)[k].transform(vectors)
-    category = "region" if "region" in vectors.columns else None
+    return _clustered(_fitted(profile, variant, regions, weight, [*ks, k]), k, ks)
+
+
+def _clustered(fitted: _Fitted, k: int, ks: range | list[int]) -> ProfileClusters:
+    rows = fitted.rows
     return ProfileClusters(
-        elbow(vectors, ks, seed),
-        assigned,
-        explain_clusters(assigned, ACTIVITY, category),
-        correlation_matrix(assigned, ACTIVITY),
-        explain_clusters(vectors, ACTIVITY, cluster=category) if category else None,
+        costs(rows, fitted.found, ks),
+        fitted.found.assigned(rows, [k]).withColumn("prediction", F.element_at("predictions", 1)).drop("predictions", "_whole"),
+        fitted.explained([k]).drop("k"),
+        correlation_matrix(rows, ACTIVITY),
+        explain_clusters(rows, ACTIVITY, cluster="region") if "region" in rows.columns else None,
     )
 
 
-def sweep_profile(
-    profile: DataFrame, ks: list[int] = [7, 6, 5, 4, 3], regions: list[str] | None = None, seed: int = 1
-) -> DataFrame:
+def sweep_profile(profile: DataFrame, ks: list[int] = [7, 6, 5, 4, 3], regions: list[str] | None = None) -> DataFrame:
     """Cluster explanation without places for several numbers of clusters."""
     vectors = stable(profile_vectors(profile_rows(profile, "none", regions)), "profile")
-    return sweep(vectors, ks, ACTIVITY, seed=seed)
+    return sweep(vectors, ks, ACTIVITY)
 
 
 def profile_study(
-    profile: DataFrame, ks: range | list[int] = range(1, 16), sweep_ks: list[int] = [7, 6, 5, 4, 3],
-    weight: float = 0.05, seed: int = 1,
+    profile: DataFrame, ks: range | list[int] = range(1, 16), sweep_ks: list[int] = [7, 6, 5, 4, 3], weight: float = 0.05,
 ) -> DataFrame:
     """The whole study as rows ``(variant, measure, k, feature, item, value)``. Give a written table.
 
     ``all``: all places, 3 clusters. ``pair``: the two commonest regions with a weight, 5 clusters. ``none``: the same
     parties without place, swept. Measures: ``cost`` per k, ``cluster`` (r of cluster ``item`` and feature), ``correlation``
     of two activities, ``place`` (r of place ``item`` and feature), and ``parties`` with ``clustered`` and ``left out``.
+    The three fits do not depend on each other and run side by side, each with one pass per round for all k.
     """
     regions = common_regions(profile)
-    found = {
-        "all": cluster_profile(profile, 3, "all", None, 1.0, ks, seed),
-        "pair": cluster_profile(profile, 5, "pair", regions, weight, ks, seed),
-    }
-    bare = stable(profile_vectors(profile_rows(profile, "none", regions)), "profile")
+    variants = [("all", None, 1.0, [3]), ("pair", regions, weight, [5]), ("none", regions, 1.0, sweep_ks)]
+
+    def one(variant: str, where: list[str] | None, scale: float, wanted: list[int]) -> list[DataFrame]:
+        fitted = _fitted(profile, variant, where, scale, [*ks, *wanted])
+        bare = fitted.rows.select(*ACTIVITY, *(["region"] if "region" in fitted.rows.columns else []))
+        parts = [
+            rows(costs(fitted.rows, fitted.found, ks), variant, "cost", k="k", value="cost"),
+            rows(fitted.explained(wanted), variant, "cluster", k="k", feature="feature", item="cluster", value="r"),
+            rows(correlation_matrix(bare, ACTIVITY), variant, "correlation", feature="a", item="b", value="r"),
+        ]
+        if "region" in bare.columns:
+            parts.append(rows(explain_clusters(bare, ACTIVITY, cluster="region"), variant, "place", feature="feature", item="cluster", value="r"))
+        return parts
 
     def rows(df: DataFrame, variant: str, measure: str, **fields: str) -> DataFrame:
         kinds = {"k": "int", "feature": "string", "item": "string", "value": "double"}
         return df.select(F.lit(variant).alias("variant"), F.lit(measure).alias("measure"), *[
             F.expr(fields.get(name, "null")).cast(kind).alias(name) for name, kind in kinds.items()])
 
-    parts = []
-    for (variant, one), k in zip(found.items(), ("3", "5")):
-        parts.append(rows(one.elbow, variant, "cost", k="k", value="cost"))
-        parts.append(rows(one.explanation, variant, "cluster", k=k, feature="feature", item="cluster", value="r"))
-        parts.append(rows(one.correlations, variant, "correlation", feature="a", item="b", value="r"))
-        parts.append(rows(one.places, variant, "place", feature="feature", item="cluster", value="r"))
-    parts.append(rows(elbow(bare, ks, seed), "none", "cost", k="k", value="cost"))
-    swept = sweep(bare, sweep_ks, ACTIVITY, seed=seed)
-    parts.append(rows(swept, "none", "cluster", k="k", feature="feature", item="cluster", value="r"))
-    parts.append(rows(correlation_matrix(bare, ACTIVITY), "none", "correlation", feature="a", item="b", value="r"))
-    chosen = {"all": F.lit(True), "pair": F.col("region").isin(regions), "none": F.col("region").isin(regions)}
-    for variant, inside in chosen.items():
-        inside = complete(ACTIVITY) & F.coalesce(inside, F.lit(False))
-        counts = profile.agg(F.count_if(inside).alias("clustered"), F.count_if(~inside).alias("left"))
-        pair = F.array(F.struct(F.lit("clustered").alias("what"), F.col("clustered").alias("n")),
-                       F.struct(F.lit("left out").alias("what"), F.col("left").alias("n")))
-        parts.append(rows(counts.select(F.inline(pair)), variant, "parties", item="what", value="n"))
-    out = parts[0]
-    for part in parts[1:]:
+    with ThreadPool(len(variants)) as pool:
+        parts = [part for found in pool.starmap(one, variants) for part in found]
+    inside = {v: complete(ACTIVITY) & (F.coalesce(F.col("region").isin(regions), F.lit(False)) if where is not None else F.lit(True)) for v, where, _, _ in variants}
+    counts = profile.agg(*[f(kept).alias(f"{what}_{v}") for v, kept in inside.items() for what, f in (("in", F.count_if), ("out", lambda c: F.count_if(~c)))])
+    listed = F.array(*[
+        F.struct(F.lit(v).alias("variant"), F.lit("parties").alias("measure"), F.lit(None).cast("int").alias("k"), F.lit(None).cast("string").alias("feature"),
+                 F.lit(item).alias("item"), F.col(f"{what}_{v}").cast("double").alias("value"))
+        for v in inside for what, item in (("in", "clustered"), ("out", "left out"))])
+    out = counts.select(F.inline(listed))
+    for part in parts:
         out = out.unionByName(part)
     return out

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from partylens.operators import clustering
+from partylens.operators import clustering, lloyd
 from partylens.operators.encoders import assembled
 from partylens.plans import customers, profiles
 
@@ -127,3 +127,89 @@ def test_explanation_leaves_out_missing_values(spark):
     for c in (0, 1):
         want = df.where("x is not null").select(F.corr(F.when(F.col("prediction") == c, 1.0).otherwise(0.0), "x")).first()[0]
         assert got[c] == pytest.approx(round(want, 2), abs=0.011)
+
+
+def slow_lloyd(points, k, rounds=20):
+    """The rule of the grid fit in plain numpy, on whole numbers."""
+    def away(x, c):
+        return ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+
+    seeds = [min(points.tolist(), key=lambda p: (-sum(v * v for v in p), p))]
+    while len(seeds) < k:
+        least = away(points, np.array(seeds)).min(axis=1)
+        if least.max() == 0:
+            break
+        seeds.append(min(points[least == least.max()].tolist()))
+    centers = np.array(seeds)
+    for _ in range(rounds):
+        to = away(points, centers).argmin(axis=1)
+        centers = np.array([points[to == j].sum(axis=0) // (to == j).sum() if (to == j).any() else centers[j] for j in range(len(centers))])
+    least = away(points, centers)
+    return centers, sum(least.min(axis=1).tolist()), least.argmin(axis=1)
+
+
+@pytest.fixture(scope="module")
+def spots(spark):
+    rng = np.random.default_rng(5)
+    data = np.round(rng.integers(0, 4, (300, 1)) * 3.0 + rng.normal(size=(300, 3)), 2)
+    data[100:140] = data[100]
+    return spark.createDataFrame([(i, *p) for i, p in enumerate(data.tolist())], "party_id int, x double, y double, z double").cache()
+
+
+def test_lloyd_equals_brute_force_for_every_k(spots):
+    rows, scale, width = lloyd.on_grid(assembled(spots, ["x", "y", "z"]))
+    whole = np.array([r._whole for r in rows.orderBy("party_id").collect()])
+    assert scale == 2.0 ** 25 and (whole == np.floor(np.array([[r.x, r.y, r.z] for r in spots.orderBy("party_id").collect()]) * scale)).all()
+    ks = [1, 2, 3, 5, 8]
+    for parts, at_once in ((1, lloyd.AT_ONCE), (7, lloyd.AT_ONCE), (7, 0)):
+        found = lloyd.fit_lloyd(rows.repartition(parts), ks, scale, width, at_once=at_once)
+        for k in ks:
+            centers, cost, _ = slow_lloyd(whole, k)
+            assert (found.centers[k] == centers).all() and found.steps[k] == cost
+            assert found.cost(k) == cost / scale**2
+    given = [r.predictions for r in found.assigned(rows, [5, 2]).orderBy("party_id").collect()]
+    assert given == [list(p) for p in zip(slow_lloyd(whole, 5)[2].tolist(), slow_lloyd(whole, 2)[2].tolist())]
+
+
+def test_lloyd_stops_at_the_wanted_round(spots):
+    rows, scale, width = lloyd.on_grid(assembled(spots, ["x", "y", "z"]))
+    whole = np.array([r._whole for r in rows.collect()])
+    for rounds in (0, 1, 3):
+        found = lloyd.fit_lloyd(rows, [6], scale, width, rounds=rounds)
+        centers, cost, _ = slow_lloyd(whole, 6, rounds)
+        assert (found.centers[6] == centers).all() and found.steps[6] == cost
+
+
+def test_lloyd_with_few_points(spark):
+    rows = assembled(spark.createDataFrame([(1.0, 0.0), (1.0, 0.0), (-1.0, 0.5)], "x double, y double"), ["x", "y"])
+    points, scale, width = lloyd.on_grid(rows)
+    found = lloyd.fit_lloyd(points, [2, 4], scale, width)
+    assert [len(found.centers[k]) for k in (2, 4)] == [2, 2] and found.steps == {2: 0, 4: 0}
+    none, scale, width = lloyd.on_grid(rows.limit(0))
+    assert lloyd.fit_lloyd(none, [2], scale, width).cost(2) == 0
+    zeros, scale, width = lloyd.on_grid(assembled(spark.createDataFrame([(0.0,), (0.0,)], "x double"), ["x"]))
+    assert lloyd.fit_lloyd(zeros, [3], scale, width).centers[3].tolist() == [[0]]
+
+
+def test_explanations_of_several_clusterings_take_one_scan(spark, spots):
+    rows = spots.select(
+        "x", F.when(F.col("party_id") % 7 > 0, F.col("y")).alias("y"), F.lit(0.1).alias("same"), F.when(F.col("party_id") % 3 > 0, F.col("party_id") % 3).cast("string").alias("place"),
+        F.array(F.col("party_id") % 2, F.when(F.col("party_id") > 20, F.col("party_id") % 4)).alias("predictions"))
+    scans = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    seen = clustering.explain_each(rows.mapInArrow(counted, rows.schema), ["x", "y", "same"], "place", ks=[2, 4])
+    got = {(r.k, r.feature, r.cluster): r.r for r in seen.collect()}
+    assert scans.value == 300
+    frame = rows.toPandas()
+    assert len(got) == (2 + 4) * 5
+    for (k, feature, cluster), value in got.items():
+        flag = frame["predictions"].map(lambda p: float(p[0 if k == 2 else 1] == cluster))
+        other = frame[feature].astype(float) if feature in ("x", "y", "same") else (frame["place"] == feature).astype(float)
+        known = other.notna()
+        want = None if feature == "same" else np.corrcoef(flag[known], other[known])[0, 1]
+        assert value is None if want is None else value == pytest.approx(want, abs=0.0051), (k, feature, cluster)

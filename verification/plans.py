@@ -11,6 +11,7 @@ from partylens.operators.encoders import assembled
 from partylens.plans import customers, features, profiles, reports
 from partylens.session import stable
 from verification.fixtures import Business
+from verification.lloyd_sql import lloyd
 from verification.registry import query, r, tidy
 from verification.sql_views import ACTIVITY, CLEAN, COMBINED, INVOICES, PROFILE, TRANSFERS, UNIT, rates
 
@@ -188,10 +189,16 @@ def _(b: Business) -> DataFrame:
     return tidy(clustering.elbow(stable(rows), [1]))
 
 
-@query("m05_elbow_curve")
+_POINTS = "[" + ", ".join(profiles.ACTIVITY) + "]"
+_SINGLE = " + ".join(f"sum({c} * {c}) - count(*) * avg({c}) * avg({c})" for c in profiles.ACTIVITY)
+
+
+@query("m05_elbow_curve", f"""SELECT 1 AS k, round({_SINGLE}, 6) AS cost FROM unit
+UNION ALL SELECT k, round(cost, 6) FROM m_cost""", UNIT + f""",
+points AS (SELECT party_id AS id, {_POINTS} AS v FROM unit)""" + lloyd("m", "points", list(range(2, 16))))
 def _(b: Business) -> DataFrame:
-    rows = profiles.profile_vectors(profiles.profile_rows(login_profile(b), "none"))
-    return clustering.elbow(stable(rows))
+    profile = stable(login_profile(b), "profile")
+    return tidy(clustering.elbow(stable(profiles.profile_vectors(profiles.profile_rows(profile, "none")))))
 
 
 @query("m05_elbow_at_the_places", """SELECT CAST(count(DISTINCT county) AS INT) AS k, 0.0::DOUBLE AS cost FROM clean""", CLEAN)
@@ -200,12 +207,6 @@ def _(b: Business) -> DataFrame:
     return tidy(clustering.elbow(vectors, range(1, places + 1)).where(F.col("k") == places))
 
 
-@query("m06_sweep")
-def _(b: Business) -> DataFrame:
-    profile = stable(login_profile(b))
-    return profiles.sweep_profile(profile, regions=profiles.common_regions(profile))
-
-
 _STEPS = [[500.0], [1500.0], [2200.0]]
 _M7 = PROFILE + f""",
 assigned AS (SELECT *, {_nearest_sql(['duration'], _STEPS)} AS cluster FROM profile
@@ -272,9 +273,62 @@ def _(b: Business) -> DataFrame:
     return clustering.explain_clusters(rows, profiles.ACTIVITY, cluster="region")
 
 
-@query("q09_profile_clusters")
+def _flag_r(rows: str, near: str, ks: str, features: list[str], places: str | None = None) -> str:
+    """r of every cluster's flag with the activities and, where there are any, with the flags of the places."""
+    inside = "CAST(n.e = c.e AS DOUBLE)"
+    parts = [f"SELECT c.k, '{f}' AS feature, c.e AS cluster, {_r_sql(inside, f'CAST({f} AS DOUBLE)')} AS r "
+             f"FROM {near} n JOIN {rows} ON party_id = n.id JOIN (SELECT DISTINCT k, e FROM {near}) c ON c.k = n.k WHERE c.k IN ({ks}) GROUP BY c.k, c.e" for f in features]
+    if places:
+        parts.append(f"SELECT c.k, place, c.e, {_r_sql(inside, 'CAST(coalesce(region = place, false) AS DOUBLE)')} "
+                     f"FROM {near} n JOIN {rows} ON party_id = n.id JOIN (SELECT DISTINCT k, e FROM {near}) c ON c.k = n.k CROSS JOIN {places} "
+                     f"WHERE c.k IN ({ks}) GROUP BY c.k, c.e, place")
+    return " UNION ALL ".join(parts)
+
+
+_BARE = f""",
+bare AS (SELECT unit.* FROM unit JOIN top USING (region)),
+bare_points AS (SELECT party_id AS id, {_POINTS} AS v FROM bare)"""
+
+
+@query("m06_sweep", f"""SELECT k, feature, CAST(cluster AS INT) AS cluster, r FROM ({_flag_r('bare', 'm_near', '3, 4, 5, 6, 7', profiles.ACTIVITY)})""",
+       UNIT + _TOP + _BARE + lloyd("m", "bare_points", [7, 6, 5, 4, 3]))
+def _(b: Business) -> DataFrame:
+    profile = stable(login_profile(b))
+    return profiles.sweep_profile(profile, regions=profiles.common_regions(profile))
+
+
+def _study_sql() -> tuple[str, str]:
+    """All rows of the study, variant by variant, and the WITH entries before them."""
+    ks = list(range(2, 16))
+    parts, more = [], ""
+    for variant, rows, wanted, places, flags in (
+        ("all", "unit", "3", "all_places", "list_transform((SELECT list(place ORDER BY place) FROM all_places), lambda p: CASE WHEN region = p THEN 1.0 ELSE 0.0 END::DOUBLE)"),
+        ("pair", "bare", "5", "pair_places", "list_transform((SELECT list(place ORDER BY place) FROM pair_places), lambda p: CASE WHEN region = p THEN 0.05 ELSE 0.0 END::DOUBLE)"),
+        ("none", "bare", "3, 4, 5, 6, 7", None, "[]::DOUBLE[]"),
+    ):
+        # A row without a place has zeros.
+        more += f""",
+{variant}_points AS (SELECT party_id AS id, list_concat({_POINTS}, list_transform({flags}, lambda f: coalesce(f, 0.0))) AS v FROM {rows})"""
+        more += lloyd(variant, f"{variant}_points", ks)
+        squares = f"SELECT sum(q) FROM (SELECT sum(x * x) - count(*) * avg(x) * avg(x) AS q FROM (SELECT unnest(v) AS x, unnest(range(len(v))) AS i FROM {variant}_points) GROUP BY i)"
+        parts.append(f"SELECT '{variant}' AS variant, 'cost' AS measure, 1 AS k, NULL AS feature, NULL AS item, round(({squares}), 6) AS value")
+        parts.append(f"SELECT '{variant}', 'cost', k, NULL, NULL, round(cost, 6) FROM {variant}_cost")
+        parts.append(f"SELECT '{variant}', 'cluster', k, feature, cluster::VARCHAR, r FROM ({_flag_r(rows, f'{variant}_near', wanted, profiles.ACTIVITY, places)})")
+        for x in profiles.ACTIVITY:
+            for y in profiles.ACTIVITY:
+                parts.append(f"SELECT '{variant}', 'correlation', NULL, '{x}', '{y}', {_r_sql(f'CAST({x} AS DOUBLE)', f'CAST({y} AS DOUBLE)')} FROM {rows}")
+            if places:
+                parts.append(f"SELECT '{variant}', 'place', NULL, '{x}', place, {_r_sql('CAST(coalesce(region = place, false) AS DOUBLE)', f'CAST({x} AS DOUBLE)')} "
+                             f"FROM {rows} CROSS JOIN {places} GROUP BY place")
+        parts.append(f"SELECT '{variant}', 'parties', NULL, NULL, unnest(['clustered', 'left out']), unnest([count(*), (SELECT count(*) FROM profile) - count(*)])::DOUBLE FROM {rows}")
+    return " UNION ALL ".join(parts), more
+
+
+@query("q09_profile_clusters", _study_sql()[0], UNIT + _TOP + _BARE + """,
+all_places AS (SELECT DISTINCT region AS place FROM unit WHERE region IS NOT NULL),
+pair_places AS (SELECT DISTINCT region AS place FROM bare)""" + _study_sql()[1])
 def _(b: Business) -> DataFrame:
-    return profiles.profile_study(stable(login_profile(b), "profile"))
+    return tidy(profiles.profile_study(stable(login_profile(b), "profile")))
 
 
 def spread_out(rows: DataFrame) -> DataFrame:
