@@ -34,9 +34,12 @@ def keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def keys_in_all(key: str, *frames: DataFrame) -> DataFrame:
-    """Keys that occur in every table."""
-    return reduce(lambda found, df: found.join(keys(df, key), key, "left_semi"),
-                  frames[1:], keys(frames[0], key))
+    """Keys that occur in every table: one union with a bit per table and one aggregate, whatever the number of tables (63 at most)."""
+    if len(frames) > 63:
+        raise ValueError("63 tables at most")
+    marked = [df.where(F.col(key).isNotNull()).select(key, F.lit(1 << i).cast("bigint").alias("_bit")) for i, df in enumerate(frames)]
+    seen = reduce(DataFrame.unionByName, marked).groupBy(key).agg(F.bit_or("_bit").alias("_seen"))
+    return seen.where(F.col("_seen") == (1 << len(frames)) - 1).select(key)
 
 
 def restricted(df: DataFrame, key_table: DataFrame, key: str) -> DataFrame:

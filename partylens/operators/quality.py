@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partylens.functions.numbers import rounded
+from partylens.operators.gram import co_moments
 from partylens.operators.ranking import running_sums
 from partylens.session import stable
 
-# Column pairs of one aggregation; wider tables take several, by the same rule.
-PAIRS_AT_ONCE = 200
+SKETCH = 400  # size of a quantile sketch
 
 
 def _one_row_per_column(totals: DataFrame, columns: list[str], measures: list[str]) -> DataFrame:
@@ -55,6 +53,30 @@ def summary(df: DataFrame, *statistics: str) -> DataFrame:
     return df.summary(*statistics)
 
 
+def sketch_error(size: int = SKETCH) -> float:
+    """Bound of the rank error of a sketch: twice what 99 of 100 quantiles keep."""
+    return 2 * 2.296 / size**0.9021
+
+
+def sketched_summary(
+    df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = (0.25, 0.5, 0.75), size: int = SKETCH
+) -> DataFrame:
+    """Count, mean, deviation, extremes and quantiles of all columns in one pass, a row per column.
+
+    Quantiles ``p25 …`` come from mergeable sketches of a few kilobytes per column, whose ranks are off by ``sketch_error(size)``
+    at most; everything else is exact. A column without values has a count of 0 and gaps.
+    """
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    totals = df.agg(
+        *[f(x).alias(f"{m}_{c}") for m, f in measures.items() for c, x in numbers.items()],
+        *[F.kll_sketch_agg_double(F.when(~F.isnan(x), x), F.lit(size)).alias(f"sketch_{c}") for c, x in numbers.items()])
+    names = {f"p{round(100 * p)}": p for p in probabilities}
+    rows = _one_row_per_column(totals, columns, [*measures, "sketch"])
+    return rows.select("column_name", *measures, *[
+        F.when(F.col("count") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p))).alias(name) for name, p in names.items()])
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
@@ -106,28 +128,18 @@ def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], digits: int | None = 2) -> DataFrame:
-    """Pearson correlations of all column pairs as rows ``(a, b, r)``; a constant column gives null."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    parts = None
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        block = pairs[at:at + PAIRS_AT_ONCE]
-        totals = df.agg(*[
-            _correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(block)
-        ])
-        rows = F.array(*[
-            F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), _shown(F.col(f"r{i}"), digits).alias("r"))
-            for i, (a, b) in enumerate(block) for x, y in dict.fromkeys([(a, b), (b, a)])
-        ])
-        found = totals.select(F.inline(rows))
-        parts = found if parts is None else parts.unionByName(found)
-    return parts
-
-
-def _correlation(a: Column, b: Column) -> Column:
-    """Over the rows where both are known. ``corr`` fails on a constant column in ANSI mode."""
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    """Pearson correlations of all column pairs as rows ``(a, b, r)``, from one pass over the rows.
+
+    A pair counts the rows where both are known. What does not vary there, or is never known, has no r.
+    """
+    columns = list(dict.fromkeys(columns))
+    found = co_moments(df, columns)
+    r = F.when((F.col("m_a") > 0) & (F.col("m_b") > 0), F.col("c") / (F.sqrt("m_a") * F.sqrt("m_b")))
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = found.select(F.explode(F.array_distinct(both)).alias("_p"), r.alias("_r"))
+    # greatest and least would turn an unknown r into a bound.
+    bounded = F.when(F.col("_r").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "_r")))
+    return found.select("_p.*", _shown(bounded, digits).alias("r"))
 
 
 def _shown(r: Column, digits: int | None) -> Column:

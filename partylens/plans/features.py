@@ -31,13 +31,14 @@ def with_invoice_period(invoices: DataFrame) -> DataFrame:
 
 
 def _features(
-    rows: DataFrame, measures: dict[str, list[str]], lists: str, vector: str, spelled: bool
+    rows: DataFrame, measures: dict[str, list[str]], lists: str, vector: str, spelled: bool, distinct: dict[str, str] | None = None
 ) -> DataFrame:
     """Statistics per party plus its currencies as list and as count vector, in one pass.
 
     First per party and currency, which also splits parties with very many rows. That table
     is written, so the raw rows are read once for both the vocabulary and the features. Then
-    the few rows left of each party are merged.
+    the few rows left of each party are merged. ``distinct`` names a result and the column whose different known values
+    it counts, out of the same pass.
     """
     known = rows.where(F.col(KEY).isNotNull())
     partial: list[Column] = [F.count(F.lit(1)).alias("_rows")]
@@ -50,7 +51,9 @@ def _features(
             "min": F.min(f"_min_{column}"), "max": F.max(f"_max_{column}"),
         }
         merged += [build[name].alias(f"{name}_{column}") for name in names]
-    per_currency = stable(known.groupBy(KEY, CURRENCY).agg(*partial), "per-currency")
+    per_currency = known.groupBy(KEY, CURRENCY).agg(*partial) if distinct is None else _with_distinct(known, measures, partial, distinct)
+    per_currency = stable(per_currency, "per-currency")
+    merged += [F.sum(name).alias(name) for name in distinct or {}]
     terms = vocabulary(per_currency, CURRENCY, rows="_rows")
     placed = per_currency.join(terms, CURRENCY, "left")
     entry = F.struct(F.col(CURRENCY).alias("value"), "pos", F.col("_rows").alias("n"))
@@ -70,6 +73,27 @@ def _features(
     )
 
 
+def _with_distinct(known: DataFrame, measures: dict[str, list[str]], partial: list[Column], distinct: dict[str, str]) -> DataFrame:
+    """The cells per party and currency, and per party a cell without currency and rows that holds the distinct counts.
+
+    Every row counts for its cell and, without its numbers, for each value to be counted. Both kinds are gathered in one
+    aggregate, before the shuffle too, so a party with very many rows or values is spread by its values.
+    """
+    cell = F.struct(F.lit(None).cast("string").alias("_of"), F.lit(None).cast("string").alias("_value"), F.col(CURRENCY).alias(CURRENCY))
+    values = [
+        F.when(F.col(c).isNotNull(), F.struct(F.lit(name).alias("_of"), F.col(c).cast("string").alias("_value"), F.lit(None).cast(known.schema[CURRENCY].dataType).alias(CURRENCY)))
+        for name, c in distinct.items()
+    ]
+    numbers = [F.when(F.col("_as._of").isNull(), F.col(c)).alias(c) for c in measures]
+    doubled = known.withColumn("_as", F.explode(F.array_compact(F.array(cell, *values)))).select(KEY, "_as.*", *numbers)
+    first = doubled.groupBy(KEY, "_of", "_value", CURRENCY).agg(*partial)
+    again = [F.sum(F.when(F.col("_of").isNull(), F.col("_rows"))).alias("_rows")]
+    for column in measures:
+        again += [f(f"_{name}_{column}").alias(f"_{name}_{column}") for name, f in (("sum", F.sum), ("count", F.sum), ("min", F.min), ("max", F.max))]
+    counts = [F.count_if(F.col("_of") == name).alias(name) for name in distinct]
+    return first.groupBy(KEY, "_of", CURRENCY).agg(*again, *counts).drop("_of")
+
+
 def invoice_features(invoices: DataFrame, spelled: bool = False) -> DataFrame:
     """Amounts, count, invoice periods and currencies per party.
 
@@ -83,13 +107,7 @@ def invoice_features(invoices: DataFrame, spelled: bool = False) -> DataFrame:
 def transfer_features(transfers: DataFrame, spelled: bool = False) -> DataFrame:
     """Amounts, counts, distinct transfers and currencies per party."""
     measures = {"amount": ["sum", "avg", "min", "max"]}
-    features = _features(transfers, measures, "transfer_curr", "transfer_currency_vec", spelled)
-    distinct = (
-        transfers.where(F.col(KEY).isNotNull())
-        .groupBy(KEY)
-        .agg(F.count_distinct("transfer_id").alias("uniq_transfer_id_count"))
-    )
-    return features.join(distinct, KEY)
+    return _features(transfers, measures, "transfer_curr", "transfer_currency_vec", spelled, {"uniq_transfer_id_count": "transfer_id"})
 
 
 def wide_invoice_features(invoices: DataFrame, currencies: list[str] = CURRENCIES) -> DataFrame:

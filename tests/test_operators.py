@@ -1,11 +1,13 @@
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from partylens.operators import aggregates as agg
-from partylens.operators import columns, encoders, impute, joins, quality
+from partylens.operators import bitmaps, columns, encoders, gram, impute, joins, quality
+from partylens.plans import features
 
 
 @pytest.fixture(scope="module")
@@ -98,13 +100,100 @@ def test_correlation_of_constant_and_missing(spark):
         assert (r.r is None and expected != expected) or r.r == pytest.approx(expected), r
 
 
-def test_correlation_of_many_columns(spark, monkeypatch):
-    rng = random.Random(1)
-    data = [tuple(rng.gauss(0, 1) for _ in range(4)) for _ in range(50)]
-    df = spark.createDataFrame(data, "a double, b double, c double, d double")
-    usual = {(r.a, r.b): r.r for r in quality.correlation_matrix(df, df.columns).collect()}
-    monkeypatch.setattr(quality, "PAIRS_AT_ONCE", 2)
-    assert {(r.a, r.b): r.r for r in quality.correlation_matrix(df, df.columns).collect()} == usual
+def test_correlation_of_many_columns(spark):
+    """Columns with gaps, large means, constants and one without values, over blocks and tasks of any size, in one scan."""
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(400, 12)) + rng.normal(size=(400, 1))
+    data[:, 3] += 1e9
+    data[rng.random(data.shape) < 0.2] = np.nan
+    data[:, 4], data[:, 5] = 0.1, np.nan
+    names = [f"c{i}" for i in range(12)]
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for i, v in enumerate(row)) for row in data]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    want = pd.DataFrame(data, columns=names).corr(min_periods=2)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for parts, block, slots in ((1, 64, 64), (9, 5, 2), (400, 12, 1)):
+        before = seen.value
+        pairs = gram.co_moments(df.repartition(parts).mapInArrow(counted, df.schema), names, block, slots).collect()
+        assert seen.value - before == 400 and len(pairs) == 12 * 13 // 2
+        for p in pairs:
+            expected = want.loc[p.a, p.b]
+            assert p.n == int((~np.isnan(data[:, names.index(p.a)]) & ~np.isnan(data[:, names.index(p.b)])).sum())
+            if p.a in ("c4", "c5") or p.b in ("c4", "c5"):
+                assert p.m_a == 0 or p.m_b == 0
+            else:
+                assert p.c / (p.m_a * p.m_b) ** 0.5 == pytest.approx(expected, abs=1e-6), (p.a, p.b)
+    found = {(r.a, r.b): r.r for r in quality.correlation_matrix(df, names).collect()}
+    assert len(found) == 144 and found["c0", "c1"] == found["c1", "c0"] == round(want.loc["c0", "c1"], 2) and found["c4", "c4"] is None
+    empty = quality.correlation_matrix(df.limit(0), names[:3]).collect()
+    assert len(empty) == 9 and {r.r for r in empty} == {None}
+
+
+def test_sketched_summary(spark):
+    df = spark.range(20_000).select((F.col("id") % 997).cast("int").alias("x"), F.when(F.col("id") % 2 == 0, F.exp(F.col("id") / 5000)).alias("y"), F.lit(None).cast("double").alias("z"))
+    frame = df.toPandas()
+    for r in quality.sketched_summary(df.repartition(6), ["x", "y", "z"]).collect():
+        if r.column_name == "z":
+            assert (r["count"], r["mean"], r["min"], r["p50"]) == (0, None, None, None)
+            continue
+        values = frame[r.column_name].dropna()
+        assert (r["count"], r["min"], r["max"]) == (len(values), values.min(), values.max())
+        assert (r["mean"], r["std"]) == pytest.approx((values.mean(), values.std()))
+        for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+            assert (values < r[name]).mean() - quality.sketch_error() <= p <= (values <= r[name]).mean() + quality.sketch_error()
+
+
+def test_bitmaps_hold_what_a_key_has(spark):
+    rng = random.Random(4)
+    data = [(rng.choice([1, 2, 3, None]), rng.choice([None, *[f"v{i:03}" for i in range(200)]])) for _ in range(400)] + [(9, None), (1, "v000"), (1, "v000")]
+    df = spark.createDataFrame(data, "party_id int, v string").repartition(5)
+    terms = encoders.alphabetic_codes(df, "v", "pos")
+    values = [r.v for r in terms.orderBy("pos").collect()]
+    made = bitmaps.value_bitmaps(df, "party_id", "v", terms)
+    want = {k: {v for p, v in data if p == k and v} for k in (1, 2, 3, 9)}
+    rows = {r.party_id: r for r in made.select("party_id", "bits", bitmaps.bitmap_positions(F.col("bits")).alias("at"), bitmaps.bitmap_entries(F.col("bits")).alias("entries")).collect()}
+    assert set(rows) == set(want) and rows[9].bits == []
+    for key, r in rows.items():
+        assert r["at"] == sorted(values.index(v) for v in want[key]) and [(e.pos, e.n) for e in r.entries] == [(p, 1) for p in r["at"]]
+        assert [w.word for w in r.bits] == sorted({p // 64 for p in r["at"]})
+    wide = bitmaps.bitmap_columns(made, values, "has_")
+    assert len(wide.columns) == 1 + len(values)
+    for r in wide.collect():
+        assert [r[f"has_{v}"] for v in values] == [int(v in want[r.party_id]) for v in values]
+    assert bitmaps.value_bitmaps(df.limit(0), "party_id", "v").count() == 0
+
+
+def test_keys_in_all_takes_one_exchange(spark):
+    frames = [spark.createDataFrame([(k,) for k in ks], "party_id int") for ks in ([1, 2, 3, 3, None], [3, 2, 2, None], [2, 3, 7])]
+    found = joins.keys_in_all("party_id", *frames)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted(r[0] for r in found.collect()) == [2, 3]
+    with pytest.raises(ValueError):
+        joins.keys_in_all("party_id", *frames * 22)
+
+
+def test_distinct_counts_come_from_the_one_scan(spark):
+    rows = [(1, "a", 2.0, "EUR"), (1, "a", 3.0, "USD"), (1, None, None, "USD"), (1, "b", 1.0, None), (2, None, 4.0, "EUR"), (None, "c", 1.0, "EUR")]
+    df = spark.createDataFrame(rows, "party_id int, transfer_id string, amount double, currency string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    got = {r.party_id: r for r in features.transfer_features(df.mapInArrow(counted, df.schema)).collect()}
+    assert seen.value == len(rows) and set(got) == {1, 2}
+    one, two = got[1], got[2]
+    assert (one.uniq_transfer_id_count, one["count"], one.sum_amount, one.avg_amount, one.min_amount, one.max_amount, one.transfer_curr) == (2, 4, 6.0, 2.0, 1.0, 3.0, "EUR:1 USD:2")
+    assert (two.uniq_transfer_id_count, two["count"], two.sum_amount, two.transfer_curr) == (0, 1, 4.0, "EUR:1")
 
 
 def test_mode_ties_and_empty_groups(spark):

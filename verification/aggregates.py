@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from partylens.functions.dates import period_days, whole_days
 from partylens.operators import aggregates as agg
-from partylens.operators import clustering, encoders, impute, joins, quality
+from partylens.operators import bitmaps, clustering, encoders, impute, joins, quality
 from partylens.plans.features import clean_static, invoice_features, located, transfer_features
 from verification.fixtures import Business
 from verification.registry import query, r, tidy
@@ -85,11 +85,14 @@ def _(b: Business) -> DataFrame:
     ))
 
 
-@query("j08_join_flag_block", """SELECT party_id, CAST(county = 'ASIA' AS INT) AS "ASIA", CAST(county = 'EUROPE' AS INT) AS "EUROPE"
-FROM static_raw WHERE county IS NOT NULL""")
+_COUNTIES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+@query("j08_join_flag_block", "SELECT party_id, " + ", ".join(
+    f"CAST(coalesce(county = '{c}', false) AS INT) AS \"{c}\"" for c in _COUNTIES) + " FROM static_raw")
 def _(b: Business) -> DataFrame:
-    rows = b.static.dropna(subset=["county"])
-    return encoders.one_hot(rows, "county", ["ASIA", "EUROPE"]).select(PARTY, "ASIA", "EUROPE")
+    values = encoders.listed_values(b.static, "county")
+    return encoders.one_hot(b.static, "county", values).select(PARTY, *values)
 
 
 @query("j09_fill_by_group_lookup", "SELECT party_id, county, region FROM located", LOCATED)
@@ -187,11 +190,32 @@ def _(b: Business) -> DataFrame:
     return agg.most_common_by(b.static, "county", "region")
 
 
-@query("a16_ever_used_flags", """SELECT party_id, max(CAST(currency = 'AF' AS INT)) AS currency_af,
-max(CAST(currency = 'NO' AS INT)) AS currency_no, max(CAST(currency = 'RF' AS INT)) AS currency_rf
-FROM invoice_history GROUP BY party_id""")
+_USED = ["AF", "AO", "NF", "NO", "RF", "RO"]
+
+
+@query("a16_ever_used_flags", "SELECT party_id, " + ", ".join(
+    f"max(CAST(currency = '{v}' AS INT)) AS currency_{v.lower()}" for v in _USED) + " FROM invoice_history GROUP BY party_id")
+def _(b: Business) -> DataFrame:
+    values = encoders.listed_values(b.invoices, "currency")
+    return agg.flags_by_key(b.invoices, PARTY, "currency", values, "currency_")
+
+
+@query("a16_flags_from_bitmaps", "SELECT party_id, " + ", ".join(
+    f"max(CAST(currency = '{v}' AS INT)) AS currency_{v}" for v in _USED) + " FROM invoice_history GROUP BY party_id")
+def _(b: Business) -> DataFrame:
+    terms = encoders.alphabetic_codes(b.invoices, "currency", "pos")
+    values = [v for v, _ in sorted(terms.collect(), key=lambda t: t["pos"])]  # six currencies
+    return bitmaps.bitmap_columns(bitmaps.value_bitmaps(b.invoices, PARTY, "currency", terms), values, "currency_")
+
+
+@query("a16_bitmap_of_many_values", """SELECT party_id, string_agg(pos, ',' ORDER BY pos) AS positions, count(*) AS n FROM (
+SELECT DISTINCT party_id, pos FROM transfer_history JOIN (
+  SELECT transfer_id, row_number() OVER (ORDER BY count(*) DESC, transfer_id) - 1 AS pos FROM transfer_history GROUP BY 1) USING (transfer_id))
+GROUP BY 1""")
 def _(b: Business) -> DataFrame:
-    return agg.flags_by_key(b.invoices, PARTY, "currency", ["AF", "NO", "RF"], "currency_")
+    found = bitmaps.value_bitmaps(b.transfers, PARTY, "transfer_id")
+    at = bitmaps.bitmap_positions(F.col("bits"))
+    return found.select(PARTY, F.array_join(at.cast("array<string>"), ",").alias("positions"), F.size(at).cast("bigint").alias("n"))
 
 
 @query("a17_summary", " UNION ALL ".join(
@@ -207,19 +231,45 @@ def _(b: Business) -> DataFrame:
     return quality.summary(b.invoices)
 
 
-_DESCRIBED = {"sum_amount": "transfers", "uniq_transfer_id_count": "transfers", "sum_taxinclusiveamount": "invoices",
-              "max_inv_period": "invoices"}
+_SKETCHED = ["party_id", "taxexclusiveamount", "taxinclusiveamount", "inv_period"]
 
 
-@query("a18_exact_describe", " UNION ALL ".join(
+@query("a17_sketched_summary", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count({c}) AS "count", round(avg({c}), 5) AS mean, round(stddev_samp({c}), 5) AS std,
-round(min({c})::DOUBLE, 5) AS min, round(max({c})::DOUBLE, 5) AS max, round(quantile_cont({c}, 0.25), 5) AS p25,
-round(quantile_cont({c}, 0.5), 5) AS p50, round(quantile_cont({c}, 0.75), 5) AS p75
-FROM invoices JOIN transfers USING (party_id)""" for c in _DESCRIBED), INVOICES + TRANSFERS)
+round(min({c})::DOUBLE, 5) AS min, round(max({c})::DOUBLE, 5) AS max, true AS p25_within, true AS p50_within, true AS p75_within
+FROM invoice_history""" for c in _SKETCHED))
 def _(b: Business) -> DataFrame:
+    """The quartiles of the sketches by their exact ranks: none is off by more than the stated bound."""
+    rows = b.invoices.withColumn("inv_period", period_days(F.col("issuedate"), F.col("duedate"))).select(*_SKETCHED)
+    found = quality.sketched_summary(rows, _SKETCHED)
+    values = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in _SKETCHED])))
+    ranked = values.join(F.broadcast(found), "column_name").groupBy("column_name").agg(*[
+        f(F.col("x"), F.col(p)).alias(f"{name}_{p}") for p in ("p25", "p50", "p75")
+        for name, f in (("below", lambda x, q: F.count_if(x < q) / F.count("x")), ("upto", lambda x, q: F.count_if(x <= q) / F.count("x")))])
+    bound = quality.sketch_error()
+    within = [((F.col(f"below_{p}") - bound <= at) & (at <= F.col(f"upto_{p}") + bound)).alias(f"{p}_within") for p, at in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
+    return tidy(found.drop("p25", "p50", "p75").join(ranked.select("column_name", *within), "column_name"), 5)
+
+
+_DESCRIBED = [
+    "sum_taxinclusiveamount", "avg_taxinclusiveamount", "min_taxinclusiveamount", "max_taxinclusiveamount", "sum_taxexclusiveamount",
+    "avg_taxexclusiveamount", "min_taxexclusiveamount", "max_taxexclusiveamount", "min_inv_period", "max_inv_period", "avg_inv_period",
+    "sum_amount", "avg_amount", "min_amount", "max_amount", "uniq_transfer_id_count",
+]
+
+
+@query("a18_exact_describe", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({x}) AS "count", round(avg({x}), 5) AS mean, round(stddev_samp({x}), 5) AS std,
+round(min({x})::DOUBLE, 5) AS min, round(max({x})::DOUBLE, 5) AS max, round(quantile_cont({x}, 0.25), 5) AS p25,
+round(quantile_cont({x}, 0.5), 5) AS p50, round(quantile_cont({x}, 0.75), 5) AS p75
+FROM invoices JOIN transfers USING (party_id)""" for c, x in
+    [*[(c, c) for c in _DESCRIBED], ("count_x", "invoices.\"count\""), ("count_y", "transfers.\"count\"")]), INVOICES + TRANSFERS)
+def _(b: Business) -> DataFrame:
+    """Every numeric column of the joined feature tables but the key."""
     both = joins.inner_with_suffixes(
         tidy(invoice_features(b.invoices)), tidy(transfer_features(b.transfers)), PARTY)
-    return tidy(quality.describe_exact(both, list(_DESCRIBED)), 5)
+    numeric = [n for n, t in both.dtypes if t in ("double", "bigint", "int") and n != PARTY]
+    return tidy(quality.describe_exact(both, numeric), 5)
 
 
 @query("a19_cluster_sizes", "SELECT CAST(party_id % 4 AS INT) AS prediction, count(*) AS n FROM static_raw GROUP BY 1")
@@ -245,6 +295,24 @@ def _(b: Business) -> DataFrame:
     return quality.correlation_matrix(rows, _CORRELATED)
 
 
+# Sixty columns of different kinds, each with gaps in other rows.
+_WIDE = [
+    f"CASE WHEN party_id % {3 + i % 11} > 0 THEN " + (
+        f"taxexclusiveamount * (party_id % {i + 2})", f"CAST(party_id * {i + 3} % 101 AS DOUBLE)", f"taxinclusiveamount - {i}.5 * inv_period",
+        f"CAST(inv_period % {i + 5} AS DOUBLE)", f"1000000.0 + inv_period * {i}", f"CAST(inv_period AS DOUBLE) * inv_period + {i}",
+    )[i % 6] + " END" for i in range(60)
+]
+
+
+@query("a21_correlation_of_sixty_columns", f"""SELECT 'c' || i AS a, 'c' || j AS b, round(r, 2) + 0.0 AS r FROM (
+  SELECT unnest(range(3600)) // 60 AS i, unnest(range(3600)) % 60 AS j, unnest([{", ".join(f"r{min(i, j)}_{max(i, j)}" for i in range(60) for j in range(60))}]) AS r
+  FROM (SELECT {", ".join(f"corr(c{i}, c{j}) AS r{i}_{j}" for i in range(60) for j in range(i, 60))}
+    FROM (SELECT {", ".join(f"{x} AS c{i}" for i, x in enumerate(_WIDE))} FROM invoice_history)))""")
+def _(b: Business) -> DataFrame:
+    rows = b.invoices.withColumn("inv_period", period_days(F.col("issuedate"), F.col("duedate")))
+    return quality.correlation_matrix(rows.select(*[F.expr(x).alias(f"c{i}") for i, x in enumerate(_WIDE)]), [f"c{i}" for i in range(60)])
+
+
 # Encoders
 
 @query("e01_frequency_index", """SELECT party_id, package, dense_rank() OVER (ORDER BY n DESC, package) - 1 AS code

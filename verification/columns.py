@@ -156,9 +156,13 @@ def _(b: Business) -> DataFrame:
     return ops.top_rows(histogram(b.logins, "party_id"), 20, F.desc("n"), F.asc("party_id"))
 
 
-@query("o04_preview")
+@query("o04_preview", """SELECT party_id, epoch_us(issuedate) AS issuedate, epoch_us(duedate) AS duedate, currency, round(taxexclusiveamount, 6) AS taxexclusiveamount,
+round(taxinclusiveamount, 6) AS taxinclusiveamount FROM invoice_history ORDER BY ALL LIMIT 20""")
 def _(b: Business) -> DataFrame:
-    return b.invoices.select("party_id", "currency").limit(20)
+    """The first rows of the whole table, all columns."""
+    rows = tidy(b.invoices.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("issuedate", "duedate")}))
+    names = ["party_id", "issuedate", "duedate", "currency", "taxexclusiveamount", "taxinclusiveamount"]
+    return ops.top_rows(rows.select(*names), 20, *[F.asc(c) for c in names])
 
 
 @query("f01_parse_dates", """SELECT party_id, epoch_us(issuedate) AS issued, epoch_us(duedate) AS due FROM invoice_history""")

@@ -51,14 +51,16 @@ def _(b: Business) -> DataFrame:
     return tidy(files.read_csv(b.spark, path, kinds))
 
 
-@query("sc02_numbered_csv_scan", """SELECT index_ AS "index", party_id, county, region, size FROM static_raw""")
+@query("sc02_numbered_csv_scan", """SELECT index_ AS "index", party_id, epoch_us(created_on) AS created_on, epoch_us(last_login) AS last_login, county, region, size,
+package, lob_code::BIGINT AS lob_code FROM static_raw""")
 def _(b: Business) -> DataFrame:
     path = stage_path(b.spark, "static-csv")
     texts = {c: F.col(c).cast("string") for c in ("created_on", "last_login")}
     order = ["index", PARTY, "size", "county", "region", PARTY, "package", "lob_code", "last_login", "created_on"]
     header = ["Unnamed: 0", "PARTY_ID", "SIZE", "COUNTY", "REGION", "PARTY_ID", "PACKAGE", "LOB_CODE", "LAST_LOGIN", "CREATED_ON"]
     files.write_csv(b.static.withColumns(texts).select(*order).toDF(*header), path)
-    return files.read_csv(b.spark, path, schemas.RAW_STATIC).select("index", PARTY, "county", "region", "size")
+    rows = files.read_csv(b.spark, path, schemas.RAW_STATIC)
+    return rows.withColumns({**{c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("created_on", "last_login")}, "lob_code": F.col("lob_code").cast("bigint")})
 
 
 @query("sk02_csv_export", "SELECT party_id, curr, round(sum_taxinclusiveamount, 6) AS amount, \"count\" FROM invoices", INVOICES)
