@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from partylens.functions.vectors import vector_text
 from partylens.operators.encoders import assembled
 from partylens.schemas import FEATURE_COLUMNS
-from partylens.sources.keyed import upsert, write_table
+from partylens.sources.keyed import merge, upsert, write_table
 from partylens.streaming.messages import arrival, parsed, placed, reject_reason
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
@@ -84,6 +84,40 @@ def upsert_stream(stream: DataFrame, path: str, keys: tuple[str, ...], version:
     return per_batch(stream, store, checkpoint, trigger)
 
 
+def newest_stream(stream: DataFrame, keys: tuple[str, ...], version: str, event_time: str, delay: str, span: str) -> DataFrame:
+    """Streaming rows with the highest ``version`` per key and ``span`` of event time, kept in the state store.
+
+    In update mode a trigger gives the keys whose newest row changed; repeated and older messages change nothing and give
+    nothing. Messages later than ``delay`` behind the newest event time are dropped, and spans that old leave the state.
+    """
+    others = [c for c in stream.columns if c not in (*keys, version, event_time)]
+    # A watermark needs the event time itself, so the newest row carries a copy.
+    held = stream.withColumn("_at", F.col(event_time)).withWatermark(event_time, delay)
+    newest = held.groupBy(*keys, F.window(event_time, span).alias("_span")).agg(F.max(F.struct(version, "_at", *others)).alias("_newest"))
+    fields = {c: F.col("_newest")["_at" if c == event_time else c] for c in stream.columns if c not in keys}
+    return newest.select(*[F.col(c) if c in keys else fields[c].alias(c) for c in stream.columns])
+
+
+def keep_newest(
+    stream: DataFrame, path: str, keys: tuple[str, ...], version: str, event_time: str, checkpoint: str,
+    delay: str = "1 hour", span: str = "1 hour", merge_every: int = 100, buckets: int = 64, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep a keyed table in step with a stream by its state: a batch writes only keys with a newer row, and every
+    ``merge_every`` batches the table is merged, so that its files do not grow with the number of batches."""
+    spark = stream.sparkSession
+
+    def store(batch: DataFrame, number: int) -> None:
+        upsert(batch, path, keys, version, query_id(batch), number)
+        if number % merge_every == merge_every - 1:
+            merge(spark, path, keys, buckets)
+
+    newest = newest_stream(stream, keys, version, event_time, delay, span)
+    return (
+        newest.writeStream.outputMode("update").trigger(**(trigger or EVERY_FIVE_SECONDS))
+        .option("checkpointLocation", checkpoint).foreachBatch(store).start()
+    )
+
+
 def echo(messages: DataFrame, checkpoint: str, trigger: dict | None = None, path: str | None = None) -> StreamingQuery:
     """Show the raw messages on the console, or write them as text to ``path``.
 

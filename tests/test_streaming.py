@@ -125,3 +125,58 @@ def test_five_second_trigger(spark):
     finally:
         query.stop()
     assert keyed.read_table(spark, root, "predictions").count() == 8
+
+
+def test_newest_rows_by_state(spark, rows):
+    """Late, repeated and out-of-order messages and a restart; the table is merged after every second batch."""
+    root = stage_path(spark, "state")
+    kind = "party_id long, at timestamp, version long, x string"
+    parts = [
+        [(1, 100, 1, "a"), (2, 100, 1, "b"), (1, 150, 3, "c")],
+        [(1, 150, 3, "c"), (1, 120, 2, "z"), (3, 90, 1, "d"), (None, 90, 1, "n")],
+        [(2, 9000, 5, "e"), (4, 9000, 1, "f")],
+        [(2, 100, 9, "too late"), (4, 8900, 0, "older"), (5, 8950, 1, "g")],
+    ]
+    for n, part in enumerate(parts):
+        df = spark.createDataFrame([(k, v, x, at) for k, at, v, x in part], "party_id long, version long, x string, s long")
+        df.select("party_id", F.timestamp_seconds("s").alias("at"), "version", "x").coalesce(1).write.parquet(f"{root}/in/part={n}")
+        stream = spark.readStream.schema(kind).parquet(f"{root}/in/*")
+        scoring.keep_newest(stream, f"{root}/out", ("party_id",), "version", "at", f"{root}/cp", "10 minutes", "10 minutes", 2, 2, scoring.ALL_AVAILABLE).awaitTermination()
+    stored = keyed.read_keyed(spark, f"{root}/out", ("party_id",)).select("party_id", F.unix_seconds("at"), "version", "x")
+    assert rows(stored) == [(1, 150, 3, "c"), (2, 9000, 5, "e"), (3, 90, 1, "d"), (4, 9000, 1, "f"), (5, 8950, 1, "g")]
+    assert len(keyed._listed(spark, f"{root}/out/_merged/pointers/number=*")) >= 1
+
+
+CONTINUOUS = """
+import sys
+from partylens.session import build_session
+from partylens.streaming import scoring
+spark = build_session("continuous", "local[4]", spark__ui__enabled="false", spark__sql__shuffle__partitions="2")
+spark.sparkContext.setLogLevel("OFF")
+rows = spark.readStream.format("rate").option("rowsPerSecond", 20).option("numPartitions", 2).load()
+query = scoring.echo(rows.selectExpr("cast(value as string) as value"), sys.argv[1])
+query.awaitTermination(10)
+print("ACTIVE", query.isActive, query.exception(), flush=True)
+query.stop()
+query.awaitTermination(20)
+print("STOPPED", query.isActive, flush=True)
+"""
+
+
+def test_continuous_echo_ends_when_stopped(tmp_path):
+    """In a process of its own, which is ended if the query should not end."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.Popen([sys.executable, "-c", CONTINUOUS, str(tmp_path / "cp")], cwd=tmp_path, env={**os.environ, "PYTHONPATH": root}, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True, start_new_session=True)
+    try:
+        out, _ = run.communicate(timeout=150)
+    finally:
+        if run.poll() is None:
+            os.killpg(run.pid, 9)
+    assert "ACTIVE True None" in out and "STOPPED False" in out
+    assert out.count("Batch: ") >= 2
+    shown = [int(line.strip("| ")) for line in out.splitlines() if line.strip("| ").isdigit()]
+    assert len(shown) == len(set(shown)) > 0

@@ -126,3 +126,59 @@ def test_features_from_csv_text_dates(spark, path):
     spelled = invoice_features(raw, spelled=True).first()
     assert spelled["curr"] == ["EUR", "HUF"]
     assert set(row) == set(schemas.INVOICES.fieldNames())
+
+
+def test_merged_tables_read_the_same(spark, rows):
+    path = stage_path(spark, "merge")
+    keyed.upsert(frame(spark, (1, 1, 1.0), (2, 1, 2.0), (3, 1, 3.0)), path, KEY, AT, "w", 0)
+    keyed.upsert(frame(spark, (2, 3, -2.0), (4, 1, 4.0)), path, KEY, AT, "w", 1)
+    before = rows(keyed.read_keyed(spark, path, KEY))
+    keyed.merge(spark, path, KEY, 3)
+    assert rows(keyed.read_keyed(spark, path, KEY)) == before
+    keyed.merge(spark, path, KEY, 3)  # nothing new
+    assert len(keyed._listed(spark, f"{path}/_merged/pointers/number=*")) == 1
+    # Older, equal, newer and new rows since; a repeat of a merged batch is not read.
+    keyed.upsert(frame(spark, (1, 0, 9.0), (2, 3, -2.0), (3, 2, 33.0), (5, 1, 5.0)), path, KEY, AT, "w", 2)
+    keyed.upsert(frame(spark, (1, 7, 70.0)), path, KEY, AT, "w", 1)
+    want = [(1, 1, 1.0), (2, 3, -2.0), (3, 2, 33.0), (4, 1, 4.0), (5, 1, 5.0)]
+    assert rows(keyed.read_keyed(spark, path, KEY)) == want
+    keyed.merge(spark, path, KEY, 3)
+    assert rows(keyed.read_keyed(spark, path, KEY)) == want
+    keyed.clean(spark, path)
+    assert rows(keyed.read_keyed(spark, path, KEY)) == want
+    assert not keyed._listed(spark, f"{path}/writer=*/batch=*") and len(keyed._listed(spark, f"{path}/_merged/generations/*/*.parquet")) <= 3
+    keyed.upsert(frame(spark, (6, 1, 6.0)), path, KEY, AT)
+    assert rows(keyed.read_keyed(spark, path, KEY)) == [*want, (6, 1, 6.0)]
+
+
+def test_merge_that_dies_changes_nothing(spark, rows, monkeypatch):
+    path = stage_path(spark, "dies")
+    keyed.upsert(frame(spark, (1, 1, 1.0)), path, KEY, AT, "w", 0)
+    # A write without its end mark is not read and not merged.
+    frame(spark, (8, 1, 8.0)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/writer=w/batch=1")
+    system, where = keyed._files(spark, f"{path}/writer=w/batch=1/_SUCCESS")
+    system.delete(where, False)
+    monkeypatch.setattr(keyed, "_POINTER", "wrong")
+    with pytest.raises(Exception):
+        keyed.merge(spark, path, KEY, 2)
+    monkeypatch.undo()
+    assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 1, 1.0)]
+    keyed.merge(spark, path, KEY, 2)
+    assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 1, 1.0)]
+    with pytest.raises(FileNotFoundError):
+        keyed.read_keyed(spark, stage_path(spark, "nothing"), KEY)
+
+
+def test_joins_on_the_key_of_a_merged_table_do_not_shuffle_it(spark):
+    paths = [stage_path(spark, name) for name in ("left", "right")]
+    for path in paths:
+        keyed.upsert(frame(spark, *[(i, 1, float(i)) for i in range(50)]), path, KEY, AT, "w", 0)
+        keyed.merge(spark, path, KEY, 4)
+    left, right = (keyed.read_keyed(spark, path, KEY) for path in paths)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left.join(right.withColumnRenamed("x", "y"), list(KEY))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and joined.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -115,6 +115,26 @@ def _(b: Business) -> DataFrame:
     return keyed.read_keyed(b.spark, f"{path}/new", key)
 
 
+@query("sk01_merged_after_fifty_writes", """SELECT party_id, CASE WHEN party_id % 50 IN (7, 8) THEN 'late' ELSE county END AS county,
+CASE WHEN party_id % 50 = 7 THEN 200 WHEN party_id % 50 = 8 THEN 201 ELSE 50 + party_id % 50 END AS at, 8 AS files FROM static_raw""")
+def _(b: Business) -> DataFrame:
+    """Fifty small writes, merged twice, cleaned, and two writes since: one file per bucket and the writes since remain."""
+    path, key = stage_path(b.spark, "fifty"), (PARTY,)
+    rows = stable(b.static.select(PARTY, "county"))
+    for n in range(50):
+        part = rows.where(F.col(PARTY) % 50 == n).withColumn("at", F.lit(50 + n))
+        stale = rows.where(F.col(PARTY) % 50 == (n + 1) % 50).withColumn("at", F.lit(n))
+        keyed.upsert(part.unionByName(stale).coalesce(1), path, key, F.col("at"), "stream", n)
+        if n in (20, 49):
+            keyed.merge(b.spark, path, key, 8)
+    keyed.clean(b.spark, path)
+    files = len({f for f in keyed.read_keyed(b.spark, path, key).inputFiles()})
+    for n, at in ((7, 200), (8, 201)):
+        late = rows.where(F.col(PARTY) % 50 == n).select(PARTY, F.lit("late").alias("county"), F.lit(at).alias("at"))
+        keyed.upsert(late, path, key, F.col("at"), "other", n)
+    return keyed.read_keyed(b.spark, path, key).withColumns({"at": F.col("at").cast("bigint"), "files": F.lit(files)})
+
+
 @query("sk05_repeated_batch", "SELECT party_id, county FROM static_raw")
 def _(b: Business) -> DataFrame:
     path, key = stage_path(b.spark, "repeated"), (PARTY,)
@@ -230,6 +250,22 @@ def _(b: Business) -> DataFrame:
     return both.select(PARTY, (F.col("prediction") == F.col("batch")).alias("same_as_batch"))
 
 
+@query("s01_newest_row_by_state", """SELECT party_id, max(amount) AS amount, arg_max(transfer_id, index_) AS transfer_id, max(index_) AS "index"
+FROM (SELECT *, max(index_) OVER (PARTITION BY party_id) AS newest FROM transfer_history) WHERE index_ = newest GROUP BY 1""")
+def _(b: Business) -> DataFrame:
+    """The newest transfer of each party: sent in three parts, the last ones repeated and out of order, with a restart between."""
+    root = stage_path(b.spark, "newest")
+    rows = b.transfers.select(PARTY, "index", "transfer_id", "amount", F.timestamp_seconds(F.col("index")).alias("at"))
+    third = F.col("index") % 3
+    for n, part in enumerate((third == 1, third != 2, third != 1)):
+        rows.where(part).write.parquet(f"{root}/in/part={n}")
+        stream = b.spark.readStream.schema(rows.schema).parquet(f"{root}/in/*")
+        scoring.keep_newest(
+            stream, f"{root}/out", (PARTY,), "index", "at", f"{root}/checkpoint", "400 days", "1 day", 2, 4, scoring.ALL_AVAILABLE
+        ).awaitTermination()
+    return keyed.read_keyed(b.spark, f"{root}/out", (PARTY,)).select(PARTY, "amount", "transfer_id", "index")
+
+
 @query("s04_restarted_stream", "SELECT party_id, CAST(1 AS BIGINT) AS rows FROM combined", COMBINED)
 def _(b: Business) -> DataFrame:
     run = Scoring(b)
