@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from partylens.llm.jaccard import ENTRIES, HALF, _dealt
 from partylens.llm.suffixes import byte_common_prefix, byte_suffixes, previous_factors
 from partylens.llm.texts import blobs, mixed, pieces, prefix_sums, span_hashes
+from partylens.operators.ranking import ranked
 from partylens.session import stable
 
 LENGTH = 200
@@ -220,29 +221,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``removed`` lists the ends of the maximal byte runs (from, to, from, to, ...) covered by strings of
     ``length`` bytes that also start elsewhere; with ``keep_first`` only those that start earlier, in order of
-    id and place, so the first copy stays. Strings never cross texts; null texts are empty. Rows with equal
-    texts are copies of each other even where they repeat an id; rows that repeat an id with other texts get
-    each other's runs too, so ids should name one text. A row without id takes part under a hash of its
-    text. Other columns are not read. ``length`` must be more than ``GRAM``.
+    id and place, so the first copy stays; rows without id come last, and texts under one id stand by their SHA-256.
+    Every row goes by its own text, whether ids repeat, are null or not: different texts are numbered, and rows with equal
+    texts are copies of each other. Strings never cross texts; null texts are empty; an empty table gives an empty one.
+    Other columns are not read. ``length`` must be more than ``GRAM``.
     """
     if length <= GRAM:
         raise ValueError(f"length must be more than {GRAM}")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     known = stable(texts.mapInArrow(_described(length), "doc_id bigint, n_bytes bigint, sha string, found binary"), "described")
-    classes = stable(
-        known.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("node", F.coalesce("low", F.xxhash64("sha"))), "classes",
-    )
-    named = known.withColumn("own", F.coalesce("doc_id", F.xxhash64("sha")))
-    nodes = named.where(F.length("found") > 0).join(classes, ["sha", "n_bytes"]).where(F.col("own") == F.col("node")).dropDuplicates(["sha", "n_bytes"])
-    nodes = stable(nodes.select("node", "sha", "n_bytes", "copies", "found"), "nodes")
+    classes = known.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    # A node is a text: numbered in the order of ids, whatever the number of texts.
+    by_id = [F.col("low").asc_nulls_last(), F.col("sha").asc(), F.col("n_bytes").asc()]
+    classes = stable(ranked(stable(classes, "texts"), by_id, "node"), "classes")
+    nodes = known.where(F.length("found") > 0).join(classes, ["sha", "n_bytes"]).where(F.col("doc_id").eqNullSafe(F.col("low"))).dropDuplicates(["node"])
+    nodes = stable(nodes.select("node", "sha", "n_bytes", "low", "copies", "found"), "nodes")
     total, = nodes.agg(F.coalesce(F.sum(F.length("found") / 8), F.lit(0)).cast("bigint")).first()
     again = _dealt(nodes, "found", total, _again, "node bigint, hashes binary").groupBy("node").agg(F.collect_list("hashes").alias("hashes"))
-    asked = again.join(nodes.select("node", "sha", "n_bytes", "copies"), "node").withColumnRenamed("node", "key")
+    asked = again.join(nodes.select("node", "sha", "n_bytes", "low", "copies"), "node").withColumnRenamed("sha", "asked")
+    # By id and text, so that of many copies only the rows of the lowest id meet.
     carried = stable(
-        texts.join(asked, F.coalesce(F.col("doc_id"), F.xxhash64(F.sha2(F.encode("text", "UTF-8"), 256))) == F.col("key"))
-        .where(F.col("sha") == F.sha2(F.encode("text", "UTF-8"), 256)).dropDuplicates(["key", "sha"])
-        .select(F.col("key").alias("node"), "text", "sha", "n_bytes", "copies", "hashes"), "carried",
+        texts.join(asked, F.col("doc_id").eqNullSafe(F.col("low")) & (F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256) == F.col("asked")))
+        .dropDuplicates(["node"]).select("node", "text", F.col("asked").alias("sha"), "n_bytes", "copies", "hashes"), "carried",
     )
     segments = stable(
         carried.select("node", "text", "hashes").mapInArrow(_segments(length), "node bigint, start bigint, starts bigint, anchor bigint, sign bigint, sign2 bigint, content binary"), "segments",
@@ -265,10 +265,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copy = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     if keep_first:
         first = F.row_number().over(_by_text())
-        rows = named.select("doc_id", "own", "sha", "n_bytes").withColumn("nth", first)
+        rows = known.select("doc_id", "sha", "n_bytes").withColumn("nth", first)
         copy = copy & (F.col("nth") > 1)
     else:
-        rows = named.select("doc_id", "own", "sha", "n_bytes")
+        rows = known.select("doc_id", "sha", "n_bytes")
     everything = F.array(F.lit(0).cast("bigint"), F.col("n_bytes"))
     return rows.join(settled, ["sha", "n_bytes"]).select(
         "doc_id", "n_bytes",
@@ -280,4 +280,4 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _by_text():
     from pyspark.sql import Window
 
-    return Window.partitionBy("sha", "n_bytes").orderBy("own")
+    return Window.partitionBy("sha", "n_bytes").orderBy(F.col("doc_id").asc_nulls_last())

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -93,6 +94,33 @@ def test_exact_dedup(docs):
         assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_repeated_spans_go_by_row(spark, keep_first):
+    """Ids that repeat with other texts, null ids, and equal texts under several ids or none."""
+    rng = random.Random(6)
+    s, u, v, w = ("".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(4))
+    data = [(1, s + u), (1, v), (2, s + "xxx"), (None, w), (None, "y" + w), (None, s), (3, v), (None, v), (4, None), (4, ""), (1, v), (None, None), (5, u[:199]), (5, u[:200])]
+    order = sorted(range(len(data)), key=lambda x: (data[x][0] is None, data[x][0] or 0, hashlib.sha256((data[x][1] or "").encode()).hexdigest(), x))
+    # Equal texts are one text, at its lowest id.
+    seen = defaultdict(list)
+    for x in order:
+        raw = (data[x][1] or "").encode()
+        for p in range(len(raw) - 199):
+            seen[raw[p:p + 200]].append((x, p))
+    want = []
+    for x, (i, t) in enumerate(data):
+        raw, hit = (t or "").encode(), np.zeros(len(t or "") + 1, bool)
+        for p in range(len(raw) - 199):
+            where = seen[raw[p:p + 200]]
+            if (where[0] != (x, p)) if keep_first else len(where) > 1:
+                hit[p:p + 200] = True
+        ends = np.flatnonzero(np.diff(np.concatenate([[False], hit[:len(raw)], [False]]).astype(int))).tolist()
+        want.append((i, len(raw), ends, hashlib.sha256(bytes(np.frombuffer(raw, np.uint8)[~hit[:len(raw)]])).hexdigest()))
+    some = spark.createDataFrame(data, "doc_id long, text string").withColumn("node", F.lit(1)).repartition(3)
+    got = [(r[0], r[1], list(r[2]), r[3]) for r in repeats.repeated_spans(some, keep_first=keep_first).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_repeated_spans(docs, keep_first):
     plain = [(i, t) for i, t in rows() if i is not None and i not in (16, 17)]
