@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partylens.llm.jaccard import ENTRIES, HALF, _dealt
+from partylens.llm.jaccard import ENTRIES, FILTER, HALF, _dealt, _wanted_filter
 from partylens.llm.suffixes import byte_common_prefix, byte_suffixes, previous_factors
 from partylens.llm.texts import blobs, mixed, pieces, prefix_sums, span_hashes
 from partylens.operators.ranking import ranked
@@ -96,6 +96,19 @@ def _again(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(names, pa.int64()), "hashes": blobs(value, sizes)})
 
 
+def _let_through(shared):
+    """Rows whose place the filter of wanted places has."""
+
+    def let_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            place = batch.column(batch.schema.get_field_index("place")).to_numpy(zero_copy_only=False)
+            at = (mixed(place.view(np.uint64)) & np.uint64(FILTER - 1)).astype(np.int64)
+            yield batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+
+    return let_through
+
+
 def _segments(length: int):
     schema = pa.schema([("node", pa.int64()), ("start", pa.int64()), ("starts", pa.int64()), ("anchor", pa.int64()), ("sign", pa.int64()), ("sign2", pa.int64()), ("content", pa.binary())])
 
@@ -233,21 +246,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = known.groupBy("sha", "n_bytes").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
     # A node is a text: numbered in the order of ids, whatever the number of texts.
     by_id = [F.col("low").asc_nulls_last(), F.col("sha").asc(), F.col("n_bytes").asc()]
-    classes = stable(ranked(stable(classes, "texts"), by_id, "node"), "classes")
+    classes = stable(ranked(classes, by_id, "node"), "classes")
     nodes = known.where(F.length("found") > 0).join(classes, ["sha", "n_bytes"]).where(F.col("doc_id").eqNullSafe(F.col("low"))).dropDuplicates(["node"])
     nodes = stable(nodes.select("node", "sha", "n_bytes", "low", "copies", "found"), "nodes")
     total, = nodes.agg(F.coalesce(F.sum(F.length("found") / 8), F.lit(0)).cast("bigint")).first()
     again = _dealt(nodes, "found", total, _again, "node bigint, hashes binary").groupBy("node").agg(F.collect_list("hashes").alias("hashes"))
-    asked = again.join(nodes.select("node", "sha", "n_bytes", "low", "copies"), "node").withColumnRenamed("sha", "asked")
-    # By id and text, so that of many copies only the rows of the lowest id meet.
+    asked = stable(again, "again").join(nodes.select("node", "sha", "n_bytes", "low", "copies"), "node").withColumnRenamed("sha", "asked")
+    # By id and text, so that of many copies only the rows of the lowest id meet; other texts mostly stay where they are.
+    asked = asked.withColumn("key", F.xxhash64("low", "asked"))
+    shared = docs.sparkSession.sparkContext.broadcast(_wanted_filter(asked.select(F.col("key").alias("node"))))  # FILTER bits, whatever the input
+    signed = texts.withColumn("signed", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)).withColumn("place", F.xxhash64("doc_id", "signed"))
+    signed = signed.mapInArrow(_let_through(shared), signed.schema)
     carried = stable(
-        texts.join(asked, F.col("doc_id").eqNullSafe(F.col("low")) & (F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256) == F.col("asked")))
+        signed.join(asked, (F.col("place") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("low")) & (F.col("signed") == F.col("asked")))
         .dropDuplicates(["node"]).select("node", "text", F.col("asked").alias("sha"), "n_bytes", "copies", "hashes"), "carried",
     )
-    segments = stable(
-        carried.select("node", "text", "hashes").mapInArrow(_segments(length), "node bigint, start bigint, starts bigint, anchor bigint, sign bigint, sign2 bigint, content binary"), "segments",
-    )
-    distinct = segments.groupBy("anchor", "sign", "sign2").agg(
+    # Contents are cut a second time instead of written with every occurrence: only different ones are stored.
+    cut = carried.select("node", "text", "hashes").mapInArrow(_segments(length), "node bigint, start bigint, starts bigint, anchor bigint, sign bigint, sign2 bigint, content binary")
+    segments = stable(cut.drop("content"), "segments")
+    distinct = cut.groupBy("anchor", "sign", "sign2").agg(
         F.count(F.lit(1)).alias("seen"), F.min(F.struct("node", "start")).alias("first"), F.first("starts").alias("starts"), F.first("content").alias("content")
     ).select("anchor", "sign", "sign2", "seen", "first.node", "first.start", "starts", "content")
     distinct = stable(distinct, "distinct")
