@@ -60,7 +60,8 @@ def _read(spark: SparkSession, path: str, keys: tuple[str, ...], pointer: Row |
     recent = _writes(spark, path, folders)
     if pointer is None:
         if recent is None:
-            raise FileNotFoundError(f"no complete write in {path}")
+            # Spark's own error for a table without any complete write.
+            recent = spark.read.parquet(f"{path}/writer=*/batch=*/_SUCCESS")
         return newest_rows(recent, keys)
     base = _base(spark, pointer, keys)
     if recent is None:

@@ -165,7 +165,7 @@ def test_merge_that_dies_changes_nothing(spark, rows, monkeypatch):
     assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 1, 1.0)]
     keyed.merge(spark, path, KEY, 2)
     assert rows(keyed.read_keyed(spark, path, KEY)) == [(1, 1, 1.0)]
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException):
         keyed.read_keyed(spark, stage_path(spark, "nothing"), KEY)
 
 

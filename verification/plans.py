@@ -352,6 +352,13 @@ def _(b: Business) -> DataFrame:
         "skipped", F.lit(found.skipped).cast("long"))
 
 
+@query("q10_skipped_rows_with_gaps", """SELECT count(*) FILTER (party_id % 5 <> 0) AS points, count(*) FILTER (party_id % 5 = 0) AS skipped FROM combined""", COMBINED)
+def _(b: Business) -> DataFrame:
+    rows = combined(b).withColumn("lob_code", F.when(F.col(PARTY) % 5 != 0, F.col("lob_code")))
+    found = customers.train_clusters(rows)
+    return found.assigned.agg(F.count("prediction").alias("points")).withColumn("skipped", F.lit(found.skipped).cast("long"))
+
+
 @query("q15_size_report", "SELECT count(*) AS n FROM clean GROUP BY county ORDER BY n", CLEAN)
 def _(b: Business) -> DataFrame:
     vectors, places = far_places(b)
