@@ -1,18 +1,17 @@
 """Language-model scoring with Katz backoff over words.
 
-Tokens are words and one end per text. The history of a token is the word before it, or the start of the
-text. Three levels of counts are kept in tables in the shared folder: every (word before, word) pair of all
-texts; for each word of the core (the most frequent ``CORE``) its count after each class of histories (the
-most frequent words are classes of their own, all other words share one, the start of a text is one); and
-every word's own count. All are discounted by Good and Turing; what a level gives up goes to the level below
-with weights that make each history's probabilities sum to 1, one unknown word included.
-
-The two lower levels together are the distribution that a pair not seen backs off to. Words of the core get
-theirs where the text lies, from one table of ``CORE`` x ``HISTORIES`` numbers; every other word backs off to
-its own count, which comes from the table of all words by a shuffle. What the pairs change comes from the
-table of all pairs by another shuffle; pairs of a core word before are dealt by the pair, all others by the
-word before, and the most frequent pairs are known to every task, so that no bucket gets one hot key. The
-tables of words and pairs grow with the input and are held by no process.
+Tokens are words and one end per text; the history of a token is the word before it, or the start of the
+text. Every word and every (word before, word) pair of the training texts is counted and discounted by Good
+and Turing. What the pairs of a history give up goes to the words not seen after it, in proportion to their
+own discounted counts, with a weight that makes the probabilities after each history sum to 1, one unknown
+word included. A history not seen in training takes the words' own probabilities.
+
+All counts are tables that grow with the input. Words are rows. Pairs are dealt to buckets, as many as the
+tokens ask for, as packed arrays: by the word before, or by the pair where the word before is one of the
+``HOT`` most frequent. So no bucket gets a hot history; the sums of those histories are put together from all
+buckets. The hot words and the ``USUAL`` most frequent pairs are known to every task, which saves looking them
+up and changes no result. Every other token of a text is looked up in its bucket by one shuffle, in which no
+text takes part; the answers go back by piece of the input and are added up for each text there.
 """
 
 from __future__ import annotations
@@ -22,29 +21,33 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partylens.llm.jaccard import ENTRIES, _entries
-from partylens.llm.texts import LOWER, blobs, mixed, pieces, prefix_sums, span_hashes, words
+from partylens.llm.texts import LOWER, mixed, pieces, prefix_sums, span_hashes, words
 from partylens.session import stable
 
-CORE = 1 << 16  # words with counts after each history
-HISTORIES = 64  # start, other, and the most frequent words
-START, OTHER = 0, 1
+HOT = 1 << 18  # words known to every task; the others are looked up, with the same result
+USUAL = 1 << 18  # most frequent pairs that every task knows, likewise
 TRUSTED = 5  # counts above are not discounted
+RARE = np.uint64(1 << 63)  # marks the hash of a word; a hot word is its rank from 1
+BEGIN = np.uint64(0)  # the start of a text is a hot history
 END = np.uint64(0x9B1A_6F0E_57D3_C821)  # stands for the end of a text
-BEGIN = np.uint64(0x5D8E_31C4_A96B_2F17)  # stands for the start of a text
-MERGE = 4 << 20  # words that a task gathers before it merges them
-PAIRS = 2 << 20  # pairs that a task gathers before it merges them
-USUAL = 1 << 16  # most frequent pairs that every task knows; the others are looked up, with the same result
+GATHERED = 3 << 20  # tokens that a task gathers before it merges them
+ASKED = 1 << 20  # tokens that a task gathers before it looks them up
+BUCKET = 1 << 21  # training tokens in a bucket
+ASKED_NAMES = ["piece", "bucket", "befores", "words", "owners", "place", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
+ANSWERED_NAMES = ["piece", "owners", "known", "more_base", "sums", *ASKED_NAMES[5:]]
+GRAMS = "bucket int, befores binary, words binary, counts binary"
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of every token in order; the last one of each text is ``END``."""
     low = LOWER[data]
     starts, ends, per_text = words(low, offsets)
-    word = span_hashes(prefix_sums(low), starts, ends)
+    word = span_hashes(prefix_sums(low), starts, ends) | RARE
     after = np.cumsum(per_text)
     return np.insert(np.repeat(np.arange(len(per_text)), per_text), after, np.arange(len(per_text))), np.insert(word, after, END)
 
@@ -70,459 +73,441 @@ def discounted(counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
     return counts * np.where(counts < len(factor), factor[np.minimum(counts, len(factor) - 1)], 1.0)
 
 
-@dataclass
-class Model:
-    """What the tasks need, of fixed size, and the tables of all counts."""
+def pair_mass(count: np.ndarray, factor: np.ndarray, after: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of each pair from its count, the tokens after its history and their discounted sum, and what is left."""
+    left = 1 - kept / after
+    bare = left <= 1e-9  # nothing was discounted: one count is left for the rest
+    return discounted(count, factor) / np.where(bare, after + 1, after), np.where(bare, 1 / (after + 1), left)
 
-    total: int  # training tokens
-    distinct: int
-    core: np.ndarray  # hashes, sorted
-    core_count: np.ndarray
-    history: np.ndarray  # history of each core word
-    conditional: np.ndarray  # log10 P(core word | history)
-    back: np.ndarray  # log10 of the backoff weight of each history
-    factor: np.ndarray  # discounts of the words' own counts
-    unseen: float  # probability of the unknown word without a history
-    bits: int
-    words: DataFrame  # bucket, words, counts
-    pairs: DataFrame  # part, keys, counts
-    grams: DataFrame  # all pairs: bucket, befores, words, counts, owns (counts of the words outside the core)
-    pair_factor: np.ndarray  # discounts of the pairs' counts
-    core_back: np.ndarray  # log10 of what a pair not seen gets for each core word before, and last for the start
-    usual: np.ndarray  # keys of the most frequent pairs, sorted
-    usual_gain: np.ndarray
-    hot_sums: np.ndarray  # for each core word before and the start: tokens after it, and their discounted sum
 
+def pack(values: np.ndarray) -> bytes:
+    """An array as bytes of its compressed byte planes, behind its length."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
 
-def _counted_words(bits: int):
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            word, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-            return word, np.bincount(at, np.concatenate([c for _, c in held]), len(word)).astype(np.int64)
+def unpacked(column: pa.ChunkedArray | pa.Array, kind: type) -> list[np.ndarray]:
+    codec, width = pa.Codec("zstd"), np.dtype(kind).itemsize
+    cells = (codec.decompress(c[8:], int.from_bytes(c[:8], "little"), asbytes=True) for c in column.to_pylist())
+    return [np.ascontiguousarray(np.frombuffer(c, np.uint8).reshape(width, -1).T).reshape(-1).view(kind) for c in cells]
 
-        def out() -> pa.RecordBatch:
-            word, count = held[0]
-            used, sizes = np.unique(word >> np.uint64(63 - bits) >> np.uint64(1), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), blobs(word, sizes), blobs(count, sizes)], names=["bucket", "words", "counts"])
 
-        for _, data, offsets in pieces(batches, "text"):
-            word, count = np.unique(tokens(data, offsets)[1], return_counts=True)
-            held.append((word, count))
-            if sum(len(w) for w, _ in held) > MERGE:
-                held[:] = [merged()]
-                if len(held[0][0]) > MERGE // 2:
-                    yield out()
-                    held.clear()
-        if held:
-            held[:] = [merged()]
-            yield out()
+def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
-    return counted
 
+def runs(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Sorted buckets, each once, and per column one packed cell for each of them."""
+    used, first = np.unique(bucket, return_index=True)
+    ends = [*first[1:], len(bucket)][:len(first)]
+    return [pa.array(used.astype(np.int32)), *[pa.array([pack(c[i:j]) for i, j in zip(first, ends, strict=True)], pa.binary()) for c in columns]]
 
-def _summed_words(table: pa.Table) -> pa.Table:
-    word = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint64)
-    count = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int64)
-    word, at = np.unique(word, return_inverse=True)
-    count = np.bincount(at, count, len(word)).astype(np.int64)
-    return pa.table({"bucket": table.column("bucket").slice(0, 1), "words": blobs(word, np.array([len(word)])), "counts": blobs(count, np.array([len(count)]))})
 
+def placed(among: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Place of each value in a sorted array, or -1."""
+    if not len(among):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return np.where(among[at] == values, at, -1)
 
-def _count_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for counts in batch.column(0).to_pylist():
-            value, many = np.unique(np.frombuffer(counts, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(many)], names=["seen", "words"])
-
-
-def _above(least: int):
-    def above(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words_, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                word, count = np.frombuffer(words_, np.int64), np.frombuffer(counts, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(word[count >= least]), pa.array(count[count >= least])], names=["word", "seen"])
-
-    return above
-
-
-def _placed(core: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Number of each word in the core, or -1."""
-    if not len(core):
-        return np.full(len(word), -1)
-    at = np.minimum(np.searchsorted(core, word), len(core) - 1)
-    return np.where(core[at] == word, at, -1)
 
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(mixed(before) * np.uint64(0x9E3779B97F4A7C15) + word)
 
-def _histories(history: np.ndarray, place: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """History of each token from the places of the tokens before."""
-    before = np.full(len(place), START)
-    same = owner[1:] == owner[:-1]
-    last = np.where(place[:-1] >= 0, history[np.maximum(place[:-1], 0)] if len(history) else OTHER, OTHER)
-    before[1:] = np.where(same, last, START)
-    return before
 
+def leading(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(hashes) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
 
-def _counted_pairs(shared):
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        core, history = shared.value
-        cells, after = np.zeros(len(core) * HISTORIES, np.int32), np.zeros(HISTORIES, np.int64)
-        for _, data, offsets in pieces(batches, "text"):
-            owner, word = tokens(data, offsets)
-            place = _placed(core, word)
-            before = _histories(history, place, owner)
-            after += np.bincount(before, minlength=HISTORIES)
-            key, count = np.unique((place * HISTORIES + before)[place >= 0], return_counts=True)
-            cells[key] += count.astype(np.int32)
-        key = np.flatnonzero(cells)
-        part, sizes = np.unique(key >> 16, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1, *part], pa.int32()), pa.array([b"", *blobs((key & 0xFFFF).astype(np.uint16), sizes).to_pylist()], pa.binary()), pa.array([after.tobytes(), *blobs(cells[key], sizes).to_pylist()], pa.binary())],
-            names=["part", "keys", "counts"],
-        )
 
-    return counted
+def pair_buckets(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    """Bucket of each pair: by the word before, or by the pair for a hot one. Even numbers; those of words are odd."""
+    return 2 * leading(np.where(before < RARE, pair_keys(before, word), before), bits)
 
 
-def _summed_pairs(table: pa.Table) -> pa.Table:
-    """One part of 65,536 cells; part -1 is the tokens after each history."""
-    part = table.column("part")[0].as_py()
-    if part < 0:
-        total = sum(np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist())
-        return pa.table({"part": pa.array([part], pa.int32()), "keys": pa.array([b""], pa.binary()), "counts": pa.array([total.tobytes()], pa.binary())})
-    key = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint16)
-    cells = np.bincount(key, np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32), 1 << 16).astype(np.int64)
-    key = np.flatnonzero(cells)
-    return pa.table({"part": pa.array([part], pa.int32()), "keys": pa.array([key.astype(np.uint16).tobytes()], pa.binary()), "counts": pa.array([cells[key].tobytes()], pa.binary())})
+def word_buckets(word: np.ndarray, bits: int) -> np.ndarray:
+    return 2 * leading(word, bits) + 1
 
 
-def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
+@dataclass
+class Model:
+    """What every task knows, of bounded size, and the tables of all counts."""
 
+    total: int  # training tokens
+    distinct: int
+    factor: np.ndarray  # discounts of the words' counts
+    scale: float  # of all words' probabilities, where no word is rare
+    unseen: float  # probability of the unknown word without a history
+    bits: int
+    hot: np.ndarray  # hashes of the hot words, sorted
+    rank: np.ndarray  # of each of them, from 1
+    hot_count: np.ndarray  # by rank; the first stands for the start
+    words: DataFrame  # word, seen
+    grams: DataFrame | None = None  # all pairs: bucket, befores, words, counts, owns (counts of the words that are not hot)
+    pair_factor: np.ndarray | None = None
+    sums: np.ndarray | None = None  # by rank: tokens after a hot history, and their discounted sum
+    back: np.ndarray | None = None  # by rank: log10 of the backoff weight
+    usual: np.ndarray | None = None  # keys of the most frequent pairs, sorted
+    usual_gain: np.ndarray | None = None  # log10 of what they have more than their word alone
+
+    def shared(self) -> Model:
+        return replace(self, words=None, grams=None)
+
+    def coded(self, word: np.ndarray) -> np.ndarray:
+        at = placed(self.hot, word)
+        return np.where(at >= 0, self.rank[np.maximum(at, 0)] if len(self.hot) else np.uint64(0), word).astype(np.uint64)
+
+    def pairs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, word before, word) of every token."""
+        owner, word = tokens(data, offsets)
+        word = self.coded(word)
+        before = np.full(len(word), BEGIN)
+        same = owner[1:] == owner[:-1]
+        before[1:][same] = word[:-1][same]
+        return owner, before, word
+
+    def counts(self, word: np.ndarray, own: np.ndarray | int) -> np.ndarray:
+        """Counts of words, hot ones by their rank and all others from ``own``."""
+        return np.where(word < RARE, self.hot_count[np.where(word < RARE, word, np.uint64(0)).astype(np.int64)], own)
+
+    def single(self, count: np.ndarray) -> np.ndarray:
+        """log10 of the words' own probabilities."""
+        return np.log10(np.where(count > 0, discounted(count, self.factor) * self.scale / max(1, self.total), self.unseen))
+
+    def base(self, count: np.ndarray) -> np.ndarray:
+        return np.log10((count + 1) / (self.total + self.distinct + 1))
+
+
+def _counted_words(gathered: int):
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-def token_pairs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, word before, word) of every token."""
-    owner, word = tokens(data, offsets)
-    before = np.full(len(word), BEGIN)
-    same = owner[1:] == owner[:-1]
-    before[1:][same] = word[:-1][same]
-    return owner, before, word
+        def out() -> pa.RecordBatch:
+            word, count = held[0]
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)], names=["word", "seen"])
 
+        for _, data, offsets in pieces(batches, "text"):
+            held.append(np.unique(tokens(data, offsets)[1], return_counts=True))
+            if sum(len(w) for w, _ in held) > gathered:
+                held[:] = [_merged(held)]
+                if len(held[0][0]) > gathered // 2:
+                    yield out()
+                    held.clear()
+        if held:
+            held[:] = [_merged(held)]
+            yield out()
 
-def _buckets(bits: int, whole: np.ndarray, one: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Bucket by the hash ``one``, or by the pair's key where ``whole``."""
-    return (np.where(whole, key, one) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int32)
+    return counted
 
 
-def _lots(bucket: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
-    used, sizes = np.unique(bucket, return_counts=True)
-    return [pa.array(used.astype(np.int32)), *[blobs(c, sizes) for c in columns]]
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    word, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+    return word, np.bincount(at, np.concatenate([c for _, c in held]), len(word)).astype(np.int64)
 
 
-def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+def summed(before: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal pairs put together, sorted."""
+    order = np.lexsort((word, before))
+    before, word, count = before[order], word[order], count[order]
+    first = np.ones(len(word), bool)
+    first[1:] = (before[1:] != before[:-1]) | (word[1:] != word[:-1])
+    at = np.flatnonzero(first)
+    return before[at], word[at], np.add.reduceat(count, at) if len(at) else count
 
 
-def _counted_grams(shared, bits: int):
-    """All pairs of a task with their counts, dealt by the word, or by the pair for words of the core."""
+def _counted_grams(shared, gathered: int):
+    """All pairs of a task with their counts; those of words that are not hot are dealt by the word."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        core, _ = shared.value
+        m = shared.value
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            before, word, count = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, at = np.unique(pair_keys(before, word), return_index=True, return_inverse=True)
-            return before[first], word[first], np.bincount(at, count, len(first)).astype(np.int64)
-
         def out() -> pa.RecordBatch:
             before, word, count = held[0]
-            bucket = _buckets(bits, _placed(core, word) >= 0, word, pair_keys(before, word))
-            order = np.lexsort((before, bucket))
-            return pa.RecordBatch.from_arrays(_lots(bucket[order], before[order], word[order], count[order]), names=["bucket", "befores", "words", "counts"])
+            bucket = np.where(word < RARE, pair_buckets(before, word, m.bits), word_buckets(word, m.bits))
+            order = np.argsort(bucket, kind="stable")
+            return pa.RecordBatch.from_arrays(runs(bucket[order], before[order], word[order], count[order]), names=["bucket", "befores", "words", "counts"])
 
         for _, data, offsets in pieces(batches, "text"):
-            _, before, word = token_pairs(data, offsets)
+            _, before, word = m.pairs(data, offsets)
             held.append((before, word, np.ones(len(word), np.int64)))
-            if sum(len(h[0]) for h in held) > PAIRS:
-                held[:] = [merged()]
-                if len(held[0][0]) > PAIRS // 2:
+            if sum(len(h[0]) for h in held) > gathered:
+                held[:] = [summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                if len(held[0][0]) > gathered // 2:
                     yield out()
                     held.clear()
         if held:
-            held[:] = [merged()]
+            held[:] = [summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
             yield out()
 
     return counted
 
 
-def _summed_grams(shared, bits: int):
-    """Pairs of a bucket summed, with their words' own counts where those are outside the core, dealt anew."""
+def _summed_grams(bits: int):
+    """Pairs of a bucket summed. Pairs dealt by their word get the word's own count and go to their history's bucket."""
 
-    def summed(grams: pa.Table, table: pa.Table) -> pa.Table:
-        core, _ = shared.value
-        before, word, count = _joined(grams, "befores", np.uint64), _joined(grams, "words", np.uint64), _joined(grams, "counts", np.int64)
-        _, first, at = np.unique(pair_keys(before, word), return_index=True, return_inverse=True)
-        before, word, count = before[first], word[first], np.bincount(at, count, len(first)).astype(np.int64)
-        known, counts = _joined(table, "words", np.uint64), _joined(table, "counts", np.int64)
-        order = np.argsort(known)
-        place = _placed(known[order], word)
-        own = np.where((place >= 0) & (_placed(core, word) < 0), counts[order][np.maximum(place, 0)] if len(counts) else 0, 0)
-        bucket = _buckets(bits, (_placed(core, before) >= 0) | (before == BEGIN), before, pair_keys(before, word))
-        order = np.lexsort((before, bucket))
-        return pa.table(_lots(bucket[order], before[order], word[order], count[order], own[order]), names=["bucket", "befores", "words", "counts", "owns"])
+    def of_bucket(table: pa.Table) -> pa.Table:
+        before, word, count = summed(*(joined(unpacked(table.column(c), k), k) for c, k in (("befores", np.uint64), ("words", np.uint64), ("counts", np.int64))))
+        own = np.zeros(len(word), np.int64)
+        rare = word >= RARE
+        _, at = np.unique(word[rare], return_inverse=True)
+        own[rare] = np.bincount(at, count[rare]).astype(np.int64)[at]
+        bucket = pair_buckets(before, word, bits)
+        order = np.argsort(bucket, kind="stable")
+        return pa.table(runs(bucket[order], before[order], word[order], count[order], own[order]), names=["bucket", "befores", "words", "counts", "owns"])
 
-    return summed
+    return of_bucket
 
 
-def lower(m: Model, before: np.ndarray, word: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """log10 of the probabilities that pairs back off to; ``own`` has the counts of words outside the core."""
-    at, place = _placed(m.core, before), _placed(m.core, word)
-    of = np.where(before == BEGIN, START, np.where(at >= 0, m.history[np.maximum(at, 0)] if len(m.core) else OTHER, OTHER))
-    single = np.where(own > 0, discounted(own, m.factor) / max(1, m.total), m.unseen)
-    return np.where(place >= 0, m.conditional[np.maximum(place, 0), of] if len(m.core) else 0.0, m.back[of] + np.log10(single))
+def _grams(table: pa.Table) -> list[np.ndarray]:
+    return [joined(unpacked(table.column(c), k), k) for c, k in (("befores", np.uint64), ("words", np.uint64), ("counts", np.int64), ("owns", np.int64))]
 
 
-def pair_mass(count: np.ndarray, factor: np.ndarray, after: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of each pair from its count, the tokens after its history and their discounted sum, and what is left."""
-    left = 1 - kept / after
-    bare = left <= 1e-9  # nothing was discounted: one count is left for the rest
-    return discounted(count, factor) / np.where(bare, after + 1, after), np.where(bare, 1 / (after + 1), left)
+def _lots(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """The cells some at a time, so that a task does not hold many buckets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 16):
+            yield pa.Table.from_batches([batch.slice(at, 16)]).select(columns)
 
 
-def _hot_sums(m: Model):
-    """For each core word before and the start: tokens after it, their discounted sum, and the lower level's mass of its pairs."""
+def _count_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for lot in _lots(batches, ["counts"]):
+        value, many = np.unique(joined(unpacked(lot.column("counts"), np.int64), np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(many)], names=["seen", "many"])
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = m.value
-        sums = np.zeros((3, len(model.core) + 1))
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            before, word, count, own = _joined(table, "befores", np.uint64), _joined(table, "words", np.uint64), _joined(table, "counts", np.int64), _joined(table, "owns", np.int64)
-            place = np.where(before == BEGIN, len(model.core), _placed(model.core, before))
-            hot = place >= 0
-            for i, x in enumerate((count, discounted(count, model.pair_factor), 10.0 ** lower(model, before, word, own))):
-                sums[i] += np.bincount(place[hot], x[hot], sums.shape[1])
+
+def _hot_sums(shared):
+    """For each hot history: tokens after it, their discounted sum, and the words' own probabilities of its pairs."""
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        sums = np.zeros((3, len(m.hot_count)))
+        for lot in _lots(batches, ["befores", "words", "counts", "owns"]):
+            before, word, count, own = _grams(lot)
+            hot = before < RARE
+            at = before[hot].astype(np.int64)
+            for i, x in enumerate((count, discounted(count, m.pair_factor), 10.0 ** m.single(m.counts(word, own)))):
+                sums[i] += np.bincount(at, x[hot], sums.shape[1])
         at = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(x[at]) for x in sums]], names=["place", "after", "kept", "below"])
 
-    return summed
+    return of_task
 
 
 def _usual(least: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            count = _joined(table, "counts", np.int64)
-            often = count >= least
-            columns = (_joined(table, "befores", np.int64), _joined(table, "words", np.int64), count, _joined(table, "owns", np.int64))
+        for lot in _lots(batches, ["befores", "words", "counts", "owns"]):
+            before, word, count, own = _grams(lot)
+            often = (count >= least) & (before < RARE)
+            columns = (before.view(np.int64), word.view(np.int64), count, own)
             yield pa.RecordBatch.from_arrays([pa.array(c[often]) for c in columns], names=["before", "word", "seen", "own"])
 
     return found
 
 
-def _most(sizes: DataFrame, field: str, bound: int) -> int:
+def _most(sizes: DataFrame, bound: int) -> int:
     """Least count of the most frequent, ``bound`` at most, ties together."""
     taken, least = 0, 1 << 62
     for r in sizes.orderBy(F.desc("seen")).limit(bound + 1).collect():
-        if taken + r[field] > bound:
+        if taken + r["many"] > bound:
             break
-        taken, least = taken + r[field], r["seen"]
+        taken, least = taken + r["many"], r["seen"]
     return least
 
 
-def _with_grams(texts: DataFrame, model: Model, shared) -> Model:
-    """Count all pairs, and get the weights of the histories that one bucket does not hold as a whole."""
-    spark = texts.sparkSession
-    fields = "bucket int, befores binary, words binary, counts binary"
-    counted = texts.mapInArrow(_counted_grams(shared, model.bits), fields)
-    grams = stable(counted.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(_summed_grams(shared, model.bits), f"{fields}, owns binary"), "grams")
-    sizes = stable(grams.select("counts").mapInArrow(_count_sizes, "seen bigint, words bigint").groupBy("seen").agg(F.sum("words").alias("words")), "counts")
-    factor = discounts({r["seen"]: r["words"] for r in sizes.where(F.col("seen") <= TRUSTED + 1).collect()})
-    hot = len(model.core) + 1
-    model = replace(model, pair_factor=factor, core_back=np.zeros(hot))
-    plain = spark.sparkContext.broadcast(replace(model, words=None, pairs=None))
-    sums = np.zeros((3, hot))
-    for r in grams.mapInArrow(_hot_sums(plain), "place bigint, after double, kept double, below double").groupBy("place").agg(*[F.sum(c).alias(c) for c in ("after", "kept", "below")]).collect():
-        sums[:, r["place"]] = r["after"], r["kept"], r["below"]
-    seen = sums[0] > 0
-    _, left = pair_mass(np.zeros(hot, np.int64), factor, np.maximum(sums[0], 1), sums[1])
-    back = np.where(seen, np.log10(left / np.maximum(1 - sums[2], 1e-12)), 0.0)
-    rows = grams.mapInArrow(_usual(_most(sizes, "words", USUAL)), "before bigint, word bigint, seen bigint, own bigint").collect()  # at most ``USUAL``
-    before, word = (np.array([r[c] for r in rows], np.int64).view(np.uint64) for c in ("before", "word"))
-    count, own = (np.array([r[c] for r in rows], np.int64) for c in ("seen", "own"))
-    place = np.where(before == BEGIN, hot - 1, _placed(model.core, before))
-    known = place >= 0
-    before, word, count, own, place = before[known], word[known], count[known], own[known], place[known]
-    mass, _ = pair_mass(count, factor, sums[0][place], sums[1][place])
-    key = pair_keys(before, word)
+def _small(sizes: DataFrame) -> dict[int, int]:
+    return {r["seen"]: r["many"] for r in sizes.where(F.col("seen") <= TRUSTED + 1).collect()}
+
+
+def _with_grams(texts: DataFrame, model: Model) -> Model:
+    """Count all pairs, and put together what the hot histories and the most frequent pairs need."""
+    broadcast = texts.sparkSession.sparkContext.broadcast
+    counted = texts.mapInArrow(_counted_grams(broadcast(model.shared()), GATHERED), GRAMS)
+    grams = stable(counted.groupBy("bucket").applyInArrow(_summed_grams(model.bits), f"{GRAMS}, owns binary"), "grams")
+    sizes = stable(grams.mapInArrow(_count_sizes, "seen bigint, many bigint").groupBy("seen").agg(F.sum("many").alias("many")), "counts")
+    model = replace(model, grams=grams, pair_factor=discounts(_small(sizes)))
+    found = grams.mapInArrow(_hot_sums(broadcast(model.shared())), "place bigint, after double, kept double, below double")
+    found = found.groupBy("place").agg(*[F.sum(c).alias(c) for c in ("after", "kept", "below")]).toArrow()  # at most ``HOT`` + 1
+    sums = np.zeros((3, len(model.hot_count)))
+    sums[:, found.column("place").to_numpy()] = [found.column(c).to_numpy() for c in ("after", "kept", "below")]
+    _, left = pair_mass(np.zeros(sums.shape[1], np.int64), model.pair_factor, np.maximum(sums[0], 1), sums[1])
+    back = np.where(sums[0] > 0, np.log10(left / np.maximum(1 - sums[2], 1e-12)), 0.0)
+    most = grams.mapInArrow(_usual(_most(sizes, USUAL)), "before bigint, word bigint, seen bigint, own bigint").toArrow()  # at most ``USUAL``
+    before, word, count, own = (most.column(c).to_numpy() for c in ("before", "word", "seen", "own"))
+    word = word.view(np.uint64)
+    mass, _ = pair_mass(count, model.pair_factor, sums[0][before], sums[1][before])
+    key = pair_keys(before.view(np.uint64), word)
     order = np.argsort(key)
-    gain = np.log10(mass) - lower(model, before, word, own)
-    return replace(model, grams=grams, core_back=back, usual=key[order], usual_gain=gain[order], hot_sums=sums)
+    gain = np.log10(mass) - model.single(model.counts(word, own))
+    return replace(model, sums=sums[:2], back=back, usual=key[order], usual_gain=gain[order])
+
 
+def fit(docs: DataFrame, text_col: str = "text", hot: int = HOT) -> Model:
+    """Count all words and pairs of all rows of ``docs``; null texts are empty and have one end.
 
-def fit(docs: DataFrame, text_col: str = "text", core: int = CORE) -> Model:
-    """Count all words and pairs of all rows of ``docs``; null texts are empty and have one end."""
-    spark = docs.sparkSession
+    ``hot`` changes what is looked up where, not the model.
+    """
     texts = docs.select(F.col(text_col).alias("text"))
-    bits = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    fields = "bucket int, words binary, counts binary"
-    table = stable(texts.mapInArrow(_counted_words(bits), fields).groupBy("bucket").applyInArrow(_summed_words, fields), "words")
-    sizes = stable(table.select("counts").mapInArrow(_count_sizes, "seen bigint, words bigint").groupBy("seen").agg(F.sum("words").alias("words")), "counts")
-    total, distinct = sizes.agg(F.coalesce(F.sum(F.col("seen") * F.col("words")), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
-    of_counts = {r["seen"]: r["words"] for r in sizes.where(F.col("seen") <= TRUSTED + 1).collect()}
-    least = _most(sizes, "words", core)
-    top = table.select("words", "counts").mapInArrow(_above(least), "word bigint, seen bigint").collect()  # at most ``core``
-    hashes, counts = np.array([r["word"] for r in top], np.int64).view(np.uint64), np.array([r["seen"] for r in top], np.int64)
-    order = np.argsort(hashes)
+    table = stable(texts.mapInArrow(_counted_words(GATHERED), "word bigint, seen bigint").groupBy("word").agg(F.sum("seen").alias("seen")), "words")
+    sizes = stable(table.groupBy("seen").agg(F.count(F.lit(1)).alias("many")), "counts")
+    total, distinct = sizes.agg(F.coalesce(F.sum(F.col("seen") * F.col("many")), F.lit(0)), F.coalesce(F.sum("many"), F.lit(0))).first()
+    top = table.where(F.col("seen") >= _most(sizes, hot)).toArrow()  # at most ``hot``
+    hashes, counts = top.column("word").to_numpy().view(np.uint64), top.column("seen").to_numpy()
+    order = np.lexsort((hashes, -counts))
     hashes, counts = hashes[order], counts[order]
-    own = np.flatnonzero(hashes != END)
-    own = own[np.lexsort((hashes[own], -counts[own]))][:HISTORIES - 2]
-    history = np.full(len(hashes), OTHER)
-    history[own] = np.arange(len(own)) + 2
-    shared = spark.sparkContext.broadcast((hashes, history))
-    fields = "part int, keys binary, counts binary"
-    pairs = stable(texts.mapInArrow(_counted_pairs(shared), fields).groupBy("part").applyInArrow(_summed_pairs, fields), "pairs")
-    cells, after = np.zeros(len(hashes) * HISTORIES, np.int64), np.zeros(HISTORIES, np.int64)
-    for r in pairs.toLocalIterator():  # at most core x HISTORIES cells
-        seen = np.frombuffer(r["counts"], np.int64)
-        if r["part"] < 0:
-            after += seen
-        else:
-            cells[(r["part"] << 16) + np.frombuffer(r["keys"], np.uint16).astype(np.int64)] = seen
+    order = np.argsort(hashes)
+    of_counts = _small(sizes)
     factor = discounts(of_counts)
-    small = np.array([of_counts.get(r, 0) for r in range(TRUSTED + 1)])
-    lost = float((small * np.arange(TRUSTED + 1) * (1 - factor)).sum())
+    lost = sum(many * seen * (1 - factor[seen]) for seen, many in of_counts.items() if seen <= TRUSTED)
     scale = 1.0 if lost > 0 else total / (total + 1)  # without rare words, one count is for the unknown
-    single = discounted(counts, factor) / max(1, total) * scale
     unseen = lost / total if lost > 0 else 1 / (total + 1)
-    conditional, back = conditionals(cells.reshape(-1, HISTORIES), after, single)
-    none = np.zeros(0)
-    model = Model(total, distinct, hashes, counts, history, conditional, back, factor * scale, unseen, bits, table, pairs, None, none, none, none.astype(np.uint64), none, none)
-    return _with_grams(texts, model, shared)
-
+    model = Model(
+        total=total, distinct=distinct, factor=factor, scale=scale, unseen=unseen, bits=max(1, int(total // BUCKET).bit_length()),
+        hot=hashes[order], rank=(order + 1).astype(np.uint64), hot_count=np.concatenate([[0], counts]).astype(np.int64), words=table,
+    )
+    return _with_grams(texts, model)
 
-def conditionals(cells: np.ndarray, after: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 P(core word | history), seen or backed off, and log10 backoff weights.
 
-    ``single`` is the core words' probability without a history. For every history the seen words' mass and
-    the weight times the lower level's mass of all other words sum to 1.
-    """
-    value, many = np.unique(cells[(cells > 0) & (cells <= TRUSTED + 1)], return_counts=True)
-    factor = discounts(dict(zip(value.tolist(), many.tolist(), strict=True)))
-    out, back = np.zeros(cells.shape, np.float32), np.zeros(HISTORIES)
-    for h in range(HISTORIES):
-        seen = cells[:, h] > 0
-        if not seen.any():
-            out[:, h] = np.log10(np.maximum(single, 1e-300))
-            continue
-        p = discounted(cells[:, h], factor) / after[h]
-        left, below = 1 - p.sum(), 1 - single[seen].sum()
-        if left <= 1e-9:  # nothing was discounted: one count is left for the rest
-            p, left = p * after[h] / (after[h] + 1), 1 / (after[h] + 1)
-        back[h] = np.log10(left / below)
-        out[:, h] = np.where(seen, np.log10(np.maximum(p, 1e-300)), back[h] + np.log10(np.maximum(single, 1e-300)))
-    return out, back
-
-
-def _scored_core(shared):
-    schema = pa.schema([("text", pa.string()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("others", pa.binary())])
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        base = np.log10((m.core_count + 1) / (m.total + m.distinct + 1)) if len(m.core) else np.zeros(0)
-        for rows, data, offsets in pieces(batches, "text"):
-            owner, word = tokens(data, offsets)
-            place = _placed(m.core, word)
-            before = _histories(m.history, place, owner)
-            inside = place >= 0
-            n = rows.num_rows
-            sums = np.bincount(owner[inside], m.conditional[place[inside], before[inside]], n) + np.bincount(owner[~inside], m.back[before[~inside]], n)
-            key = pair_keys(*token_pairs(data, offsets)[1:])
-            usual = _placed(m.usual, key)
-            sums += np.bincount(owner[usual >= 0], m.usual_gain[usual[usual >= 0]], n)
-            rest = np.bincount(owner[~inside], minlength=n)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(rows.schema.get_field_index("doc_id")), rows.column(rows.schema.get_field_index("held_out")), rows.column(rows.schema.get_field_index("text")), pa.array(np.bincount(owner, minlength=n)),
-                 pa.array(np.bincount(owner[inside], minlength=n)), pa.array(np.bincount(owner[inside], base[place[inside]], n), pa.float64()), pa.array(sums, pa.float64()), blobs(word[~inside], rest)],
-                names=["doc_id", "held_out", *schema.names],
-            )
-
-    return scored
-
-
-def _scored_others(total: int, distinct: int, factor: np.ndarray, unseen: float):
-    def scored(entries: pa.Table, table: pa.Table) -> pa.Table:
-        word = np.frombuffer(b"".join(entries.column("hashes").to_pylist()), np.uint64)
-        node = np.frombuffer(b"".join(entries.column("nodes").to_pylist()), np.int64)
-        known = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint64)
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int64)
-        order = np.argsort(known)
-        place = _placed(known[order], word)
-        count = np.where(place >= 0, counts[order][np.maximum(place, 0)] if len(counts) else 0, 0)
-        names, at = np.unique(node, return_inverse=True)
-        single = np.where(count > 0, discounted(count, factor) / max(1, total), unseen)
-        sums = [np.bincount(at, x, len(names)) for x in (count > 0, np.log10((count + 1) / (total + distinct + 1)), np.log10(single))]
-        return pa.table({"node": pa.array(names, pa.int64()), "more_known": pa.array(sums[0].astype(np.int64)), "more_base": pa.array(sums[1], pa.float64()), "more_score": pa.array(sums[2], pa.float64())})
-
-    return scored
-
-
-def _gram_entries(shared):
-    """Pairs of each text that are not usual, as entries for their bucket; ``owners`` count through ``nodes``."""
+def _asked(shared, size: int):
+    """Rows of numbers for the texts of a piece, and their tokens that other tasks know, by bucket."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        held: list[tuple] = []
+        piece = TaskContext.get().partitionId() << 32
+
+        def out() -> Iterator[pa.RecordBatch]:
+            sizes = [len(r) for r, *_ in held]
+            start = np.cumsum([0, *sizes[:-1]])
+            owner, before, word = (np.concatenate(x) for x in zip(*[(o + s, b, w) for (_, o, b, w), s in zip(held, start, strict=True)], strict=True))
+            rows = pa.Table.from_batches([r for r, *_ in held]).combine_chunks()
+            n = len(rows)
+            hot = word < RARE
+            count = m.counts(word[hot], 0)
+            usual = placed(m.usual, pair_keys(before, word))
+            score = np.bincount(owner[hot], m.single(count), n) + np.bincount(owner[usual >= 0], m.usual_gain[usual[usual >= 0]], n)
+            spread = 2 * ((piece + np.arange(n) // 1024) & ((1 << m.bits) - 1))  # any bucket will do, the rows go through
+            own, none = [pa.array(np.full(n, piece)), pa.array(spread.astype(np.int32))], [pa.nulls(n, pa.binary())] * 3
+            numbers = [np.bincount(owner, minlength=n), np.bincount(owner[hot], minlength=n), np.bincount(owner[hot], m.base(count), n).astype(float), score.astype(float)]
+            cells = [pa.array(np.arange(n, dtype=np.int32)), *[rows.column(c).combine_chunks() for c in ("doc_id", "held_out")]]
+            cells = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cells]
+            numbers = [pa.array(x) for x in numbers]
+            yield pa.RecordBatch.from_arrays([*own, *none, *cells, *numbers], names=ASKED_NAMES)
+            kinds = [c.type for c in (*cells, *numbers)]
+            for wanted, of_pairs in ((usual < 0, True), (~hot, False)):
+                o, b, w = owner[wanted].astype(np.int32), before[wanted], word[wanted]
+                bucket = pair_buckets(b, w, m.bits) if of_pairs else word_buckets(w, m.bits)
+                order = np.lexsort((w, b, bucket)) if of_pairs else np.lexsort((w, bucket))
+                used, *packed = runs(bucket[order], *([b[order]] if of_pairs else []), w[order], o[order])
+                if not of_pairs:
+                    packed.insert(0, pa.nulls(len(used), pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), piece)), used, *packed, *[pa.nulls(len(used), k) for k in kinds]], names=ASKED_NAMES)
+
         for rows, data, offsets in pieces(batches, "text"):
-            node = rows.column(rows.schema.get_field_index("node")).to_numpy(zero_copy_only=False)
-            owner, before, word = token_pairs(data, offsets)
-            key = pair_keys(before, word)
-            rare = _placed(m.usual, key) < 0
-            owner, before, word, key = owner[rare], before[rare], word[rare], key[rare]
-            bucket = _buckets(m.bits, (_placed(m.core, before) >= 0) | (before == BEGIN), before, key)
-            order = np.lexsort((before, bucket))
-            used, *columns = _lots(bucket[order], before[order], word[order])
-            ends = np.searchsorted(bucket[order], used.to_numpy(), "right")
-            own = [np.unique(x, return_inverse=True) for x in np.split(owner[order], ends[:-1])] if len(used) else []
-            nodes, owners = pa.array([node[x].tobytes() for x, _ in own], pa.binary()), pa.array([x.astype(np.int32).tobytes() for _, x in own], pa.binary())
-            yield pa.RecordBatch.from_arrays([used, *columns, owners, nodes], names=["bucket", "befores", "words", "owners", "nodes"])
+            held.append((rows.select(["doc_id", "held_out"]), *m.pairs(data, offsets)))
+            if sum(len(h[1]) for h in held) > size:
+                yield from out()
+                held.clear()
+                piece += 1
+        if held:
+            yield from out()
 
     return dealt
 
 
-def _scored_grams(shared):
-    def scored(entries: pa.Table, table: pa.Table) -> pa.Table:
+def _answered(shared):
+    """The answers to the questions of a bucket: per piece the sums of its texts. Rows of numbers go through."""
+
+    def answered(asked: pa.Table, table: pa.Table) -> pa.Table:
+        m = shared.value
+        entries = asked.filter(pc.is_valid(asked.column("owners")))
+        through = asked.filter(pc.is_null(asked.column("owners")))
+        of_pairs = len(entries) > 0 and entries.column("befores").null_count < len(entries)
+        answer = _pair_answers(m, *_grams(table)) if of_pairs else _word_answers(m, table) if len(entries) else None
+        cells = []
+        for at in range(len(entries)):
+            entry = entries.slice(at, 1)
+            owner, word = unpacked(entry.column("owners"), np.int32)[0], unpacked(entry.column("words"), np.uint64)[0]
+            found = answer(unpacked(entry.column("befores"), np.uint64)[0] if of_pairs else word, word)
+            place, at_owner = np.unique(owner, return_inverse=True)
+            sums = [np.bincount(at_owner, x, len(place)) for x in found]
+            cells.append([pack(place), b"" if of_pairs else pack(sums[1].astype(np.int32)), b"" if of_pairs else pack(sums[2]), pack(sums[0])])
+        n = len(cells)
+        out = [entries.column("piece"), *[pa.array([c[i] for c in cells], pa.binary()) for i in range(4)], *[pa.nulls(n, asked.schema.field(c).type) for c in ASKED_NAMES[5:]]]
+        none = [pa.nulls(len(through), pa.binary())] * 4
+        rows = [through.column("piece"), *none, *[through.column(c) for c in ASKED_NAMES[5:]]]
+        return pa.concat_tables([pa.table(x, names=ANSWERED_NAMES) for x in (out, rows)])
+
+    return answered
+
+
+def _pair_answers(m: Model, before: np.ndarray, word: np.ndarray, count: np.ndarray, own: np.ndarray):
+    """What pairs add to the score of their words: a hot history has its sums, of any other all pairs are here."""
+    low = m.single(m.counts(word, own))
+    history, at = np.unique(before, return_inverse=True)
+    n = len(history)
+    after, kept, below = (np.bincount(at, x, n) for x in (count, discounted(count, m.pair_factor), 10.0**low))
+    hot = history < RARE
+    after[hot], kept[hot] = m.sums[:, history[hot].astype(np.int64)]
+    mass, _ = pair_mass(count, m.pair_factor, after[at], kept[at])
+    _, left = pair_mass(np.zeros(n, np.int64), m.pair_factor, after, kept)
+    back = np.log10(left / np.maximum(1 - below, 1e-12))
+    key = pair_keys(before, word)
+    order = np.argsort(key)
+    key, gain = key[order], (np.log10(mass) - low)[order]
+
+    def answer(asked_before: np.ndarray, asked: np.ndarray) -> list[np.ndarray]:
+        found, of = placed(key, pair_keys(asked_before, asked)), placed(history, asked_before)
+        rank = np.where(asked_before < RARE, asked_before, np.uint64(0)).astype(np.int64)
+        missed = np.where(asked_before < RARE, m.back[rank], np.where(of >= 0, back[np.maximum(of, 0)] if n else 0.0, 0.0))
+        return [np.where(found >= 0, gain[np.maximum(found, 0)] if len(gain) else 0.0, missed)]
+
+    return answer
+
+
+def _word_answers(m: Model, table: pa.Table):
+    """The words' own score, whether they are known, and their base score."""
+    word = joined(unpacked(table.column("words"), np.uint64), np.uint64)
+    count = joined(unpacked(table.column("counts"), np.int64), np.int64)
+    order = np.argsort(word)
+    word, count = word[order], count[order]
+
+    def answer(_: np.ndarray, asked: np.ndarray) -> list[np.ndarray]:
+        at = placed(word, asked)
+        seen = np.where(at >= 0, count[np.maximum(at, 0)] if len(count) else 0, 0)
+        return [m.single(seen), seen > 0, m.base(seen)]
+
+    return answer
+
+
+def _word_cells(shared):
+    """Rows of words that are not hot to packed cells of their buckets."""
+
+    def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        before, word, count, own = _joined(table, "befores", np.uint64), _joined(table, "words", np.uint64), _joined(table, "counts", np.int64), _joined(table, "owns", np.int64)
-        low = lower(m, before, word, own)
-        # histories: those of the core from their sums, the others as this bucket has all their pairs
-        history, at = np.unique(before, return_inverse=True)
-        n = len(history)
-        after, kept, below = (np.bincount(at, x, n) for x in (count, discounted(count, m.pair_factor), 10.0 ** low))
-        place = np.where(history == BEGIN, len(m.core), _placed(m.core, history))
-        hot = place >= 0
-        after[hot], kept[hot] = m.hot_sums[0][place[hot]], m.hot_sums[1][place[hot]]
-        mass, _ = pair_mass(count, m.pair_factor, after[at], kept[at])
-        _, left = pair_mass(np.zeros(n, np.int64), m.pair_factor, after, kept)
-        back = np.log10(left / np.maximum(1 - below, 1e-12))
-        key = pair_keys(before, word)
-        order = np.argsort(key)
-        key, gain = key[order], (np.log10(mass) - low)[order]
-        nodes, sums = [], []
-        for e in entries.to_batches(max_chunksize=256):
-            e = pa.Table.from_batches([e])
-            owners = [np.frombuffer(x, np.int32) for x in e.column("owners").to_pylist()]
-            nodes += [np.frombuffer(x, np.int64)[o] for x, o in zip(e.column("nodes").to_pylist(), owners, strict=True)]
-            asked_before, asked = _joined(e, "befores", np.uint64), _joined(e, "words", np.uint64)
-            found = _placed(key, pair_keys(asked_before, asked))
-            of, core = _placed(history, asked_before), np.where(asked_before == BEGIN, len(m.core), _placed(m.core, asked_before))
-            missed = np.where(core >= 0, m.core_back[np.maximum(core, 0)], np.where(of >= 0, back[np.maximum(of, 0)] if n else 0.0, 0.0))
-            sums.append(np.where(found >= 0, gain[np.maximum(found, 0)] if n else 0.0, missed))
-        names, at = np.unique(np.concatenate(nodes) if nodes else np.zeros(0, np.int64), return_inverse=True)
-        return pa.table({"node": pa.array(names, pa.int64()), "gain": pa.array(np.bincount(at, np.concatenate(sums) if sums else None, len(names)), pa.float64())})
-
-    return scored
+        for batch in batches:
+            word, count = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            rare = placed(m.hot, word) < 0
+            bucket = word_buckets(word[rare], m.bits)
+            order = np.argsort(bucket, kind="stable")
+            used, words_, counts = runs(bucket[order], word[rare][order], count[rare][order])
+            none = pa.nulls(len(used), pa.binary())
+            yield pa.RecordBatch.from_arrays([used, none, words_, counts, none], names=["bucket", "befores", "words", "counts", "owns"])
+
+    return celled
+
+
+def _assembled(table: pa.Table) -> pa.Table:
+    """The texts of one piece with everything known about their tokens."""
+    rows = table.filter(pc.is_valid(table.column("place"))).sort_by("place")
+    cells = table.filter(pc.is_null(table.column("place")))
+    n_known, base, score = (rows.column(c).to_numpy().copy() for c in ("n_known", "base", "score"))
+    for owners, known, more_base, sums in zip(*[cells.column(c).to_pylist() for c in ANSWERED_NAMES[1:5]], strict=True):
+        owner, = unpacked(pa.array([owners]), np.int32)
+        score[owner] += unpacked(pa.array([sums]), np.float64)[0]
+        if known:
+            n_known[owner] += unpacked(pa.array([known]), np.int32)[0]
+            base[owner] += unpacked(pa.array([more_base]), np.float64)[0]
+    return pa.table([rows.column("doc_id"), rows.column("held_out"), rows.column("n_tokens"), pa.array(n_known), pa.array(base), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None) -> DataFrame:
@@ -530,26 +515,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     ``score`` is the model's log10 probability of the text, ``base_score`` that of single words with one
     added count. A null or empty text is one end. Rows that repeat an id are scored each. Other columns are
-    not read. After a fit on an empty table all words are unknown.
+    not read. After a fit on an empty table all words are unknown. The buckets are those of the training
+    tokens, so texts far larger than the training texts are better scored in parts.
     """
-    spark = docs.sparkSession
     id_type = dict(docs.dtypes)[id_col]
     flag = held_out if held_out is not None else F.lit(False)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(flag, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    shared = spark.sparkContext.broadcast(replace(model, words=None, pairs=None, grams=None))
-    fields = f"doc_id {id_type}, held_out boolean, text string, n_tokens bigint, n_known bigint, base double, score double, others binary"
-    placed = stable(texts.mapInArrow(_scored_core(shared), fields).withColumn("node", F.monotonically_increasing_id()), "scored")
-    total, = placed.agg(F.coalesce(F.sum(F.length("others") / 8), F.lit(0)).cast("bigint")).first()
-    bits = min(model.bits, int(total // ENTRIES).bit_length())
-    entries = placed.where(F.length("others") > 0).select("node", "others").mapInArrow(_entries("others", bits), "bucket int, hashes binary, nodes binary")
-    table = model.words.withColumn("bucket", F.shiftright("bucket", model.bits - bits))
-    more = entries.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(
-        _scored_others(model.total, model.distinct, model.factor, model.unseen), "node bigint, more_known bigint, more_base double, more_score double"
-    ).groupBy("node").agg(F.sum("more_known").alias("more_known"), F.sum("more_base").alias("more_base"), F.sum("more_score").alias("more_score"))
-    grams = placed.select("node", "text").mapInArrow(_gram_entries(shared), "bucket int, befores binary, words binary, owners binary, nodes binary")
-    gains = grams.groupBy("bucket").cogroup(model.grams.groupBy("bucket")).applyInArrow(_scored_grams(shared), "node bigint, gain double").groupBy("node").agg(F.sum("gain").alias("gain"))
-    none = F.lit(0)
-    return placed.drop("others", "text").join(more, "node", "left").join(gains, "node", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", none)).alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", none)).alias("base_score"), (F.col("score") + F.coalesce("more_score", none) + F.coalesce("gain", none)).alias("score"),
+    shared = docs.sparkSession.sparkContext.broadcast(model.shared())
+    numbers = f"place int, doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+    asked = texts.mapInArrow(_asked(shared, ASKED), f"piece bigint, bucket int, befores binary, words binary, owners binary, {numbers}")
+    fields = f"{GRAMS}, owns binary"
+    known = model.grams.unionByName(model.words.mapInArrow(_word_cells(shared), fields))
+    answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
+        _answered(shared), f"piece bigint, owners binary, known binary, more_base binary, sums binary, {numbers}"
     )
+    found = answers.groupBy("piece").applyInArrow(_assembled, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("bigint").alias("train_tokens"), "base_score", "score")

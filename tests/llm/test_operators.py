@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -192,10 +193,10 @@ def test_contamination(spark, docs, block):
     assert longest[1] == 20
 
 
-@pytest.mark.parametrize("core", [1 << 16, 20, 0])
-def test_katz(docs, core):
+@pytest.mark.parametrize("hot", [katz.HOT, 20, 0])
+def test_katz(docs, hot):
     held = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3)) == 2
-    model = katz.fit(docs.where(~held), core=core)
+    model = katz.fit(docs.where(~held), hot=hot)
     got = katz.score(docs, model, held_out=held).collect()
     said = [(i, [*re.findall(WORDS, lower(t or "")), None]) for i, t in rows()]
     count = Counter(w for i, ws in said if (i or 0) % 3 != 2 for w in ws)
@@ -204,11 +205,19 @@ def test_katz(docs, core):
     want = sorted((str(i), len(ws), sum(count[w] > 0 for w in ws), round(sum(math.log10((count[w] + 1) / (total + distinct + 1)) for w in ws), 5)) for i, ws in said)
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 5)) for r in got) == want
     counts = np.array(sorted(count.values()))
-    assert (katz.discounted(counts, model.factor) / total).sum() + model.unseen == pytest.approx(1)
-    others = 1 - (katz.discounted(model.core_count, model.factor) / total).sum()
-    for h in range(katz.HISTORIES):
-        seen = (10.0 ** model.conditional[:, h].astype(float)).sum() + 10 ** model.back[h] * others
-        assert seen == pytest.approx(1, abs=1e-5)
+    assert (10.0 ** model.single(counts)).sum() + model.unseen == pytest.approx(1)
+
+
+def test_katz_without_rare_words(spark):
+    """Where no word is rare, the unknown word takes one count from all, frequent ones too."""
+    model = katz.fit(spark.createDataFrame([("a b " * 20,)], "text string").unionAll(spark.createDataFrame([(None,)] * 9, "text string")))
+    assert (10.0 ** model.single(np.array([20, 20, 10]))).sum() + 10.0 ** model.single(np.array([0]))[0] == pytest.approx(1)
+
+
+def test_packed_arrays():
+    for x in (np.zeros(0, np.uint64), np.array([5, 1 << 63, 0], np.uint64), np.array([-1.5, 2.0**90, 0.0]), np.arange(-9, 99, dtype=np.int32)):
+        back, = katz.unpacked(pa.array([katz.pack(x)]), x.dtype.type)
+        assert back.dtype == x.dtype and back.tolist() == x.tolist()
 
 
 def katz_by_hand(said, held):
@@ -249,19 +258,26 @@ def katz_by_hand(said, held):
     return [(i, sum(math.log10(p(h, w)) for h, w in zip([0, *ws], ws))) for i, ws in said]  # noqa: B905
 
 
-@pytest.mark.parametrize("usual", [1 << 16, 30, 0])
-def test_katz_scores_every_pair(spark, docs, monkeypatch, usual):
-    """Without a core the lower level is single words, so the scores are plain Katz, whatever is known to every task."""
+@pytest.mark.parametrize(("hot", "usual", "bucket"), [(katz.HOT, katz.USUAL, katz.BUCKET), (katz.HOT, 0, 100), (20, 30, 100), (3, 0, 500), (0, 0, katz.BUCKET)])
+def test_katz_scores_every_pair(spark, docs, monkeypatch, hot, usual, bucket):
+    """The scores are plain Katz, whatever is known to every task and however the counts are dealt."""
     monkeypatch.setattr(katz, "USUAL", usual)
-    monkeypatch.setattr(katz, "PAIRS", 3000)
+    monkeypatch.setattr(katz, "BUCKET", bucket)
+    if bucket < katz.HOT:
+        monkeypatch.setattr(katz, "GATHERED", 3000)
+        monkeypatch.setattr(katz, "ASKED", 1500)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     more = spark.createDataFrame([(300 + i, f"rare{i // 3} pair{i // 3} the w{i % 5}") for i in range(30)], "doc_id long, text string")
     every = docs.select("doc_id", "text").unionByName(more)
     held = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3)) == 2
     said = [(i, [*re.findall(WORDS, lower(t or "")), None]) for i, t in [(r["doc_id"], r["text"]) for r in every.collect()]]
-    want = sorted((str(i), round(x, 3)) for i, x in katz_by_hand(said, lambda i: (i or 0) % 3 == 2))
-    got = katz.score(every, katz.fit(every.where(~held), core=0), held_out=held).collect()
-    assert [i for i, _ in want] == [i for i, _ in sorted((str(r["doc_id"]), r["score"]) for r in got)]
-    assert [x for _, x in sorted((str(r["doc_id"]), round(r["score"], 3)) for r in got)] == pytest.approx([x for _, x in want], abs=0.01, rel=1e-6)
+    want = sorted((str(i), x) for i, x in katz_by_hand(said, lambda i: (i or 0) % 3 == 2))
+    try:
+        got = sorted((str(r["doc_id"]), r["score"]) for r in katz.score(every, katz.fit(every.where(~held), hot=hot), held_out=held).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [i for i, _ in want] == [i for i, _ in got]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-9)
 
 
 def test_rendezvous(docs):
