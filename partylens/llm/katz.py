@@ -385,7 +385,7 @@ def _asked(shared, size: int):
             count = m.counts(word[hot], 0)
             usual = placed(m.usual, pair_keys(before, word))
             score = np.bincount(owner[hot], m.single(count), n) + np.bincount(owner[usual >= 0], m.usual_gain[usual[usual >= 0]], n)
-            spread = 2 * ((piece + np.arange(n) // 1024) & ((1 << m.bits) - 1))  # any bucket will do, the rows go through
+            spread = 2 * (((piece >> 32) + piece + np.arange(n) // 1024) & ((1 << m.bits) - 1))  # any bucket will do, the rows go through
             own, none = [pa.array(np.full(n, piece)), pa.array(spread.astype(np.int32))], [pa.nulls(n, pa.binary())] * 3
             numbers = [np.bincount(owner, minlength=n), np.bincount(owner[hot], minlength=n), np.bincount(owner[hot], m.base(count), n).astype(float), score.astype(float)]
             cells = [pa.array(np.arange(n, dtype=np.int32)), *[rows.column(c).combine_chunks() for c in ("doc_id", "held_out")]]
