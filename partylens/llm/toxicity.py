@@ -173,6 +173,9 @@ def linear(bucket: list[np.ndarray], posterior: np.ndarray, seen: np.ndarray, ma
     return weight, bias
 
 
+FILTER = 1 << 26  # bits
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id and ``sign``, a hash of the whole text: equal for equal texts only."""
     for rows, data, offsets in pieces(batches, "text"):
@@ -199,17 +202,46 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.filter(pa.array(sign == rows.column(rows.schema.get_field_index("_sign")).to_numpy(zero_copy_only=False)))
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of set bits as (number of a 64-bit word, its bits)."""
+    for batch in batches:
+        at = np.unique(batch.column(0).to_numpy().view(np.uint64) % np.uint64(FILTER))
+        used, first = np.unique(at >> np.uint64(6), return_index=True)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first).view(np.int64))], names=["place", "bits"])
+
+
+def likely(rows: DataFrame, among: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` without most of those whose id is not in ``among``, before a join moves them.
+
+    A filter of ``FILTER`` bits, whatever the input, goes to every task; it keeps all ids of ``among``.
+    """
+    found = among.select(F.xxhash64(id_col)).mapInArrow(_bits, "place bigint, bits bigint").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    mask = np.zeros(FILTER // 64, np.uint64)
+    mask[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(mask)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64) % np.uint64(FILTER)
+            yield batch.filter(pa.array((shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.withColumn("_hash", F.xxhash64(id_col)).mapInArrow(kept, f"{fields}, _hash bigint").drop("_hash")
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
     """text, label and place (a hash of the id) of all labelled rows; equal texts with equal labels count once.
 
-    Only ids and hashes are compared, so a text moves once, to its label.
+    Ids and hashes decide; the texts of other rows stay where they are, but for the few that a filter lets through.
     """
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["_id"])
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     signs = texts.mapInArrow(_signed, f"_id {dict(texts.dtypes)['_id']}, sign bigint").join(known, "_id")
     kept = signs.groupBy("sign", "label").agg(F.min(F.struct(F.xxhash64("_id", F.lit(3)).alias("place"), "_id")).alias("first"))
     kept = kept.select("first._id", "first.place", "label", "sign").withColumnRenamed("sign", "_sign")
-    found = texts.join(kept, "_id").select("text", "label", "place", "_sign")
+    kept = stable(kept, "kept")
+    found = likely(texts, kept, "_id").join(kept, "_id").select("text", "label", "place", "_sign")
     return found.mapInArrow(_own_text, "text string, label int, place bigint, _sign bigint").dropDuplicates(["_sign", "label"]).drop("_sign")
 
 
