@@ -13,7 +13,8 @@ def running_before(df: DataFrame, group: str, order: list[str], value: str, into
 
     Rows stand by ``order``, whose first column must be a 64-bit hash: its leading bits cut every group
     into ``BUCKETS`` slices, so a group with a third of all rows is spread over thousands of tasks. The
-    sums per slice are pre-aggregated; their running totals are one row per slice.
+    sums per slice are pre-aggregated; their running totals are one row per slice and join the rows where
+    these already lie. ``group`` must not be null.
     """
     bits = BUCKETS.bit_length() - 1
     sliced = df.withColumn("_slice", F.shiftrightunsigned(F.col(order[0]), 64 - bits).cast("int"))
@@ -23,5 +24,5 @@ def running_before(df: DataFrame, group: str, order: list[str], value: str, into
     )
     inside = Window.partitionBy(group, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = sliced.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    joined = local.join(totals, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_at")))
+    joined = local.join(totals, (F.col(group) == F.col("_group")) & (F.col("_slice") == F.col("_at")))
     return joined.withColumn(into, F.col("_earlier") + F.col("_inside")).drop("_slice", "_group", "_at", "_earlier", "_inside")

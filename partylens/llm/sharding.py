@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partylens.llm.numbering import running_before
-from partylens.session import stable
 
 
 def rendezvous(key: Sequence[Column], weights: Sequence[float]) -> Column:
@@ -37,7 +36,7 @@ def shard_rows(docs: DataFrame, weights: Sequence[float], key_cols: Sequence[str
     keys like others. ``slot`` numbers the rows of a shard from 0 without gaps, in hashed order of the
     keys (equal ones by size and checksum; of equal rows any order is the same table). ``grown_shard`` is
     the shard under the weights ``grown``, null without them. Other columns are not read; a carried column
-    with the name of a new one gives way to it.
+    with the name of a new one gives way to it. ``docs`` is read twice, the second time for its keys only.
     """
     key = [F.col(c) for c in key_cols]
     new = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -48,5 +47,4 @@ def shard_rows(docs: DataFrame, weights: Sequence[float], key_cols: Sequence[str
         rendezvous(key, weights).cast("int").alias("shard"),
         (rendezvous(key, grown) if grown else F.lit(None)).cast("int").alias("grown_shard"), F.lit(1).cast("bigint").alias("_one"),
     ).withColumn("_order", F.xxhash64(*key, F.lit("slot")))
-    placed = stable(placed, "placed")  # the texts are read once
     return running_before(placed, "shard", ["_order", *key_cols, "size", "text_crc32"], "_one", "slot").select(*key_cols, *carry, *new)
