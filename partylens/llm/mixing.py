@@ -71,24 +71,28 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: DataFrame |
     return parents.select(F.col("parent").alias("leaf"), F.col("budget").alias("given"))
 
 
-def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None = None, budget: float = 1.0, epochs: int = 1, seed: str = "0", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, leaf, tokens, copies.
+def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None = None, budget: float = 1.0, epochs: int = 1, seed: str = "0", id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, leaf, tokens, copies, then the columns of ``carry`` with ``_carried_`` before their names.
 
     ``levels`` names the tree's levels from the top with their expressions (domain, language, source); null
     is a group like others. ``budget`` is the tokens wanted as a share of all tokens, ``epochs`` how often a
     row may be used. A leaf with budget g and t tokens uses all its rows g // t times, and once more the
-    rows at the head of its seeded order, from a fresh hash of (seed, epoch, id), as long as the tokens
+    rows at the head of its seeded order, from a fresh hash of (seed, epoch, id, text), as long as the tokens
     before a row are below the rest: the row that crosses the line is taken, so the leaf misses its budget
     by less than one row. Rows without words are used in every whole epoch and at the head of the order; a leaf
     of such rows only is used in every epoch, unless it or a node above it has no weight.
-    Rows that repeat an id stand next to each other. An empty table gives an empty result.
+    Every row goes by itself, with or without an id of its own; rows equal in id and text stand next to each other.
+    With ``carry`` the rows are read twice and their columns move in the one shuffle that orders them. An empty table gives an empty result.
     """
     names = list(levels)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *[e.alias(f"_level_{n}") for n, e in levels.items()])
-    counted = stable(
-        base.select("doc_id", _name([F.col(f"_level_{n}") for n in names]).alias("leaf"), *[F.col(f"_level_{n}") for n in names], token_count(F.col("_text")).alias("tokens")),
-        "tokens",
-    )  # the texts are read once
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *[e.alias(f"_level_{n}") for n, e in levels.items()], *[F.col(c).alias(f"_carried_{c}") for c in carry])
+    carried = [f"_carried_{c}" for c in carry]
+    counted = base.select(
+        "doc_id", _name([F.col(f"_level_{n}") for n in names]).alias("leaf"), *[F.col(f"_level_{n}") for n in names],
+        token_count(F.col("_text")).alias("tokens"), F.xxhash64("_text").alias("_sign"), *carried,
+    )
+    if not carry:
+        counted = stable(counted, "tokens")  # the texts are read once
     leaves = counted.groupBy("leaf", *[f"_level_{n}" for n in names]).agg(F.sum("tokens").alias("tokens"))
     given = leaf_budgets(leaves, [f"_level_{n}" for n in names], weights, budget, epochs)
     plan = leaves.join(given, "leaf", "left").select(
@@ -97,8 +101,8 @@ def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None
         F.coalesce("given", F.lit(0.0)).alias("given"), F.col("tokens").alias("_all"),
     ).withColumn("rest", F.greatest(F.lit(0.0), F.col("given") - F.col("whole") * F.col("_all")))
     joined = counted.join(plan, counted["leaf"].eqNullSafe(plan["_leaf"])).select(
-        "doc_id", "leaf", "tokens", "whole", "rest", F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id")).alias("_order")
+        "doc_id", "leaf", "tokens", "whole", "rest", F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id"), F.col("_sign")).alias("_order"), *carried
     )
     placed = running_before(joined, "leaf", ["_order", "doc_id", "tokens"], "tokens", "_before")
     more = (F.col("_before") + F.lit(1e-6) < F.col("rest")).cast("int")
-    return placed.select("doc_id", "leaf", "tokens", (F.col("whole") + more).alias("copies"))
+    return placed.select("doc_id", "leaf", "tokens", (F.col("whole") + more).alias("copies"), *carried)

@@ -33,8 +33,8 @@ def shard_rows(docs: DataFrame, weights: Sequence[float], key_cols: Sequence[str
 
     ``size`` is the text's UTF-8 bytes plus 1, ``text_crc32`` of those bytes (null as empty). The law is
     ``key``: only the key and the weights decide, so rows that repeat a key share a shard; null keys are
-    keys like others. ``slot`` numbers the rows of a shard from 0 without gaps, in hashed order of the
-    keys (equal ones by size and checksum; of equal rows any order is the same table). ``grown_shard`` is
+    keys like others. ``slot`` numbers the rows of a shard from 0 without gaps, in an order hashed
+    from key, size and checksum, so that rows which repeat one key are spread (of equal rows any order is the same table). ``grown_shard`` is
     the shard under the weights ``grown``, null without them. Other columns are not read; a carried column
     with the name of a new one gives way to it. ``docs`` is read twice, the second time for its keys only.
     """
@@ -46,5 +46,5 @@ def shard_rows(docs: DataFrame, weights: Sequence[float], key_cols: Sequence[str
         *key, *carry, (F.octet_length(raw) + 1).cast("bigint").alias("size"), F.crc32(raw).alias("text_crc32"), F.lit("key").alias("law"),
         rendezvous(key, weights).cast("int").alias("shard"),
         (rendezvous(key, grown) if grown else F.lit(None)).cast("int").alias("grown_shard"), F.lit(1).cast("bigint").alias("_one"),
-    ).withColumn("_order", F.xxhash64(*key, F.lit("slot")))
+    ).withColumn("_order", F.xxhash64(*key, "size", "text_crc32", F.lit("slot")))
     return running_before(placed, "shard", ["_order", *key_cols, "size", "text_crc32"], "_one", "slot").select(*key_cols, *carry, *new)

@@ -28,7 +28,7 @@ SAMPLE = 12_000  # labelled rows for the classifier's gradient descent
 LEXICONS = 24  # mined lexicons
 STEMS = (4, 5, 6, 7)  # bytes of the word beginnings
 BUCKETS = 1 << 18
-PRECISION, LEAST = 0.8, 6  # share of toxic texts among a term's texts, and texts of a term
+PRECISION = 0.8  # share of toxic texts among a mined term's texts
 STRIKING = 5.0  # standard deviations by which a feature's posteriors must differ from the mean
 EPOCHS, RATE = 10, 0.5
 
@@ -148,19 +148,26 @@ def label_model(sums: Callable[[LabelModel], np.ndarray], voters: int, prior: fl
     return model
 
 
+def surprise(seen: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
+    """How unlikely (-log of the Chernoff bound) a share of toxic texts as far from ``base`` as toxic / seen is by chance."""
+    share = np.clip(toxic / np.maximum(seen, 1), 1e-9, 1 - 1e-9)
+    return seen * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
+
+
 def linear(bucket: list[np.ndarray], posterior: np.ndarray, seen: np.ndarray, mass: np.ndarray, base: float) -> tuple[np.ndarray, float]:
     """Logistic regression on posteriors by stochastic gradient descent.
 
     ``seen`` and ``mass`` are the texts and the sum of the posteriors of each feature, ``base`` the mean
-    posterior, over all labelled rows. Only features whose texts differ strikingly from the mean take part;
-    the others stay 0, so that thousands of words of a long text cannot add up to a verdict by chance. One
-    that is in fewer than ``LEAST`` texts here starts from its odds in all rows, shared by the features of a word.
+    posterior, over all labelled rows. Only the listed insults take part, and features whose texts differ
+    strikingly from the mean; the others stay 0, so that thousands of words of a long text cannot add up to a verdict by chance. One
+    in too few texts here to be shown by them starts from its odds in all rows, shared by the features of a word.
     """
     rng = np.random.default_rng(11)
-    striking = (seen >= LEAST) & (np.abs(mass - seen * base) >= STRIKING * np.sqrt(np.maximum(seen, 1) * base * (1 - base)))
     here = np.bincount(np.concatenate(bucket), minlength=BUCKETS) if len(bucket) else np.zeros(BUCKETS, int)
+    striking = np.abs(mass - seen * base) >= STRIKING * np.sqrt(np.maximum(seen, 1) * base * (1 - base))
+    striking[(word_terms(INSULTS) % np.uint64(BUCKETS)).astype(np.int64)] = True
     odds = np.log((mass + 0.5) / (np.maximum(seen - mass, 0) + 0.5)) - np.log(base / (1 - base))
-    weight = np.where(striking & (here < LEAST), odds / (len(STEMS) + 1), 0.0)
+    weight = np.where(striking & (here * (1 - base) < STRIKING**2 * base), odds / (len(STEMS) + 1), 0.0)
     bucket = [b[striking[b]] for b in bucket]
     bias, power = float(np.log(base / (1 - base))), np.ones(BUCKETS)
     for _ in range(EPOCHS):
@@ -246,13 +253,23 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, te
 
 
 def mine(texts: DataFrame) -> tuple[Voters, float]:
-    """Lexicons from all labelled texts, and the share of toxic ones among them. The terms are as many as are found."""
+    """Lexicons from all labelled texts, and the share of toxic ones among them.
+
+    A term is mined if ``PRECISION`` of its texts are toxic and chance would bring less than one such term
+    among all terms of two texts or more: a few texts are enough in a small table, more are asked of a large
+    one. The terms are as many as are found.
+    """
     counts = texts.mapInArrow(_mined, "term bigint, texts bigint, toxic bigint").groupBy("term").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
-    rows = counts.where((F.col("texts") >= LEAST) & (F.col("toxic") >= PRECISION * F.col("texts"))).orderBy(F.desc("toxic"), "term").select("term").collect()
+    counts = stable(counts.where(F.col("texts") > 1), "terms")
     share = texts.agg(F.avg("label")).first()[0]
-    found = np.array([r["term"] for r in rows], np.int64).view(np.uint64)
+    prior = min(0.5, max(0.01, share or 0.0))
+    likely_toxic = counts.where(F.col("toxic") >= PRECISION * F.col("texts")).select("term", "texts", "toxic").toArrow()
+    term, seen, toxic = (likely_toxic.column(n).to_numpy() for n in ("term", "texts", "toxic"))
+    sure = surprise(seen, toxic, prior) >= np.log(max(2, counts.count()))
+    ranked = np.lexsort((term[sure], -toxic[sure]))
+    found = term[sure][ranked].view(np.uint64)
     order = np.argsort(found)
-    return Voters(found[order], np.arange(len(found))[order] % LEXICONS), min(0.5, max(0.01, share or 0.0))
+    return Voters(found[order], np.arange(len(found))[order] % LEXICONS), prior
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
