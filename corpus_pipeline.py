@@ -1,8 +1,8 @@
 """From raw documents to sharded training data, one operator of ``partylens.llm`` per stage.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the last
-return the columns of ``docs``. Near copies and benchmark passages are decided by row, with or without an id;
-rows that repeat the id of a group's kept row stay with it. Empty tables give empty results.
+return the columns of ``docs``, whatever their names. Every stage decides by row, with or without an id of its
+own: rows that repeat an id go or stay each by its own text. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -22,37 +22,45 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Weak supervision learns from labels outside the held-out fold; documents from ``REJECT`` on go. A null text stays."""
     labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
     model = toxicity.fit(docs.where(fold(F.col("doc_id"), 5) != 0), labels)
-    mark = "_toxicity"
+    mark = unused("_toxicity", docs)
     return toxicity.score(docs, model, mark).where(F.col(mark) < REJECT).select(*docs.columns)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a written number ``_row``, by which a stage decides on each row."""
-    return stable(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+def unused(name: str, docs: DataFrame) -> str:
+    """``name``, or a longer one that no column of ``docs`` has (upper and lower case are one)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a written number, by which a stage decides on each row, and the name of its column."""
+    row = unused("_row", docs)
+    return stable(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked rows the one with the smallest id stays (no id is last), with the rows of the group that repeat its id."""
-    rows = numbered(docs)
-    found = jaccard.near_duplicates(rows, "_row").select(F.col("doc_id").alias("_row"), "component_id")
-    placed = rows.select("_row", F.col("doc_id").alias("_id")).join(found, "_row")
-    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first"))
-    copies = placed.join(first, "component_id").where((F.col("_row") != F.col("_first._row")) & ~F.coalesce(F.col("_id") == F.col("_first._id"), F.lit(False)))
-    return rows.join(copies.select("_row"), "_row", "left_anti").select(*docs.columns)
+    """Of each group of linked rows one stays: that with the smallest id (no id is last), of such rows the first written."""
+    rows, row = numbered(docs)
+    found = jaccard.near_duplicates(rows, row).select(F.col("doc_id").alias("at"), "component_id")
+    placed = rows.select(F.col(row).alias("at"), F.col("doc_id").alias("id")).join(found, "at")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))["at"].alias("first"))
+    copies = placed.join(first, "component_id").where(F.col("at") != F.col("first")).select(F.col("at").alias(row))
+    return rows.join(copies, row, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a window of a benchmark item go."""
-    rows = numbered(docs)
-    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), "_row")
-    return rows.join(found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*docs.columns)
+    rows, row = numbered(docs)
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), row)
+    return rows.join(found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias(row)), row, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Equal weights through domain, language and source, each document once at most."""
-    used = mixing.mixed(docs, levels(), budget=BUDGET, epochs=1, seed="mix").where(F.col("copies") > 0)
-    used = used.select(F.col("doc_id").alias("_used")).distinct()
-    return docs.join(used, F.col("doc_id").eqNullSafe(F.col("_used")), "left_semi").select(*docs.columns)
+    """Equal weights through domain, language and source, each row once at most."""
+    used = mixing.mixed(docs, levels(), budget=BUDGET, epochs=1, seed="mix", carry=docs.columns).where(F.col("copies") > 0)
+    return used.select(*[F.col(f"_carried_{c}").alias(c) for c in docs.columns])
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
