@@ -165,7 +165,11 @@ def _contents(shared):
 
 
 def _entries(column: str, bits: int):
-    """Rows (node, hashes) to rows (bucket, hashes, nodes), by the leading bits of a hash."""
+    """Rows (node, hashes) to rows (bucket, hashes, nodes), by the leading bits of a hash that is mixed anew.
+
+    The hashes themselves would not do: a prefix has the smallest of its set, so its hashes lie in the first quarter of
+    all, and a quarter of the buckets would get all entries.
+    """
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +183,7 @@ def _entries(column: str, bits: int):
                     size, to = size + len(parts[to]), to + 1
                 value = np.concatenate(parts[step:to])
                 owner = np.repeat(node[step:to], [len(p) for p in parts[step:to]])
-                bucket = (value >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
+                bucket = (mixed(value ^ HALF) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 used, sizes = np.unique(bucket, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), blobs(value[order], sizes), blobs(owner[order].astype(np.int64), sizes)], names=["bucket", "hashes", "nodes"])

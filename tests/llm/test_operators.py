@@ -82,6 +82,26 @@ def test_near_duplicates(docs, monkeypatch, crowd, maps, tile, pivots):
     assert sorted((tuple(r) for r in jaccard.near_duplicates(docs).collect()), key=repr) == want
 
 
+@pytest.mark.parametrize("described", ["prefix", "found"])
+def test_buckets_are_even(described):
+    """Prefixes and anchors are small hashes; the buckets that one task holds whole are as large as each other all the same."""
+    rng = random.Random(3)
+    texts = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "text": [" ".join(f"w{rng.randrange(10**6)}" for _ in range(400)) for _ in range(300)]})
+    task = jaccard._sets if described == "prefix" else repeats._described(200)
+    (batch,) = task(iter([texts]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), batch.column(batch.schema.get_field_index(described))], names=["node", described])
+    got, held = defaultdict(set), []
+    for out in jaccard._entries(described, 4)(iter([batch.slice(0, 100), batch.slice(100)])):
+        for row in out.to_pylist():
+            pairs = list(zip(np.frombuffer(row["hashes"], np.uint64).tolist(), np.frombuffer(row["nodes"], np.int64).tolist(), strict=True))
+            got[row["bucket"]].update(h for h, _ in pairs)
+            held += pairs
+    want = [(h, node) for node, x in enumerate(batch.column(1).to_pylist()) for h in np.frombuffer(x, np.uint64).tolist()]
+    assert sorted(held) == sorted(want)
+    assert sum(map(len, got.values())) == len({h for h, _ in want})  # no hash in two buckets
+    assert len(got) == 16 and max(map(len, got.values())) < 1.5 * len({h for h, _ in want}) / 16
+
+
 def test_exact_dedup(docs):
     groups = defaultdict(list)
     for i, t in rows():
