@@ -21,15 +21,27 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, features: str = "fe
     return KMeans(k=k, seed=seed, featuresCol=features).fit(vectors)
 
 
+class HeldOutSilhouette(ClusteringEvaluator):
+    """Silhouette, or NaN where all rows are in one cluster: Spark's own has no value for that and raises."""
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        if dataset.select(self.getPredictionCol()).distinct().limit(2).count() < 2:
+            return float("nan")
+        return super()._evaluate(dataset)
+
+
 def fit_validated(
     vectors: DataFrame, k: int = 4, seed: int = SEED, features: str = "features", train_ratio: float = 0.75
 ) -> TrainValidationSplitModel:
-    """k-means in a pipeline, rated on a held-out part by silhouette, then fitted on all rows."""
+    """k-means in a pipeline, rated on a held-out part by silhouette, then fitted on all rows.
+
+    The rating is NaN where the held-out rows, of a very small table mostly, are all in one cluster.
+    """
     kmeans = KMeans(k=k, seed=seed, featuresCol=features)
     search = TrainValidationSplit(
         estimator=Pipeline(stages=[kmeans]),
         estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=ClusteringEvaluator(featuresCol=features),
+        evaluator=HeldOutSilhouette(featuresCol=features),
         trainRatio=train_ratio,
         seed=seed,
     )

@@ -72,6 +72,12 @@ def test_validated_fit_uses_all_rows(groups):
     assert model.validationMetrics[0] > 0.9
 
 
+def test_validated_fit_without_a_second_held_out_cluster(spark):
+    vectors = assembled(spark.createDataFrame([(i, 1.0, 2.0) for i in range(12)], "party_id int, x double, y double"), ["x", "y"])
+    model = clustering.fit_validated(vectors, 2)
+    assert np.isnan(model.validationMetrics[0]) and model.transform(vectors).count() == 12
+
+
 def test_train_counts_skipped_rows(spark, groups):
     rows = groups.unionByName(spark.createDataFrame([(100, None, 1.0)], "party_id int, x double, y double"))
     found = customers.train_clusters(rows, k=2)
