@@ -3,9 +3,10 @@
 Two documents link when shared * 7 >= 3 * (size + size), that is at a Jaccard similarity of 0.75.
 
 1. Equal sets are one node, named by a 64-bit hash of the set. A node's prefix, the first quarter of its
-   shingles in hash order, must meet the prefix of every node that it links with. Prefix entries are dealt by
-   hash; the nodes of one entry form a group, and groups with the same smallest node are one tile, so the
-   many shared entries of two near copies become one common tile.
+   shingles in hash order, must meet the first seventh of every smaller node that it links with. Prefix entries
+   are dealt by hash. The nodes of one entry are cut by size: a node that has it in its first seventh and those up
+   to a third larger form a group, overlapping ones together. Groups with the same smallest node are one tile, so
+   the many shared entries of two near copies become one common tile.
 2. Groups of more than ``CROWD`` nodes come from passages that many share. Their shingles are put last in
    the order, and nodes with such a shingle in their prefix are matched with each other once more by their
    new prefixes, for some rounds. A pair with one node outside has met in a smaller group already. What
@@ -44,6 +45,9 @@ ROUNDS = 3
 LAST = 1 << 20  # shingles that can be put last; beyond, crowds become tiles at once
 FILTER = 1 << 26  # bits of the filter for wanted nodes
 HALF = np.uint64(0xA24BAED4963EE407)
+LABEL = np.uint64(16)  # low bits of a prefix entry that hold a label, the rest is of the shingle's hash
+BANDS = 1024  # size bands while the size doubles
+REACH = 426  # bands up to a third more, rounded up by one
 
 
 def needed(a, b):
@@ -56,6 +60,18 @@ def prefix_length(n):
     return n + (3 * n) // -4 + 1
 
 
+def index_length(n):
+    """So many first elements must meet the prefix of any linked set that is as large or larger."""
+    return n + (6 * n) // -7 + 1
+
+
+def entries(value: np.ndarray, n: int) -> np.ndarray:
+    """The first shingles of a set of n, in the common order, with the set's size band and whether the place is beyond its index."""
+    band = int(np.log2(n) * BANDS)
+    label = (band << 1) + (np.arange(len(value)) >= index_length(n))
+    return value >> LABEL << LABEL | label.astype(np.uint64)
+
+
 def bitmap(value: np.ndarray) -> bytes:
     """One bit for the hash of each element, in the power of two of bits that leaves two to an element."""
     bits = np.zeros(max(64, 1 << int(2 * len(value) - 1).bit_length()), bool)
@@ -84,17 +100,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [rows.column(rows.schema.get_field_index("doc_id")), pa.array(np.diff(ends)), pa.array(sign),
              pa.array([bitmap(value[a:b]) if b > a else b"" for a, b in spans], pa.binary()),
-             pa.array([value[a:a + prefix_length(b - a)].tobytes() if b > a else b"" for a, b in spans], pa.binary())],
+             pa.array([entries(value[a:a + prefix_length(b - a)], b - a).tobytes() if b > a else b"" for a, b in spans], pa.binary())],
             names=["doc_id", "n", "node", "bitmap", "prefix"],
         )
 
 
 def _later_prefixes(last: list[np.ndarray]):
-    """New prefixes of the nodes that were in a crowd in every round so far; ``last`` has each round's shingles."""
+    """New prefixes of the nodes that were in a crowd in every round so far; ``last`` has each round's shingles, without labels."""
     known = [np.sort(np.concatenate(last[:i])) for i in range(1, len(last) + 1)]
 
     def put_last(own: np.ndarray, listed: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        hit = listed[np.minimum(np.searchsorted(listed, own), len(listed) - 1)] == own
+        name = own >> LABEL
+        hit = listed[np.minimum(np.searchsorted(listed, name), len(listed) - 1)] == name
         free = own[~hit][:most]
         return np.concatenate([free, own[hit][:most - len(free)]]), hit
 
@@ -110,13 +127,13 @@ def _later_prefixes(last: list[np.ndarray]):
                 own, most = value[a:b], prefix_length(b - a)
                 prefix, crowded = own[:most], True
                 for listed, new in zip(known, last, strict=True):
-                    crowded = crowded and bool(np.isin(prefix, new).any())
+                    crowded = crowded and bool(np.isin(prefix >> LABEL, new).any())
                     if not crowded:
                         break
                     prefix, _ = put_last(own, listed, most)
                 if crowded:
                     nodes.append(name)
-                    found.append(prefix.tobytes())
+                    found.append(entries(prefix, b - a).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "prefix"])
 
     return prefixes
@@ -165,7 +182,7 @@ def _contents(shared):
 
 
 def _entries(column: str, bits: int):
-    """Rows (node, hashes) to rows (bucket, hashes, nodes), by the leading bits of a hash that is mixed anew.
+    """Rows (node, hashes) to rows (bucket, hashes, nodes), by the leading bits of a hash, without label, that is mixed anew.
 
     The hashes themselves would not do: a prefix has the smallest of its set, so its hashes lie in the first quarter of
     all, and a quarter of the buckets would get all entries.
@@ -183,7 +200,7 @@ def _entries(column: str, bits: int):
                     size, to = size + len(parts[to]), to + 1
                 value = np.concatenate(parts[step:to])
                 owner = np.repeat(node[step:to], [len(p) for p in parts[step:to]])
-                bucket = (mixed(value ^ HALF) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
+                bucket = (mixed(value >> LABEL ^ HALF) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 used, sizes = np.unique(bucket, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), blobs(value[order], sizes), blobs(owner[order].astype(np.int64), sizes)], names=["bucket", "hashes", "nodes"])
@@ -193,7 +210,11 @@ def _entries(column: str, bits: int):
 
 
 def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All entries of a bucket by hash and node without repeats, where each hash begins, and its nodes."""
+    """All entries of a bucket by shingle, size and node without repeats, where each group begins, and its nodes.
+
+    A group is what nodes with the shingle in their index reach: sizes up to a third more. Of equal bands the
+    indexed nodes come first, so a linked pair is in one group whichever of the two is the larger.
+    """
     value = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64)
     node = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
     order = np.lexsort((node, value))
@@ -201,21 +222,27 @@ def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])
     value, node = value[new], node[new]
-    begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
-    return value, node, begin, np.diff(np.append(begin, len(value)))
+    name, label = value >> LABEL, (value & np.uint64((1 << int(LABEL)) - 1)).astype(np.int64)
+    first = np.ones(len(value), bool)
+    first[1:] = name[1:] != name[:-1]
+    band = (np.cumsum(first) << int(LABEL)) + (label >> 1)  # no band of one shingle reaches those of the next
+    reached = np.maximum.accumulate(np.where(label & 1, 0, band + REACH)) if len(value) else band
+    first[1:] |= band[1:] > reached[:-1]
+    begin = np.flatnonzero(first)
+    return name, node, begin, np.diff(np.append(begin, len(value)))
 
 
 def _tiled(crowd: int):
     """Task from the entries of a bucket to (tile, node) of all groups; those of crowds once for each shingle, with the shingle."""
 
     def tiled(table: pa.Table) -> pa.Table:
-        value, node, begin, size = _gathered(table)
-        leader, count = np.repeat(node[begin], size), np.repeat(size, size)
+        name, node, begin, size = _gathered(table)
+        leader, count = np.repeat(np.minimum.reduceat(node, begin) if len(node) else node, size), np.repeat(size, size)
         plain, many = (count > 1) & (count <= crowd), count > crowd
         pairs = np.unique(np.stack([leader[plain], node[plain]], axis=1), axis=0) if plain.any() else np.zeros((0, 2), np.int64)
         return pa.table({
             "tile": pa.array(np.concatenate([pairs[:, 0], leader[many]]), pa.int64()), "node": pa.array(np.concatenate([pairs[:, 1], node[many]]), pa.int64()),
-            "shingle": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(value[many].view(np.int64), pa.int64())]),
+            "shingle": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(name[many].view(np.int64), pa.int64())]),
         })
 
     return tiled
@@ -385,10 +412,19 @@ def _sizes(tiles: DataFrame) -> DataFrame:
     return tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
 
 
-def _by_size(tiles: DataFrame, sizes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """Tiles of two up to ``most`` nodes, and larger ones."""
-    fits = F.col("size") <= most
-    return tuple(tiles.join(sizes.where(which).select("tile"), "tile", "left_semi") for which in (fits, ~fits))
+def _beside(held: DataFrame, tiles: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """``held`` (node, n, content) of the nodes in tiles, with a list of the node's tiles of up to ``most`` nodes.
+
+    The list is joined where the rows of a node are brought together anyway, so contents need no second shuffle to meet it.
+    """
+    listed = tiles.join(sizes, "tile").groupBy("node").agg(F.collect_list(F.when(F.col("size") <= most, F.col("tile"))).alias("tiles"))
+    return held.groupBy("node").agg(F.min("n").alias("n"), F.first("content").alias("content")).join(listed, "node")
+
+
+def _within(held: DataFrame, unit: int, exact: bool) -> DataFrame:
+    """``_compared`` over all tiles that ``held`` lists; ``unit`` shingles weigh as one."""
+    weight, = held.agg(F.coalesce(F.sum(F.col("n") * F.size("tiles")), F.lit(0)).cast("bigint")).first()
+    return _compared(held.select(F.explode("tiles").alias("tile"), "node", "n", "content"), ["tile"], weight // unit, exact)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -404,18 +440,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = sets.where(F.length("prefix") > 0)
     total, = nodes.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0)).cast("bigint")).first()
     tiles = _tiles(texts, nodes, total)
-    maps = stable(nodes.groupBy("node").agg(F.min("n").alias("n"), F.first("bitmap").alias("content")), "maps")
     sizes = stable(_sizes(tiles), "sizes")
-    small, large = _by_size(tiles, sizes, MAPS)
-    parts = _compared(small.join(maps, "node"), ["tile"], _weight(small, maps) // 8, False).select(F.col("part").alias("tile"), "node")
-    groups = stable(parts.unionByName(large).distinct(), "groups")
-    wanted = groups.select("node").distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(_wanted_filter(wanted))  # FILTER bits, whatever the input
+    maps = stable(_beside(nodes.select("node", "n", F.col("bitmap").alias("content")), tiles, sizes, MAPS), "maps")
+    large = tiles.join(sizes.where(F.col("size") > MAPS).select("tile"), "tile", "left_semi")
+    groups = stable(_within(maps, 8, False).select(F.col("part").alias("tile"), "node").unionByName(large).distinct(), "groups")
+    shared = docs.sparkSession.sparkContext.broadcast(_wanted_filter(groups.select("node").distinct()))  # FILTER bits, whatever the input
     found = texts.mapInArrow(_contents(shared), "node bigint, n bigint, content binary")
-    contents = stable(found.groupBy("node").agg(F.min("n").alias("n"), F.first("content").alias("content")), "contents")
     sizes = stable(_sizes(groups), "sizes")
-    small, _ = _by_size(groups, sizes, TILE)
-    links = _compared(small.join(contents, "node"), ["tile"], _weight(small, maps), True).unionByName(_large(groups, maps, contents, sizes))
+    contents = stable(_beside(found, groups, sizes, TILE), "contents")
+    links = _within(contents, 1, True).unionByName(_large(groups, maps, contents, sizes))
     found = components(links)
     placed = sets.select("doc_id", "n", "node").join(found, "node", "left").withColumn("place", F.coalesce("component", "node"))
     lowest = placed.where(F.col("n") > 0).groupBy("place").agg(F.min("doc_id").alias("low"))

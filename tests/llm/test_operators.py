@@ -102,6 +102,53 @@ def test_buckets_are_even(described):
     assert len(got) == 16 and max(map(len, got.values())) < 1.5 * len({h for h, _ in want}) / 16
 
 
+def tiles_of(sets, crowd):
+    """Nodes by tile of one bucket with all prefix entries of these sorted sets of hashes."""
+    hashes = [jaccard.entries(x[:jaccard.prefix_length(len(x))], len(x)) for x in sets]
+    table = pa.table({"hashes": [h.tobytes() for h in hashes], "nodes": [np.full(len(h), i, np.int64).tobytes() for i, h in enumerate(hashes)]})
+    tiles = defaultdict(set)
+    for row in jaccard._tiled(crowd)(table).to_pylist():
+        tiles[row["tile"]].add(row["node"])
+    return tiles
+
+
+def test_tiles_leave_out_what_cannot_link():
+    """Nodes with a common entry meet only where their sizes allow a link and it is in the first seventh of the smaller one."""
+    rng = np.random.default_rng(5)
+    low, high = 1 << 50, 1 << 60
+
+    def made(first, n):
+        return np.sort(np.concatenate([first, rng.integers(low, high, n - len(first), dtype=np.uint64)]))
+
+    passage = rng.integers(1 << 20, low, 8, dtype=np.uint64)
+    assert not tiles_of([made(passage, int(60 * 1.5 ** i)) for i in range(12)], 1000)  # too different in size
+    late = np.array([high - 1], np.uint64)
+    between = [np.sort(np.concatenate([late, rng.integers(low, high, 10, dtype=np.uint64), rng.integers(high, 2 * high, 49, dtype=np.uint64)])) for _ in range(12)]
+    assert not tiles_of(between, 1000)  # the eleventh of 60, beyond the first nine
+    assert dict(tiles_of([made(passage, 60 + i) for i in range(12)], 1000)) == {0: set(range(12))}
+
+
+@pytest.mark.parametrize("crowd", [2, 1000])
+def test_tiles_have_all_links(crowd):
+    """Of sets around the threshold, every two that link are in a common tile."""
+    rng = np.random.default_rng(6)
+    sets, linked = [], 0
+    for _ in range(60):
+        core = np.unique(rng.integers(1 << 20, 1 << 63, rng.integers(1, 90), dtype=np.uint64))
+        for _ in range(6):
+            kept = rng.random(len(core)) >= rng.choice([0, 0.05, 0.15, 0.25])
+            own = np.unique(np.concatenate([core[kept], rng.integers(1 << 20, 1 << 63, rng.integers(0, 1 + len(core) // 3), dtype=np.uint64)]))
+            sets += [own] if len(own) else []
+    tiles = list(tiles_of(sets, crowd).values())
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                linked += 1
+                assert any({a, b} <= t for t in tiles)
+    assert linked > 100
+
+
 def test_exact_dedup(docs):
     groups = defaultdict(list)
     for i, t in rows():
