@@ -82,7 +82,9 @@ def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None
     by less than one row. Rows without words are used in every whole epoch and at the head of the order; a leaf
     of such rows only is used in every epoch, unless it or a node above it has no weight.
     Every row goes by itself, with or without an id of its own; rows equal in id and text stand next to each other.
-    With ``carry`` the rows are read twice and their columns move in the one shuffle that orders them. An empty table gives an empty result.
+    The order is made from ids, token counts and hashes alone. With ``carry`` the rows are read again and held against the last row that
+    each leaf takes, so texts do not move; only where some of several rows equal in id and text are taken, those are numbered.
+    An empty table gives an empty result.
     """
     names = list(levels)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *[e.alias(f"_level_{n}") for n, e in levels.items()], *[F.col(c).alias(f"_carried_{c}") for c in carry])
@@ -91,18 +93,31 @@ def mixed(docs: DataFrame, levels: dict[str, Column], weights: DataFrame | None
         "doc_id", _name([F.col(f"_level_{n}") for n in names]).alias("leaf"), *[F.col(f"_level_{n}") for n in names],
         token_count(F.col("_text")).alias("tokens"), F.xxhash64("_text").alias("_sign"), *carried,
     )
-    if not carry:
-        counted = stable(counted, "tokens")  # the texts are read once
-    leaves = counted.groupBy("leaf", *[f"_level_{n}" for n in names]).agg(F.sum("tokens").alias("tokens"))
+    keys = stable(counted.drop(*carried), "tokens")  # small; the texts are read once for it, and once more to carry columns
+    leaves = stable(keys.groupBy("leaf", *[f"_level_{n}" for n in names]).agg(F.sum("tokens").alias("tokens")), "leaves")
     given = leaf_budgets(leaves, [f"_level_{n}" for n in names], weights, budget, epochs)
     plan = leaves.join(given, "leaf", "left").select(
         F.col("leaf").alias("_leaf"),
         F.when(F.col("tokens") > 0, F.floor(F.coalesce("given", F.lit(0.0)) / F.col("tokens") + F.lit(1e-9))).when(F.col("given").isNotNull(), epochs).otherwise(0).cast("int").alias("whole"),
         F.coalesce("given", F.lit(0.0)).alias("given"), F.col("tokens").alias("_all"),
     ).withColumn("rest", F.greatest(F.lit(0.0), F.col("given") - F.col("whole") * F.col("_all")))
-    joined = counted.join(plan, counted["leaf"].eqNullSafe(plan["_leaf"])).select(
-        "doc_id", "leaf", "tokens", "whole", "rest", F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id"), F.col("_sign")).alias("_order"), *carried
-    )
+    plan = stable(plan, "plan")  # a row per leaf: known to be small before the rows are joined to it
+    order = F.xxhash64(F.lit(seed), F.col("whole"), F.col("doc_id"), F.col("_sign")).alias("_order")
+    joined = keys.join(plan, keys["leaf"].eqNullSafe(plan["_leaf"])).select("doc_id", "leaf", "tokens", "whole", "rest", order)
     placed = running_before(joined, "leaf", ["_order", "doc_id", "tokens"], "tokens", "_before")
-    more = (F.col("_before") + F.lit(1e-6) < F.col("rest")).cast("int")
-    return placed.select("doc_id", "leaf", "tokens", (F.col("whole") + more).alias("copies"), *carried)
+    more = F.col("_before") + F.lit(1e-6) < F.col("rest")
+    if not carry:
+        return placed.select("doc_id", "leaf", "tokens", (F.col("whole") + more.cast("int")).alias("copies"))
+    at = F.struct((F.col("_order") < 0).alias("_upper"), "_order", "doc_id", "tokens")  # slices go by the hash without sign
+    equal = placed.groupBy("leaf", at.alias("_last")).agg(F.count(F.lit(1)).alias("_equal"), F.count_if(more).alias("_taken"))
+    lasts = equal.where(F.col("_taken") > 0).groupBy("leaf").agg(F.max(F.struct("_last", "_equal", "_taken")).alias("_cut")).select(F.col("leaf").alias("_leaf"), "_cut.*")
+    cuts = stable(plan.select("_leaf", "whole").join(lasts, "_leaf", "left"), "cuts")
+    rows = counted.join(cuts, counted["leaf"].eqNullSafe(cuts["_leaf"])).select("doc_id", "leaf", "tokens", "whole", order, "_last", "_equal", "_taken", *carried)
+    some = F.coalesce((at == F.col("_last")) & (F.col("_taken") < F.col("_equal")), F.lit(False))
+    head = F.coalesce(at <= F.col("_last"), F.lit(False))
+    out = rows.where(~some).select("doc_id", "leaf", "tokens", (F.col("whole") + head.cast("int")).alias("copies"), *carried)
+    if cuts.where(F.col("_taken") < F.col("_equal")).isEmpty():
+        return out
+    nth = F.row_number().over(Window.partitionBy("leaf").orderBy("_order"))
+    tied = rows.where(some).withColumn("_nth", nth).select("doc_id", "leaf", "tokens", (F.col("whole") + (F.col("_nth") <= F.col("_taken")).cast("int")).alias("copies"), *carried)
+    return out.unionByName(tied)

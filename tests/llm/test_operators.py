@@ -415,6 +415,25 @@ def test_mixing(spark, budget, epochs):
         assert share[leaf] - 1e-3 <= used[leaf] <= share[leaf] + largest[leaf] + 1e-3
 
 
+@pytest.mark.parametrize(("budget", "copies"), [(0.3, 1), (0.55, 1), (0.8, 40), (1.3, 7)])
+def test_mixing_carries_columns_without_moving_them(spark, capsys, budget, copies):
+    """The same rows are used with carried columns as without, of rows equal in id and text the same number; texts take part in no shuffle."""
+    data = [(i // copies if i % 9 else None, f"s{i % 2}", "w " * (1 + i // copies % 5), i) for i in range(200)]
+    table = spark.createDataFrame(data, "doc_id long, source string, text string, nth long")
+    levels = {"source": F.col("source")}
+    plain = mixing.mixed(table, levels, None, budget, 2, "x").collect()
+    made = mixing.mixed(table, levels, None, budget, 2, "x", carry=["text", "nth", "doc_id"])
+    got = made.collect()
+    assert sorted(map(tuple, plain), key=repr) == sorted((tuple(r)[:4] for r in got), key=repr)
+    assert sorted(r["_carried_nth"] for r in got) == list(range(200))
+    assert all(data[r["_carried_nth"]][0] == r["doc_id"] and data[r["_carried_nth"]][2] == r["_carried_text"] for r in got)
+    if copies == 1:
+        unlike = mixing.mixed(table.where("doc_id is not null"), levels, None, budget, 2, "x", carry=["text"])
+        capsys.readouterr()
+        unlike.explain()
+        assert "hashpartitioning" not in capsys.readouterr().out
+
+
 def test_mixing_keeps_leaves_without_words(spark):
     """They cost no tokens: all epochs, but none where the leaf has no weight."""
     table = spark.createDataFrame([(1, "a", "one two"), (2, "b", ""), (3, "b", None), (None, "b", " "), (4, "c", "")], "doc_id long, source string, text string")
